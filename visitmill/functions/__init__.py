@@ -1,0 +1,12 @@
+from visitmill.functions.ip import ip_number
+from visitmill.functions.text import first_match, spread_fields, row_token, tab_fields
+from visitmill.functions.times import (
+    day_of, hour_label, hour_of, hour_lower, hour_number, hour_upper, log_time, partition_hour,
+    yesterday,
+)
+
+__all__ = [
+    "day_of", "first_match", "hour_label", "hour_lower", "hour_number", "hour_of", "hour_upper",
+    "ip_number", "log_time", "partition_hour", "row_token", "spread_fields", "tab_fields",
+    "yesterday",
+]
