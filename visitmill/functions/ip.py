@@ -2,37 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
+_BYTES = 8
+_NUMBERS = "^[+-]?[0-9]+([. ][+-]?[0-9]+)*$"
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-_SEPARATORS = "[. ]"
-_NUMBERS = r"^[+-]?\d+([. ][+-]?\d+)*$"
-_BYTES = 8
+def ip_parts(ip: str) -> str:
+    """The dot- or space-separated parts of an address, without empty ones at the end."""
+    return f"split(trim(trailing '. ' from {ip}), '[. ]')"
 
 
-def ip_number(ip: Column, strict: bool = False) -> Column:
-    """Fold the dot- or space-separated numbers of an address, eight bits at a time.
+def ip_number(parts: str, ip: str, strict: bool = False) -> str:
+    """Fold the parts of an address, eight bits at a time. Takes and gives SQL text.
 
-    Numbers are not range checked and any count of them is folded, so `-1` gives -1
-    and two addresses in one field give one large number, as in existing tables. Only
-    the last eight numbers can reach a 64-bit result; older ones are shifted out. That
-    makes the fold a fixed expression which stays in generated code, unlike a
-    higher-order `aggregate`. Unreadable text gives NULL, or fails when `strict`.
+    Parts are not range checked and any count of them is folded, so `-1` gives -1 and two
+    addresses in one field give one large number, as in existing tables. Only the last
+    eight parts can reach a 64-bit result; older ones are shifted out. That makes the fold
+    a fixed expression which stays in generated code, unlike a higher-order `aggregate`.
+    Unreadable text gives NULL, or fails when `strict`.
     """
-    part = F.split(F.rtrim(ip, F.lit(". ")), _SEPARATORS)
-    count = F.size(part)
-    folded = reduce(
-        lambda acc, shifted: acc.bitwiseOR(shifted),
-        [
-            F.when(count > i, F.shiftleft(F.get(part, count - 1 - i).try_cast("bigint"), 8 * i))
-            .otherwise(F.lit(0).cast("bigint"))
-            for i in range(_BYTES)
-        ],
-    )
-    number = F.when((count <= _BYTES) | ip.rlike(_NUMBERS), folded)
+    folded = " | ".join(
+        f"case when size({parts}) > {i} then "
+        f"shiftleft(try_cast(get({parts}, size({parts}) - {i + 1}) as bigint), {8 * i}) else 0L end"
+        for i in range(_BYTES))
+    number = f"case when size({parts}) <= {_BYTES} or rlike({ip}, '{_NUMBERS}') then {folded} end"
     if not strict:
         return number
-    return F.coalesce(number, F.raise_error(
-        F.concat(F.lit("unreadable ip: "), F.coalesce(ip, F.lit("NULL")))))
+    return f"coalesce({number}, raise_error(concat('unreadable ip: ', coalesce({ip}, 'NULL'))))"

@@ -26,21 +26,18 @@ def with_channel(
     lookup = first_rules(rules).withColumnRenamed("channelFrom", code)
     fits = measure(rules.drop("line_no")).fits(broadcast_bytes)
     joined = lookup_join(frame, lookup, code, fits)
-
-    def attribute(name: str):
-        return (F.when(F.col(code) == MISSING, F.lit(MISSING))
-                .otherwise(F.coalesce(F.col("rule")[name], F.lit(""))))
-
-    return joined.select(*frame.columns, *[attribute(a).alias(a) for a in _ATTRIBUTES])
+    return joined.selectExpr(*frame.columns, *[
+        f"case when {code} = '{MISSING}' then '{MISSING}' else coalesce(rule.{a}, '') end as {a}"
+        for a in _ATTRIBUTES])
 
 
 def platform_table(
     source: DataFrame, rules: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Rows of the platform table, in table order."""
-    seven = source.select(
-        F.col("eventName").alias("eventId"), "deviceNum", "customerId", "sessionId",
-        "serverTime", "ip", F.col("channelForm").alias("channelFrom"))
+    seven = source.selectExpr(
+        "eventName as eventId", "deviceNum", "customerId", "sessionId", "serverTime", "ip",
+        "channelForm as channelFrom")
     return (with_channel(seven, rules, "channelFrom", broadcast_bytes)
             .withColumns({"day": day_of(F.col("serverTime")), "hour": hour_of(F.col("serverTime"))})
             .select(*PLATFORM_COLUMNS))

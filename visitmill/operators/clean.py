@@ -3,37 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.functions.text import first_match, spread_fields, tab_fields
-from visitmill.functions.times import DEFAULT_ZONE, DEFAULT_ZONES, day_of, hour_of, log_time
-from visitmill.schema import (
-    INTENDED, MISSING, RAW_FIELDS, TEST_URLS, check_semantics,
-)
+from visitmill.functions.text import contains_any, evaluate_once, tab_fields
+from visitmill.functions.times import DEFAULT_ZONE, DEFAULT_ZONES, log_time
+from visitmill.schema import INTENDED, MISSING, RAW_FIELDS, TEST_URLS, check_semantics
 
 _FIELDS = "fields"
 
 
-def _field(name: str) -> Column:
-    return F.get(F.col(_FIELDS), F.lit(RAW_FIELDS.index(name)))
+def _field(name: str) -> str:
+    return f"get({_FIELDS}, {RAW_FIELDS.index(name)})"
 
 
-def _reject_rules(test_urls: Sequence[str], reference: bool) -> list[tuple[str, Column]]:
-    """Named reasons to drop a line, in the order in which they are tried."""
-    rules = [
-        ("arity", F.size(_FIELDS) != len(RAW_FIELDS)),
-        ("identity", (_field("deviceNum") == MISSING) & (_field("customerId") == MISSING)),
-        ("session", _field("sessionId") == MISSING),
-        ("server_time", _field("serverTime") == MISSING),
-        ("current_url", first_match(_field("currentUrl"), test_urls)),
-        ("previous_url", first_match(_field("previousUrl"), test_urls)),
-    ]
+def _missing(name: str) -> str:
+    return f"{_field(name)} = '{MISSING}'"
+
+
+def _reject_rules(test_urls: Sequence[str], reference: bool) -> dict[str, str]:
+    """Reasons to drop a line, in the order in which they are tried."""
+    rules = {
+        "arity": f"size({_FIELDS}) <> {len(RAW_FIELDS)}",
+        "identity": f"({_missing('deviceNum')} and {_missing('customerId')})",
+        "session": _missing("sessionId"),
+        "server_time": _missing("serverTime"),
+        "current_url": contains_any(_field("currentUrl"), test_urls),
+        "previous_url": contains_any(_field("previousUrl"), test_urls),
+    }
     if reference:
         # The earlier job loses these rows by accident.
-        rules.append(("client_time", _field("clientTime") == MISSING))
+        rules["client_time"] = _missing("clientTime")
     return rules
 
 
@@ -47,52 +48,50 @@ def clean_logs(
 ) -> DataFrame:
     """Filter raw lines (column `value`), reformat their times, name their fields."""
     reference = check_semantics(semantics)
-    split = spread_fields(lines, tab_fields(F.col("value")), _FIELDS, "value")
-    rejected = reduce(lambda a, b: a | b,
-                      [rule for _, rule in _reject_rules(test_urls, reference)])
-    kept = split.where(~rejected)
+    rejected = " or ".join(_reject_rules(test_urls, reference).values())
 
-    def readable(name: str) -> Column:
+    def readable(name: str) -> str:
         return log_time(_field(name), zones, zone, on_bad_time)
 
     if reference:
-        timed = _replace_in_line(kept, readable)
+        # Both time texts are replaced wherever they occur in the line.
+        split = evaluate_once(lines, tab_fields("value"), _FIELDS, "value")
+        timed = evaluate_once(
+            split.where(f"not ({rejected})"),
+            f"array({readable('clientTime')}, {readable('serverTime')})", "times",
+            "value", _FIELDS)
+        if on_bad_time == "drop":
+            timed = timed.where("times[0] is not null and times[1] is not null")
+        replaced = (f"replace(replace(value, {_field('clientTime')}, times[0]), "
+                    f"{_field('serverTime')}, times[1])")
+        timed, new = evaluate_once(timed, tab_fields(replaced), _FIELDS), {}
     else:
-        times = {
-            "clientTime": F.when(_field("clientTime") == MISSING, F.lit(MISSING))
-            .otherwise(readable("clientTime")),
-            "serverTime": readable("serverTime"),
-        }
-        timed = kept.select(*[times.get(n, _field(n)).alias(n) for n in RAW_FIELDS])
-    if on_bad_time == "drop":
-        timed = timed.where(F.col("clientTime").isNotNull() & F.col("serverTime").isNotNull())
-    return timed.select(*RAW_FIELDS, day_of(F.col("serverTime")).alias("day"),
-                        hour_of(F.col("serverTime")).alias("hour"))
-
-
-def _replace_in_line(kept: DataFrame, readable) -> DataFrame:
-    """Replace both time texts wherever they occur in the line, then split again."""
-    timed = kept.select(
-        "value",
-        _field("clientTime").alias("old_client"), readable("clientTime").alias("new_client"),
-        _field("serverTime").alias("old_server"), readable("serverTime").alias("new_server"),
-    )
-    line = F.replace(F.replace(F.col("value"), F.col("old_client"), F.col("new_client")),
-                     F.col("old_server"), F.col("new_server"))
-    return spread_fields(timed, tab_fields(line), _FIELDS).select(
-        *[_field(n).alias(n) for n in RAW_FIELDS])
+        split = evaluate_once(lines, tab_fields("value"), _FIELDS)
+        # Only the server time is fixed here: `day` is derived from it, and filters on it
+        # must not parse it again. The client time goes away when nobody reads it.
+        timed = evaluate_once(split.where(f"not ({rejected})"), readable("serverTime"), "server",
+                              _FIELDS)
+        client = (f"case when {_missing('clientTime')} then '{MISSING}' "
+                  f"else {readable('clientTime')} end")
+        if on_bad_time == "drop":
+            timed = evaluate_once(timed.where("server is not null"), client, "client",
+                                  _FIELDS, "server").where("client is not null")
+            client = "client"
+        new = {"clientTime": client, "serverTime": "server"}
+    named = timed.selectExpr(*[f"{new.get(n, _field(n))} as {n}" for n in RAW_FIELDS])
+    return named.selectExpr("*", "substr(serverTime, 1, 10) as day",
+                            "substr(serverTime, 12, 2) as hour")
 
 
 def rejected_by_reason(
     lines: DataFrame, semantics: str = INTENDED, test_urls: Sequence[str] = TEST_URLS
 ) -> DataFrame:
     """Count the raw lines by the first rule that drops them; the rest are `kept`."""
-    split = spread_fields(lines, tab_fields(F.col("value")), _FIELDS)
-    reason = F.coalesce(
-        *[F.when(rule, F.lit(name))
-          for name, rule in _reject_rules(test_urls, check_semantics(semantics))],
-        F.lit("kept"))
-    return split.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("lines"))
+    steps = " ".join(f"when {rule} then '{name}'" for name, rule in
+                     _reject_rules(test_urls, check_semantics(semantics)).items())
+    return (evaluate_once(lines, tab_fields("value"), _FIELDS)
+            .selectExpr(f"case {steps} else 'kept' end as reason")
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))
 
 
 def cleaned_lines(source: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Estimated bytes of a lookup table up to which it is copied to every executor.
@@ -22,14 +22,12 @@ class Size:
         return self.bytes <= limit
 
 
-def size_columns(frame: DataFrame) -> list:
+def size_columns(frame: DataFrame) -> list[Column]:
     """Aggregates for the row count and the in-memory size estimate of a frame."""
-    widths = [
-        F.coalesce(F.octet_length(F.col(name)), F.lit(0)) if kind == "string" else F.lit(8)
-        for name, kind in frame.dtypes
-    ]
-    width = sum(widths, F.lit(ROW_OVERHEAD_BYTES)).cast("bigint")
-    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+    width = " + ".join([str(ROW_OVERHEAD_BYTES)] + [
+        f"coalesce(octet_length({name}), 0)" if kind == "string" else "8"
+        for name, kind in frame.dtypes])
+    return [F.expr("count(1) as rows"), F.expr(f"coalesce(sum(bigint({width})), 0) as bytes")]
 
 
 def measure(frame: DataFrame) -> Size:

@@ -17,9 +17,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitmill.functions.text import literal
 from visitmill.schema import INTENDED, MISSING, NEW_USER_EVENT, check_semantics
 from visitmill.sinks.staging import stage
 
@@ -73,20 +74,20 @@ def identity_facts(
     families: tuple[str, ...], as_of: str | None = None,
 ) -> DataFrame:
     """Phase 1. Members need all history (up to `as_of`), visitors only the day."""
-    is_day = F.col("day") == day
-    member = F.col("customerId") != MISSING
+    is_day, member = f"day = {literal(day)}", f"customerId <> '{MISSING}'"
     if MEMBER not in families:
-        rows = frame.where(is_day & F.col("customerId").isNotNull())
+        rows = frame.where(f"{is_day} and customerId is not null")
+    elif VISITOR not in families:
+        rows = frame.where(member)
     else:
-        rows = frame.where((is_day & (F.col("customerId") == MISSING)) | member
-                           if VISITOR in families else member)
-        if as_of is not None:
-            rows = rows.where(F.col("day") <= as_of)
-    flagged = rows.select(
-        *keys, member.alias("is_member"),
-        F.when(member, F.col("customerId")).otherwise(F.col("deviceNum")).alias("id"),
-        F.col("day").eqNullSafe(day).alias("on_day"),
-        (F.col("day").eqNullSafe(day) & F.col(event).eqNullSafe(NEW_USER_EVENT)).alias("is_new"))
+        rows = frame.where(f"{member} or ({is_day} and customerId = '{MISSING}')")
+    if as_of is not None:
+        rows = rows.where(f"day <= {literal(as_of)}")
+    on_day = f"day <=> {literal(day)}"
+    flagged = rows.selectExpr(
+        *keys, f"{member} as is_member",
+        f"case when {member} then customerId else deviceNum end as id",
+        f"{on_day} as on_day", f"{on_day} and {event} <=> '{NEW_USER_EVENT}' as is_new")
     return roll_up(flagged, keys)
 
 
@@ -98,22 +99,14 @@ def roll_up(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def totals(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Phase 2. The `has_` flags tell "no such rows" from "no ids in them"."""
-    member, known = F.col("is_member"), F.col("id").isNotNull()
-    on_day, new = F.col("on_day"), F.col("is_new")
-
-    def ids(condition: Column, name: str) -> Column:
-        return F.count_if(condition & known).alias(name)
-
-    def any_row(condition: Column, name: str) -> Column:
-        return F.coalesce(F.max(condition), F.lit(False)).alias(name)
-
-    return facts.groupBy(*keys).agg(
-        ids(~member & on_day, "visitors"), ids(~member & new, "new_visitors"),
-        ids(member & on_day, "members"), ids(member & new, "new_members"),
-        ids(member, "all_members"),
-        any_row(~member & on_day, "has_visitors"), any_row(~member & new, "has_new_visitors"),
-        any_row(member & on_day, "has_members"), any_row(member & new, "has_new_members"),
-        any_row(member, "has_any_members"))
+    groups = {
+        "visitors": "not is_member and on_day", "new_visitors": "not is_member and is_new",
+        "members": "is_member and on_day", "new_members": "is_member and is_new",
+        "any_members": "is_member",
+    }
+    counts = [f"count_if({rule} and id is not null) as {name}" for name, rule in groups.items()]
+    flags = [f"coalesce(max({rule}), false) as has_{name}" for name, rule in groups.items()]
+    return facts.groupBy(*keys).agg(*[F.expr(e) for e in counts + flags])
 
 
 def metric_table(
@@ -121,8 +114,8 @@ def metric_table(
 ) -> DataFrame:
     """One metric table for one day, from its input table."""
     metric = METRICS[name]
-    families = (metric.family,) if metric.family == VISITOR else (MEMBER,)
-    facts = identity_facts(frame, metric.inputs, day, EVENT_COLUMN[metric.source], families, as_of)
+    facts = identity_facts(frame, metric.inputs, day, EVENT_COLUMN[metric.source],
+                           (metric.family,), as_of)
     return metric_from_facts(facts, name, day, semantics)
 
 
@@ -148,56 +141,46 @@ def metric_from_facts(
     reference = check_semantics(semantics)
     metric = METRICS[name]
     counted = totals(facts, metric.inputs)
-    if not metric.keys:
-        return _grand_total(counted, name, day)
     if reference and len(metric.keys) > 1:
         return _by_city_reference(counted, metric, day)
-    shape = _visitor_columns if metric.family == VISITOR else _member_columns
-    return _finish(counted, metric, day, *shape(counted, metric, reference))
-
-
-def _finish(frame: DataFrame, metric: Metric, day: str, rows: Column, columns: list) -> DataFrame:
-    names = [F.col(k).alias(out) for k, out in metric.keys]
-    return frame.where(rows).select(*columns, *names, F.lit(day).alias("day"))
-
-
-def _grand_total(counted: DataFrame, name: str, day: str) -> DataFrame:
-    active = F.col("visitors") + F.col("members")
-    new = F.col("new_visitors") + F.col("new_members")
-    columns = {
-        "daily_users": [active.alias("UV")],
-        "daily_visitors": [active.alias("uv_act"), new.alias("uv_new")],
-        "daily_members": [F.col("members").alias("uv_act"), F.col("new_members").alias("uv_new"),
-                          F.col("all_members").alias("uv_all")],
-    }[name]
-    return counted.select(*columns, F.lit(day).alias("day"))
-
-
-def _visitor_columns(counted: DataFrame, metric: Metric, reference: bool):
-    if not reference:
-        rows = F.col("has_visitors") | F.col("has_members")
-        return rows, [(F.col("visitors") + F.col("members")).alias("uv_act"),
-                      (F.col("new_visitors") + F.col("new_members")).alias("uv_new")]
-    # Keys come from visitor rows only, and a count that exists turns the sum NULL.
-    # A NULL key matches nothing, so there every other count is missing.
-    unmatched = F.col(metric.inputs[0]).isNull()
-    return F.col("has_visitors"), [
-        F.when(unmatched | ~F.col("has_members"), F.col("visitors")).alias("uv_act"),
-        F.when(unmatched | ~(F.col("has_new_visitors") | F.col("has_new_members")),
-               F.lit(0).cast("bigint")).alias("uv_new")]
-
-
-def _member_columns(counted: DataFrame, metric: Metric, reference: bool):
-    rows = F.col("has_any_members")
-    if not reference:
-        return rows, [F.col("members").alias("uv_act"), F.col("new_members").alias("uv_new"),
-                      F.col("all_members").alias("uv_all")]
-    # The first and third label are exchanged, and a missing count is NULL.
-    matched = F.col(metric.inputs[0]).isNotNull()
-    return rows, [
-        F.col("all_members").alias("uv_act"),
-        F.when(matched & F.col("has_new_members"), F.col("new_members")).alias("uv_new"),
-        F.when(matched & F.col("has_members"), F.col("members")).alias("uv_all")]
+    if not metric.keys:
+        rows, columns = "true", _GRAND_TOTALS[name]
+    elif reference:
+        # A NULL key matches nothing, so there every joined count is missing.
+        matched = f"{metric.inputs[0]} is not null"
+        rows, columns = {
+            # Keys come from visitor rows only, and a count that exists turns the sum NULL.
+            VISITOR: ("has_visitors", [
+                f"case when not ({matched} and has_members) then visitors end as uv_act",
+                f"case when not ({matched} and (has_new_visitors or has_new_members))"
+                " then 0L end as uv_new"]),
+            # The first and third label are exchanged, and a missing count is NULL.
+            MEMBER: ("has_any_members", [
+                "any_members as uv_act",
+                f"case when {matched} and has_new_members then new_members end as uv_new",
+                f"case when {matched} and has_members then members end as uv_all"]),
+        }[metric.family]
+    else:
+        rows, columns = {
+            VISITOR: ("has_visitors or has_members", [_ACTIVE, _NEW]),
+            MEMBER: ("has_any_members", _MEMBERS),
+        }[metric.family]
+    return _finish(counted.where(rows), metric, day, columns)
+
+
+_ACTIVE = "visitors + members as uv_act"
+_NEW = "new_visitors + new_members as uv_new"
+_MEMBERS = ["members as uv_act", "new_members as uv_new", "any_members as uv_all"]
+_GRAND_TOTALS = {
+    "daily_users": ["visitors + members as UV"],
+    "daily_visitors": [_ACTIVE, _NEW],
+    "daily_members": _MEMBERS,
+}
+
+
+def _finish(frame: DataFrame, metric: Metric, day: str, columns: list[str]) -> DataFrame:
+    names = [f"{k} as {out}" for k, out in metric.keys]
+    return frame.selectExpr(*columns, *names, f"{literal(day)} as day")
 
 
 def _by_city_reference(counted: DataFrame, metric: Metric, day: str) -> DataFrame:
@@ -208,24 +191,20 @@ def _by_city_reference(counted: DataFrame, metric: Metric, day: str) -> DataFram
     """
     cities = stage(counted)
 
-    def side(flag: str, value: str, alias: str) -> DataFrame:
-        return cities.where(flag).select("ipCity", F.col(value).alias(alias))
-
-    zero_if_missing = lambda c: F.when(F.col(c).isNull(), F.lit(0).cast("bigint"))
-    if metric.family == VISITOR:
-        joined = (cities.where("has_visitors").select("ipProvince", "ipCity", "visitors")
-                  .join(side("has_members", "members", "m"), "ipCity", "left")
-                  .join(side("has_new_visitors", "new_visitors", "nv"), "ipCity", "left")
-                  .join(side("has_new_members", "new_members", "nm"), "ipCity", "left"))
-        columns = [(F.col("visitors") + zero_if_missing("m")).alias("uv_act"),
-                   (zero_if_missing("nv") + zero_if_missing("nm")).alias("uv_new")]
-    else:
-        joined = (cities.where("has_any_members").select("ipProvince", "ipCity", "all_members")
-                  .join(side("has_new_members", "new_members", "nm"), "ipCity", "left")
-                  .join(side("has_members", "members", "m"), "ipCity", "left"))
-        columns = [F.col("all_members").alias("uv_act"), F.col("nm").alias("uv_new"),
-                   F.col("m").alias("uv_all")]
-    return _finish(joined, metric, day, F.lit(True), columns)
+    def joined(base: str, *others: str) -> DataFrame:
+        rows = cities.where(f"has_{base}").selectExpr("ipProvince", "ipCity", f"{base} as base")
+        for name in others:
+            side = cities.where(f"has_{name}").select("ipCity", name)
+            rows = rows.join(side, "ipCity", "left")
+        return rows
+
+    if metric.family == MEMBER:
+        return _finish(joined("any_members", "new_members", "members"), metric, day,
+                       ["base as uv_act", "new_members as uv_new", "members as uv_all"])
+    zero = "case when {0} is null then 0L end"
+    return _finish(joined("visitors", "members", "new_visitors", "new_members"), metric, day, [
+        f"base + {zero.format('members')} as uv_act",
+        f"{zero.format('new_visitors')} + {zero.format('new_members')} as uv_new"])
 
 
 def members_by_region_unfiltered(area: DataFrame) -> DataFrame:

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.functions.ip import ip_number
+from visitmill.functions.ip import ip_number, ip_parts
+from visitmill.functions.text import evaluate_once
 from visitmill.functions.times import day_of, hour_of
 from visitmill.operators.channel import with_channel
 from visitmill.operators.lookup import BROADCAST_BYTES, lookup_join, size_columns
@@ -24,6 +25,7 @@ from visitmill.schema import AREA_COLUMNS, INTENDED, MISSING, check_semantics
 # Bucket widths as powers of two. At 63 every address of one sign shares a bucket.
 SHIFTS = (8, 16, 24, 32, 40, 48, 56, 63)
 _REGION = ("province", "city", "area", "operator")
+_NO_REGION = f"cast(null as struct<{','.join(f'{c}:string' for c in _REGION)}>)"
 
 
 @dataclass(frozen=True)
@@ -39,39 +41,36 @@ class RegionIndex:
     fits: bool
 
     def at(self, shift: int) -> DataFrame:
-        return self.entries.where(F.col("shift") == shift).select(
-            F.col("bucket").alias("_bucket"), F.col("startNum").alias("_start"),
-            F.col("endNum").alias("_end"), F.col("region").alias(f"_region{shift}"))
+        return self.entries.where(f"shift = {shift}").selectExpr(
+            "bucket as _bucket", "startNum as _start", "endNum as _end",
+            f"region as _region{shift}")
 
 
-def _spans_two(shift: int) -> Column:
-    return (F.shiftright("endNum", shift) - F.shiftright("startNum", shift)) <= 1
-
-
-def _rule_shift() -> Column:
+def _rule_shift() -> str:
+    """The finest width at which a rule touches no more than two buckets."""
     *fine, widest = SHIFTS
-    return F.coalesce(*[F.when(_spans_two(s), F.lit(s)) for s in fine], F.lit(widest))
+    steps = " ".join(
+        f"when shiftright(endNum, {s}) - shiftright(startNum, {s}) <= 1 then {s}" for s in fine)
+    return f"case {steps} else {widest} end"
 
 
 def region_index(
     rules: DataFrame, validate: bool = True, broadcast_bytes: int = BROADCAST_BYTES
 ) -> RegionIndex:
     """Prepare rules. At most one small row per width reaches the driver."""
-    shifted = rules.withColumn("shift", _rule_shift())
+    shifted = rules.withColumn("shift", F.expr(_rule_shift()))
     per_shift = shifted.groupBy("shift").agg(
         *size_columns(rules),
-        F.count_if(F.coalesce(F.col("endNum") < F.col("startNum"), F.lit(True))).alias("bad"),
+        F.expr("count_if(coalesce(endNum < startNum, true)) as bad"),
     ).collect()
     if validate and any(row["bad"] for row in per_shift):
         raise ValueError("IP rules with a missing bound or with start above end")
 
-    def bucket(bound: str) -> Column:
-        return F.coalesce(*[F.when(F.col("shift") == s, F.shiftright(bound, s)) for s in SHIFTS])
-
-    entries = shifted.select(
+    entries = shifted.selectExpr(
         "shift",
-        F.explode(F.array_distinct(F.array(bucket("startNum"), bucket("endNum")))).alias("bucket"),
-        "startNum", "endNum", F.struct(*_REGION).alias("region"))
+        "explode(array_distinct(array(shiftright(startNum, shift), shiftright(endNum, shift))))"
+        " as bucket",
+        "startNum", "endNum", f"struct({', '.join(_REGION)}) as region")
     index = RegionIndex(
         entries,
         tuple(sorted(row["shift"] for row in per_shift)),
@@ -99,13 +98,8 @@ def overlapping_rules(rules: DataFrame, index: RegionIndex) -> DataFrame:
 def _probe(frame: DataFrame, index: RegionIndex, shift: int, how: str) -> DataFrame:
     entries = index.at(shift)
     side = F.broadcast(entries) if index.fits else entries.hint("shuffle_merge")
-    number = F.col("_number")
-    return frame.join(
-        side,
-        (F.shiftright(number, shift) == F.col("_bucket"))
-        & (number >= F.col("_start")) & (number <= F.col("_end")),
-        how,
-    ).drop("_bucket", "_start", "_end")
+    held = F.expr(f"shiftright(_number, {shift}) = _bucket and _number between _start and _end")
+    return frame.join(side, held, how).drop("_bucket", "_start", "_end")
 
 
 def _resolve(frame: DataFrame, index: RegionIndex) -> DataFrame:
@@ -113,12 +107,8 @@ def _resolve(frame: DataFrame, index: RegionIndex) -> DataFrame:
     probed = frame
     for shift in index.shifts:
         probed = _probe(probed, index, shift, "left")
-    if not index.shifts:
-        empty = F.lit(None).cast("struct<" + ",".join(f"{c}:string" for c in _REGION) + ">")
-        return frame.withColumn("_region", empty)
-    return probed.select(
-        *frame.columns,
-        F.coalesce(*[F.col(f"_region{s}") for s in index.shifts]).alias("_region"))
+    found = ", ".join([f"_region{s}" for s in index.shifts] + [_NO_REGION])
+    return probed.selectExpr(*frame.columns, f"coalesce({found}) as _region")
 
 
 def with_region(
@@ -130,29 +120,28 @@ def with_region(
     addresses meet the rules, and the answer is joined back with salted keys.
     """
     reference = check_semantics(semantics)
-    numbered = frame.withColumn("_number", ip_number(F.col(ip), strict=reference))
+    split = evaluate_once(frame, ip_parts(ip), "_parts", *frame.columns)
+    numbered = split.selectExpr(
+        *frame.columns, f"{ip_number('_parts', ip, strict=reference)} as _number")
     if index.fits:
         resolved = _resolve(numbered, index)
     else:
-        addresses = numbered.select("_number").where(F.col("_number").isNotNull()).distinct()
-        known = _resolve(addresses, index).where(F.col("_region").isNotNull())
+        addresses = numbered.select("_number").where("_number is not null").distinct()
+        known = _resolve(addresses, index).where("_region is not null")
         resolved = lookup_join(numbered, known, "_number", fits=False)
 
-    region = F.col("_region")
     # An existing rule file never yields a NULL city, so the fallback to the area only
     # happens in the intended reading, where an empty city counts as missing.
-    city = region["city"] if reference else F.coalesce(F.nullif(region["city"], F.lit("")),
-                                                       region["area"])
-
-    def known_or_missing(value: Column) -> Column:
-        return F.when(region.isNull(), F.lit(MISSING)).otherwise(value)
-
-    return resolved.select(
-        *frame.columns,
-        known_or_missing(region["province"]).alias("ipProvince"),
-        known_or_missing(city).alias("ipCity"),
-        known_or_missing(region["area"]).alias("ipArea"),
-        known_or_missing(region["operator"]).alias("operator"))
+    city = "_region.city" if reference else "coalesce(nullif(_region.city, ''), _region.area)"
+    columns = {
+        "ipProvince": "_region.province",
+        "ipCity": city,
+        "ipArea": "_region.area",
+        "operator": "_region.operator",
+    }
+    return resolved.selectExpr(*frame.columns, *[
+        f"case when _region is null then '{MISSING}' else {value} end as {name}"
+        for name, value in columns.items()])
 
 
 def area_table(

@@ -22,27 +22,19 @@ def session_summary(source: DataFrame, semantics: str = INTENDED) -> DataFrame:
     field as soon as an earlier one contains a comma.
     """
     reference = check_semantics(semantics)
-    order = row_token(SOURCE_COLUMNS, _TIME_TOKEN) if reference else F.col("serverTime")
-    event = F.struct(order.alias("order"), "reqSerial", "serverTime", "deviceNum", "customerId")
-    pages = source.groupBy("day", "sessionId", "currentUrl").agg(
-        F.min(event).alias("first"), F.max(event).alias("last"))
-
-    def on_page(end: str):
-        return F.struct(F.col(end)["order"].alias("order"),
-                        F.col(end)["reqSerial"].alias("reqSerial"),
-                        F.col(end).alias("event"), F.col("currentUrl").alias("page"))
-
+    order = row_token(SOURCE_COLUMNS, _TIME_TOKEN) if reference else "serverTime"
+    events = source.selectExpr(
+        "day", "sessionId", "currentUrl",
+        f"struct({order} as order, reqSerial, serverTime, deviceNum, customerId) as event")
+    pages = events.groupBy("day", "sessionId", "currentUrl").agg(
+        F.min("event").alias("first"), F.max("event").alias("last"))
     sessions = pages.groupBy("day", "sessionId").agg(
-        F.min(on_page("first")).alias("first"), F.max(on_page("last")).alias("last"),
-        F.count(F.lit(1)).alias("visitPageNum"))
-    page_count = F.col("visitPageNum")
-    return sessions.select(
-        F.col("first.event.deviceNum").alias("deviceNum"),
-        F.col("first.event.customerId").alias("customerId"),
-        F.col("sessionId").alias("sessionID"),
-        F.col("first.event.serverTime").alias("startTime"),
-        F.col("last.event.serverTime").alias("endTime"),
-        F.col("first.page").alias("entryPage"),
-        F.col("last.page").alias("leavePage"),
-        (page_count.cast("string") if reference else page_count).alias("visitPageNum"),
-        "day")
+        F.expr("min(struct(first.order, first.reqSerial, first as event, currentUrl)) as first"),
+        F.expr("max(struct(last.order, last.reqSerial, last as event, currentUrl)) as last"),
+        F.expr("count(1) as pages"))
+    return sessions.selectExpr(
+        "first.event.deviceNum as deviceNum", "first.event.customerId as customerId",
+        "sessionId as sessionID", "first.event.serverTime as startTime",
+        "last.event.serverTime as endTime", "first.currentUrl as entryPage",
+        "last.currentUrl as leavePage",
+        f"cast(pages as {'string' if reference else 'bigint'}) as visitPageNum", "day")

@@ -8,7 +8,17 @@ from pyspark.sql import types as T
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw log lines as column `value`. The path may be a folder or a glob."""
-    return spark.read.text(path)
+    return spread_small_scan(spark.read.text(path))
+
+
+def spread_small_scan(frame: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that would keep less than half of the cores busy.
+
+    One gzip file or one parquet row group is one task, however many cores there are.
+    A scan with enough splits, hence any large one, is left alone: no shuffle.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 < cores else frame
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

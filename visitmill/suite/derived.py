@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from visitmill.sources.logs import spread_small_scan
+
 DAY = "2024-01-10"
 
 _TIME = "case when event_id%13=0 then date_trunc('hour', ts) else ts end"
@@ -40,10 +42,14 @@ _FIELDS = (
 )
 
 
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_small_scan(spark.read.parquet(f"{folder}/events.parquet").select(
+        "event_id", "ts", "user_id", "event_type"))
+
+
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One raw line per event."""
-    events = spark.read.parquet(f"{folder}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type")
+    events = _events(spark, folder)
     line = f"concat_ws('\t', {', '.join(_FIELDS)}) || if(event_id%23=0, '\t', '')"
     return events.selectExpr("*", f"{_TIME} as tt").selectExpr(
         f"if(event_id%17=0, 'short\tline' || event_id, {line}) as value")
@@ -76,8 +82,11 @@ def json_objects(spark: SparkSession, folder: str) -> DataFrame:
 
     Every seventh report lacks its version, and every eleventh names its source twice.
     """
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    def pair(k, v): return f"""'{{"key":"{k}","value":"' || {v} || '"}}'"""
+    events = _events(spark, folder)
+
+    def pair(key: str, value: str) -> str:
+        return f"""'{{"key":"{key}","value":"' || {value} || '"}}'"""
+
     report = [
         pair("data_type", "event_type"), pair("source_name", "'s' || user_id%7"),
         "if(event_id%11=0, " + pair("source_name", "'again' || user_id") + ", null)",

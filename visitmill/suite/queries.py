@@ -89,13 +89,19 @@ def _log_hours(semantics: str) -> Query:
     return query
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
 def _source_table(spark: SparkSession, folder: str) -> str:
-    """Clean logs in a new partitioned table in the shared folder; gives its name."""
-    name = f"visitmill_source_{uuid.uuid4().hex}"
-    create_table(spark, name, SOURCE_SCHEMA,
-                 location=f"{shared_folder(spark)}/visitmill/{name}")
-    insert_partitions(source(spark, folder), name)
-    return name
+    """Clean logs in a partitioned table in the shared folder, written once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _written:
+        name = f"visitmill_source_{uuid.uuid4().hex}"
+        create_table(spark, name, SOURCE_SCHEMA,
+                     location=f"{shared_folder(spark)}/visitmill/{name}")
+        insert_partitions(source(spark, folder), name)
+        _written[key] = name
+    return _written[key]
 
 
 def _table_day(spark: SparkSession, folder: str) -> DataFrame:
