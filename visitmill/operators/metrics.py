@@ -15,6 +15,7 @@ fine keys roll up exactly to coarser ones, so all metrics of a table share one s
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -120,15 +121,18 @@ def metric_table(
 
 
 def metric_set(
-    frame: DataFrame, source: str, day: str, semantics: str = INTENDED, as_of: str | None = None
+    frame: DataFrame, source: str, day: str, semantics: str = INTENDED, as_of: str | None = None,
+    names: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All metric tables of one input table from a single scan of it.
+    """All (or the named) metric tables of one input table from a single scan of it.
 
     The facts by all keys are written once to the shared folder; each table rolls them up.
     """
-    names = [n for n, m in METRICS.items() if m.source == source]
+    if names is None:
+        names = [n for n, m in METRICS.items() if m.source == source]
     keys = tuple(dict.fromkeys(k for n in names for k in METRICS[n].inputs))
-    facts = stage(identity_facts(frame, keys, day, EVENT_COLUMN[source], (VISITOR, MEMBER), as_of))
+    families = tuple(dict.fromkeys(METRICS[n].family for n in names))
+    facts = stage(identity_facts(frame, keys, day, EVENT_COLUMN[source], families, as_of))
     return {
         n: metric_from_facts(roll_up(facts, METRICS[n].inputs), n, day, semantics) for n in names
     }

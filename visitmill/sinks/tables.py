@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitmill.functions.text import literal
 from visitmill.schema import PARTITION_COLUMNS
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -29,34 +30,60 @@ def create_table(
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
     before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    spark.conf.set(_OVERWRITE_MODE, mode)
     try:
         yield
     finally:
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
+def _compacted(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rebalance before a partitioned write.
+
+    One shuffle, after which files have the advisory size instead of being one small
+    file per task and hour, and an hour with most of the rows is split over tasks.
+    """
+    return rows.hint("rebalance", *[F.col(c) for c in partitions])
+
+
 def insert_partitions(
-    frame: DataFrame, table: str, overwrite: bool = True, compact: bool = True
+    frame: DataFrame, table: str, overwrite: bool = False, compact: bool = True
 ) -> None:
     """Insert rows into the (day, hour) partitions of a table, matching columns by name.
 
-    `overwrite` replaces exactly the partitions present in the frame, so a job that
-    runs again does not double them; without it rows are appended. `compact` adds a
-    rebalancing shuffle: files come out at the advisory size rather than one small
-    file per task and hour, and an hour with most of the rows is split over tasks.
+    Appends; with `overwrite` each partition present in the frame is replaced.
     """
     spark = frame.sparkSession
     rows = frame.select(*spark.table(table).columns)
     if compact:
-        rows = rows.hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
-    if overwrite:
-        with _dynamic_overwrite(spark):
-            rows.write.insertInto(table, overwrite=True)
-    else:
-        rows.write.insertInto(table, overwrite=False)
+        rows = _compacted(rows, PARTITION_COLUMNS)
+    with _overwrite_mode(spark, "dynamic"):
+        rows.write.insertInto(table, overwrite=overwrite)
+
+
+def replace_day(
+    frame: DataFrame, table: str, day: str, partitions: tuple[str, ...] = PARTITION_COLUMNS,
+    compact: bool = True,
+) -> None:
+    """Make a frame the whole content of one day, so that a job may run again.
+
+    Hours of the day that the frame no longer has are emptied as well. All rows must
+    belong to the day.
+    """
+    spark = frame.sparkSession
+    strays = F.when(F.col("day") == day, F.col("day")).otherwise(
+        F.raise_error(F.lit(f"row of another day in the output for {day}")))
+    inner = [c for c in partitions if c != "day"]
+    columns = [c for c in spark.table(table).columns if c not in partitions] + inner
+    rows = frame.withColumn("day", strays).where(F.col("day").isNotNull()).select(*columns)
+    if compact and inner:
+        rows = _compacted(rows, inner)
+    spec = ", ".join([f"day = {literal(day)}", *inner])
+    with _overwrite_mode(spark, "static"):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{rows}}",
+                  rows=rows)
 
 
 def load_text_table(
