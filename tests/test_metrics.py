@@ -1,0 +1,159 @@
+import random
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from visitmill.operators.metrics import (
+    METRICS, members_by_region_unfiltered, metric_set, metric_table,
+)
+
+DAY = "2024-01-10"
+KEYS = ("ipProvince", "ipCity", "app_channel", "platform", "traffic")
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    chance = random.Random(3)
+    found = []
+    for i in range(3000):
+        member = chance.random() < 0.5
+        found.append((
+            # A third of all rows share one province, city and device.
+            "hot" if i % 3 == 0 else chance.choice(["P1", "P2", "P3", "MEMBERS", "-1"]),
+            "hot" if i % 3 == 0 else chance.choice(["C1", "C2", "-1"]),
+            chance.choice(["a", "b", ""]), chance.choice(["ios", "web"]), chance.choice(["x", "y"]),
+            "d-hot" if i % 3 == 0 else f"d{chance.randint(0, 60)}",
+            f"c{chance.randint(0, 60)}" if member else "-1",
+            chance.choice(["e_l", "view", "view"]),
+            chance.choice([DAY, DAY, "2024-01-09", "2024-01-11"])))
+    found = [r for r in found if r[0] != "MEMBERS" or r[6] != "-1"]
+    # Null keys, ids and identities.
+    found += [(None, None, None, None, None, "d1", "-1", "e_l", DAY),
+              (None, None, None, None, None, "d1", "c1", "e_l", DAY),
+              ("NULLDEV", "N", "n", "n", "n", None, "-1", "view", DAY),
+              ("NOBODY", "Z", "z", "z", "z", "d1", None, "view", DAY),
+              ("OLD", "O", "o", "o", "o", "d1", "c7", "view", "2024-01-01")]
+    frame = spark.createDataFrame(
+        found, ", ".join(f"{k} string" for k in KEYS)
+        + ", deviceNum string, customerId string, eventId string, day string")
+    return frame.withColumn("eventName", F.col("eventId")).cache()
+
+
+def counts(frame, keys, who, column, extra="true"):
+    return frame.where(f"{who} and {extra}").groupBy(*keys).agg(
+        F.count_distinct(column).alias("n"))
+
+
+def joined(base, others, on):
+    """Left joins as the result tables define them: plain equality, one per count."""
+    result = base.alias("t0")
+    for i, (name, other) in enumerate(others.items()):
+        right = other.select(*[F.col(k).alias(f"{k}_{i}") for k in on], F.col("n").alias(name))
+        condition = [F.col(f"t0.{k}") == F.col(f"{k}_{i}") for k in on]
+        result = result.join(right, condition, "left").drop(*[f"{k}_{i}" for k in on])
+    return result
+
+
+def literal(frame, metric):
+    keys = metric.inputs
+    today, new = f"day = '{DAY}'", f"day = '{DAY}' and eventId = 'e_l'"
+    visitor, member = "customerId = '-1'", "customerId != '-1'"
+    v = counts(frame, keys, visitor, "deviceNum", today)
+    parts = {"m": counts(frame, keys, member, "customerId", today),
+             "vn": counts(frame, keys, visitor, "deviceNum", new),
+             "mn": counts(frame, keys, member, "customerId", new)}
+    on = keys[-1:]
+    names = [f"{k} as {out}" for k, out in metric.keys] + [f"'{DAY}' as day"]
+
+    def z(c):
+        return f"(case when {c} is null then 0 end)"
+    if metric.family == "visitor":
+        return joined(v, parts, on).selectExpr(
+            f"n + {z('m')} as uv_act", f"{z('vn')} + {z('mn')} as uv_new", *names)
+    everyone = counts(frame, keys, member, "customerId")
+    parts.pop("vn")
+    return joined(everyone, parts, on).selectExpr("n as uv_act", "mn as uv_new", "m as uv_all",
+                                                  *names)
+
+
+def naive(frame, metric):
+    """Intended: one aggregate with conditional distinct counts per key."""
+    today, new = F.col("day") == DAY, (F.col("day") == DAY) & (F.col("eventId") == "e_l")
+    visitor, member = F.col("customerId") == "-1", F.col("customerId") != "-1"
+
+    def n(condition, column):
+        return F.count_distinct(F.when(condition, F.col(column)))
+    out = [F.col(k).alias(o) for k, o in metric.keys] + [F.lit(DAY).alias("day")]
+    grouped = frame.groupBy(*metric.inputs).agg(
+        n(visitor & today, "deviceNum").alias("v"), n(visitor & new, "deviceNum").alias("vn"),
+        n(member & today, "customerId").alias("m"), n(member & new, "customerId").alias("mn"),
+        n(member, "customerId").alias("all"),
+        F.max((visitor | member) & today).alias("any_today"), F.max(member).alias("any_member"))
+    if not metric.keys:
+        grouped = grouped.withColumns({"any_today": F.lit(True), "any_member": F.lit(True)})
+    if metric.family == "visitor":
+        columns = [(F.col("v") + F.col("m")).alias("uv_act"),
+                   (F.col("vn") + F.col("mn")).alias("uv_new")]
+        if metric.table == "dw_user_visit_daliy_act":
+            columns = [columns[0].alias("UV")]
+        return grouped.where("any_today").select(*columns, *out)
+    return grouped.where("any_member").select(
+        F.col("m").alias("uv_act"), F.col("mn").alias("uv_new"), F.col("all").alias("uv_all"), *out)
+
+
+@pytest.mark.parametrize("name", METRICS)
+def test_intended_equals_conditional_distinct(events, name):
+    got = metric_table(events, name, DAY)
+    want = naive(events, METRICS[name])
+    assert got.columns == want.columns and rows(got) == rows(want)
+    text = plan(got)
+    assert "Expand" not in text and "Join" not in text
+
+
+@pytest.mark.parametrize("name", [n for n, m in METRICS.items() if m.keys])
+def test_reference_equals_literal_joins(events, name):
+    got, want = metric_table(events, name, DAY, "reference"), literal(events, METRICS[name])
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("semantics", ["intended", "reference"])
+@pytest.mark.parametrize("source", ["source", "area", "platform"])
+def test_set_equals_single_tables(events, source, semantics):
+    found = metric_set(events, source, DAY, semantics)
+    assert set(found) == {n for n, m in METRICS.items() if m.source == source}
+    for name, frame in found.items():
+        assert rows(frame) == rows(metric_table(events, name, DAY, semantics)), name
+
+
+def test_part_of_a_set(events):
+    found = metric_set(events, "area", DAY, names=["visitors_by_province"])
+    assert list(found) == ["visitors_by_province"]
+    assert rows(found["visitors_by_province"]) == rows(
+        metric_table(events, "visitors_by_province", DAY))
+
+
+def test_empty_day_gives_zero_totals(events):
+    assert rows(metric_table(events, "daily_users", "1999-01-01")) == [(0, "1999-01-01")]
+    assert rows(metric_table(events, "visitors_by_province", "1999-01-01")) == []
+
+
+def test_as_of_limits_history(events):
+    free = metric_table(events, "daily_members", "2024-01-09").first()
+    bound = metric_table(events, "daily_members", "2024-01-01", as_of="2024-01-01").first()
+    assert free.uv_all == 61 and bound.uv_all == 1
+
+
+def test_visitor_metrics_read_one_day(spark, events, tmp_path):
+    path = str(tmp_path / "area")
+    events.write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    text = plan(metric_table(stored, "visitors_by_province", DAY))
+    assert f"(day" in text.split("PartitionFilters", 1)[1].split("\n")[0]
+    read = text.split("ReadSchema", 1)[1].split("\n")[0]
+    assert "traffic" not in read and "ipCity" not in read
+
+
+def test_unfiltered_members(events):
+    got = members_by_region_unfiltered(events.where("ipProvince = 'NULLDEV' or ipProvince = 'OLD'"))
+    assert rows(got) == [("N", "NULLDEV", 1), ("O", "OLD", 1)]

@@ -1,0 +1,63 @@
+"""The registered queries against their SQL, and the shape of their plans."""
+
+import contextlib
+import io
+import re
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from visitmill.suite import derived
+
+SMALL = "/root/testdata/sf0.001"
+QUERIES = entry.queries()
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for path in Path(SMALL).glob("*.parquet"):
+        connection.execute(f"create view {path.stem} as select * from '{path}'")
+    return connection
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.oracle_sql()) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_equals_oracle(spark, db, name):
+    frame = QUERIES[name](spark, SMALL)
+    cursor = db.execute(entry.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(columns) == sorted(frame.columns)
+    want = sorted((tuple(r) for r in cursor.fetchall()), key=repr)
+    got = sorted((tuple(r) for r in frame.select(*columns).collect()), key=repr)
+    assert got == want and got
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["UV", "day"]
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("table")])
+def test_plans(spark, name, tmp_path, monkeypatch):
+    """No nested loops, no Python, and generated methods that the JVM compiles."""
+    path = str(tmp_path / "raw")
+    derived.raw_lines(spark, SMALL).write.text(path)
+    monkeypatch.setattr(derived, "raw_lines", lambda *_: spark.read.text(path))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame, out = QUERIES[name](spark, SMALL), io.StringIO()
+        with contextlib.redirect_stdout(out):
+            frame.explain("codegen")
+            frame.explain()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    text = out.getvalue()
+    sizes = [int(s) for s in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+    for word in ("NestedLoop", "CartesianProduct", "Python", "Pandas"):
+        assert word not in text
