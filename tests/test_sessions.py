@@ -59,6 +59,12 @@ def test_cut_at_midnight(spark):
     assert session_summary(frame).count() == 2
 
 
+def test_missing_page_counts_once(spark):
+    frame = source(spark, ("r1", "s", "10:00:00", None), ("r2", "s", "10:00:01", None),
+                   ("r3", "s", "10:00:02", "/a"))
+    assert session_summary(frame).first().visitPageNum == 2
+
+
 def by_window(frame):
     w = Window.partitionBy("day", "sessionId")
     order = ["serverTime", "reqSerial"]

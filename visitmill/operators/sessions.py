@@ -14,27 +14,27 @@ _TIME_TOKEN = 12
 def session_summary(source: DataFrame, semantics: str = INTENDED) -> DataFrame:
     """One row per session and day; sessions are cut at midnight.
 
-    Two combining aggregates, by (session, page) and then by session. No list of
-    events is built, and a session holding a large part of the log is spread over its
-    pages first. Events at the same time are ordered by request number.
+    One aggregate, which Spark runs by (session, day, page) first and by (session, day)
+    then, combining before each shuffle: a session with a large part of the log is spread
+    over its pages, and no list of its events is built. Events at the same time are
+    ordered by request number.
 
     Reference mode orders by the 13th comma token of the printed row, which is another
     field as soon as an earlier one contains a comma.
     """
     reference = check_semantics(semantics)
-    order = row_token(SOURCE_COLUMNS, _TIME_TOKEN) if reference else "serverTime"
+    order = "serverTime, reqSerial"
+    if reference:
+        order = f"{row_token(SOURCE_COLUMNS, _TIME_TOKEN)} as order, reqSerial, serverTime"
     events = source.selectExpr(
-        "day", "sessionId", "currentUrl",
-        f"struct({order} as order, reqSerial, serverTime, deviceNum, customerId) as event")
-    pages = events.groupBy("day", "sessionId", "currentUrl").agg(
-        F.min("event").alias("first"), F.max("event").alias("last"))
-    sessions = pages.groupBy("day", "sessionId").agg(
-        F.expr("min(struct(first.order, first.reqSerial, first as event, currentUrl)) as first"),
-        F.expr("max(struct(last.order, last.reqSerial, last as event, currentUrl)) as last"),
-        F.expr("count(1) as pages"))
+        "sessionId", "day", "currentUrl",
+        f"struct({order}, deviceNum, customerId, currentUrl) as event")
+    sessions = events.groupBy("sessionId", "day").agg(
+        F.min("event").alias("first"), F.max("event").alias("last"),
+        # A missing page counts as one page.
+        F.expr("count(distinct currentUrl) + max(int(currentUrl is null)) as pages"))
     return sessions.selectExpr(
-        "first.event.deviceNum as deviceNum", "first.event.customerId as customerId",
-        "sessionId as sessionID", "first.event.serverTime as startTime",
-        "last.event.serverTime as endTime", "first.currentUrl as entryPage",
-        "last.currentUrl as leavePage",
+        "first.deviceNum as deviceNum", "first.customerId as customerId",
+        "sessionId as sessionID", "first.serverTime as startTime", "last.serverTime as endTime",
+        "first.currentUrl as entryPage", "last.currentUrl as leavePage",
         f"cast(pages as {'string' if reference else 'bigint'}) as visitPageNum", "day")
