@@ -77,15 +77,20 @@ def test_stage_keeps_rows_in_the_shared_folder(spark):
 
 @pytest.fixture(scope="module")
 def inputs(spark, tmp_path_factory):
+    """Files for the jobs: lines of about three days, and both rule files."""
     folder = tmp_path_factory.mktemp("inputs")
-    derived.raw_lines(spark, SMALL).write.text(str(folder / "raw"))
+    raw = derived.raw_lines(spark, SMALL).where("value rlike 'Jan (09|10|11) |^short'")
+    raw.write.text(str(folder / "raw"))
+    patch = pytest.MonkeyPatch()
+    patch.setattr(derived, "raw_lines", lambda *_: spark.read.text(str(folder / "raw")))
     channel = derived.channel_rules(spark).orderBy("line_no").collect()
     (folder / "channel.txt").write_text("".join(
         f"{r.channelFrom}\t{r.app_channel}\t{r.platform}\t{r.traffic}\n" for r in channel))
     (folder / "ip.txt").write_text("".join(
         f"a|b|{r.startNum}|{r.endNum}|x|y|{r.province}|{r.city}|{r.area}|{r.operator}\n"
         for r in derived.ip_rules(spark).collect()))
-    return folder
+    yield folder
+    patch.undo()
 
 
 def run(spark, inputs, semantics="intended"):
@@ -93,13 +98,12 @@ def run(spark, inputs, semantics="intended"):
     names = jobs.Tables(*[prefix + n for n in ("source", "platform", "area", "session")])
     jobs.create_tables(spark, names, semantics)
     jobs.clean_job(spark, str(inputs / "raw"), names, semantics, export=str(inputs / prefix))
-    days = [r.day for r in spark.table(names.source).select("day").distinct().collect()]
     # One day is the daily job; the others are filled directly, to have a history.
     platform = queries.platform(spark, SMALL, semantics).where(f"day <> '{DAY}'")
     area = queries.area(spark, SMALL, semantics).where(f"day <> '{DAY}'")
     insert_partitions(platform, names.platform)
     insert_partitions(area, names.area)
-    assert len(days) > 20
+    assert spark.table(names.source).select("day").distinct().count() >= 3
     return names, prefix
 
 
@@ -144,6 +148,35 @@ def test_reference_jobs_append(spark, inputs):
     assert tuple(spark.table(names.source).columns) == SOURCE_COLUMNS
 
 
+def test_incremental_metrics_equal_a_full_scan(spark):
+    prefix = f"i{uuid.uuid4().hex}_"
+    names = jobs.Tables(*[prefix + n for n in ("source", "platform", "area", "session")])
+    data = {"source": [], "area": [], "platform": []}
+    days = ["2024-01-08", "2024-01-09", DAY]
+    for i in range(300):
+        data["source"].append((f"d{i % 7}", f"c{i % 23}" if i % 3 else "-1", days[i % 3 - i % 2],
+                               "e_l" if i % 5 == 0 else "v", f"k{i % 4}" if i % 9 else None))
+    frame = spark.createDataFrame(
+        data["source"], "deviceNum string, customerId string, day string, event string, k string")
+    for source in data:
+        keys = {k for m in METRICS.values() if m.source == source for k in m.inputs}
+        event = "eventName" if source == "source" else "eventId"
+        rows_ = frame.selectExpr("deviceNum", "customerId", f"event as {event}",
+                                 *[f"k as {k}" for k in sorted(keys)], "day")
+        rows_.write.partitionBy("day").saveAsTable(getattr(names, source))
+
+    def collect(day, **how):
+        found = {}
+        jobs.metrics_job(spark, day, lambda f, t: found.update({t: rows(f)}), names, **how)
+        return found
+    # Out of order, and one day twice.
+    for day in (days[1], days[0], days[2], days[2]):
+        last = collect(day, incremental=True)
+    assert last == collect(DAY) and len(last) == 13
+    bound = collect(days[0], incremental=True, as_of=days[0], semantics="reference")
+    assert bound == collect(days[0], as_of=days[0], semantics="reference")
+
+
 def test_metrics_job_refuses_unknown_names(spark):
     with pytest.raises(ValueError, match="unknown metrics"):
         jobs.metrics_job(spark, DAY, lambda frame, name: None, metrics=["nope"])

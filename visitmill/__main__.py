@@ -26,6 +26,8 @@ def arguments() -> argparse.ArgumentParser:
     metrics = steps.add_parser("metrics", help="all tables to metric tables")
     metrics.add_argument("day")
     metrics.add_argument("--as-of", help="last day that counts for all-time members")
+    metrics.add_argument("--incremental", action="store_true",
+                         help="scan the day only, with a table of known members")
     return parser
 
 
@@ -47,7 +49,7 @@ def main(argv: list[str] | None = None) -> None:
         jobs.session_job(spark, chosen.day, tables, mode)
     else:
         jobs.metrics_job(spark, chosen.day, jobs.table_sink(spark, chosen.day, prefix), tables,
-                         mode, chosen.as_of)
+                         mode, chosen.as_of, incremental=chosen.incremental)
 
 
 if __name__ == "__main__":

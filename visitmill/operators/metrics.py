@@ -120,6 +120,11 @@ def metric_table(
     return metric_from_facts(facts, name, day, semantics)
 
 
+def set_keys(names: Sequence[str]) -> tuple[str, ...]:
+    """The key columns that any of the metrics needs."""
+    return tuple(dict.fromkeys(k for n in names for k in METRICS[n].inputs))
+
+
 def metric_set(
     frame: DataFrame, source: str, day: str, semantics: str = INTENDED, as_of: str | None = None,
     names: Sequence[str] | None = None,
@@ -130,9 +135,14 @@ def metric_set(
     """
     if names is None:
         names = [n for n, m in METRICS.items() if m.source == source]
-    keys = tuple(dict.fromkeys(k for n in names for k in METRICS[n].inputs))
     families = tuple(dict.fromkeys(METRICS[n].family for n in names))
-    facts = stage(identity_facts(frame, keys, day, EVENT_COLUMN[source], families, as_of))
+    facts = identity_facts(frame, set_keys(names), day, EVENT_COLUMN[source], families, as_of)
+    return metric_set_from_facts(stage(facts), names, day, semantics)
+
+
+def metric_set_from_facts(
+    facts: DataFrame, names: Sequence[str], day: str, semantics: str = INTENDED
+) -> dict[str, DataFrame]:
     return {
         n: metric_from_facts(roll_up(facts, METRICS[n].inputs), n, day, semantics) for n in names
     }

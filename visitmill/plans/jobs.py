@@ -20,9 +20,10 @@ from pyspark.sql import types as T
 from visitmill.operators.channel import platform_table
 from visitmill.operators.clean import clean_logs, cleaned_lines
 from visitmill.operators.hours import SESSION_NINE_JOINT, with_hour
-from visitmill.operators.metrics import METRICS, metric_set
+from visitmill.operators.metrics import METRICS, metric_set, metric_set_from_facts
 from visitmill.operators.region import area_table, region_index
 from visitmill.operators.sessions import session_summary
+from visitmill.plans.members import facts_with_known_members
 from visitmill.schema import (
     AREA_SCHEMA, INTENDED, PLATFORM_SCHEMA, SESSION_SCHEMA, SESSION_SCHEMA_REFERENCE,
     SOURCE_SCHEMA, check_semantics,
@@ -109,11 +110,13 @@ def session_job(
 def metrics_job(
     spark: SparkSession, day: str, sink: Sink, tables: Tables = Tables(),
     semantics: str = INTENDED, as_of: str | None = None,
-    metrics: Iterable[str] = DEFAULT_METRICS,
+    metrics: Iterable[str] = DEFAULT_METRICS, incremental: bool = False,
 ) -> None:
     """Compute the metric tables of a day and hand each to the sink with its name.
 
-    Each input table is scanned once, for all of its metrics.
+    Each input table is scanned once, for all of its metrics. All-time members need the
+    whole history; with `incremental` they come from a table of known members that each
+    run extends, and only the day itself is scanned. Every day must then have been run.
     """
     wanted = set(metrics)
     unknown = wanted - set(METRICS)
@@ -123,8 +126,14 @@ def metrics_job(
         names = [n for n in METRICS if n in wanted and METRICS[n].source == source]
         if not names:
             continue
-        history = read_history(spark, getattr(tables, source))
-        for name, frame in metric_set(history, source, day, semantics, as_of, names).items():
+        table = getattr(tables, source)
+        history = read_history(spark, table)
+        if incremental:
+            facts = facts_with_known_members(history, source, f"{table}_members", day, as_of)
+            found = metric_set_from_facts(facts, names, day, semantics)
+        else:
+            found = metric_set(history, source, day, semantics, as_of, names)
+        for name, frame in found.items():
             sink(frame, METRICS[name].table)
 
 
