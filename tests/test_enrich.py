@@ -124,6 +124,17 @@ def test_region_equals_brute_force(spark, seed, broadcast_bytes):
     assert ("BroadcastHashJoin" in text) == (broadcast_bytes > 0)
 
 
+def test_wide_rules_are_broadcast_when_narrow_ones_do_not_fit(spark):
+    rules = [(i * 2, i * 2, "n", "n", "n", "n") for i in range(3000)]
+    rules += [(10 ** 6, 10 ** 12, "w", "w", "w", "w")]
+    frame = spark.createDataFrame(rules, IP_SCHEMA)
+    index = region_index(frame, broadcast_bytes=10_000)
+    assert index.shifts == (8, 40) and index.small == {40} and not index.fits
+    assert region_index(frame).fits
+    probes = spark.createDataFrame([("4",), ("5",), ("5000000000",)], "ip string")
+    assert [r[1] for r in rows(with_region(probes, index))] == ["n", "-1", "w"]
+
+
 def test_no_rules(spark):
     index = region_index(spark.createDataFrame([], IP_SCHEMA))
     assert rows(with_region(spark.createDataFrame([("1.1.1.1",)], "ip string"), index)) == [

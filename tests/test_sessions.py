@@ -114,6 +114,7 @@ def test_reference_hours_equal_between(spark, joint, present):
             if low <= t <= high:
                 expected.append((t, f"{h:02d}"))
     assert got == sorted(expected)
+    assert "BroadcastHashJoin" in plan(with_hour(frame, "t", "reference", hours, joint))
 
 
 def test_intended_hours(spark):

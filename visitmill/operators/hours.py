@@ -28,7 +28,8 @@ def with_hour(
     malformed bound of hour 9 sorts after all times of the day or before them,
     depending on the writer. A row can therefore only belong to its own hour, the
     hour before, or hour 9. These few candidates are built from the row itself and
-    checked against their bounds, so the range join becomes an equi-join.
+    checked against their bounds, so the range join becomes an equi-join. `hours` has
+    at most 24 rows per calendar day, which bounds what is broadcast.
     """
     if not check_semantics(semantics):
         return frame.withColumn("hour", hour_of(F.col(time)))
@@ -38,8 +39,9 @@ def with_hour(
     candidates = F.array_distinct(F.array(own, F.greatest(own - 1, F.lit(0)), F.lit(9)))
     spread = frame.withColumn("_hour", F.explode(candidates))
     held = spread.where(_holds(F.col(time), F.col("day"), F.col("_hour"), nine_joint))
-    present = hours.select("day", F.col("hour").alias("_hour")).distinct()
-    return (held.join(present, ["day", "_hour"], "left_semi")
+    present = (hours.where(F.col("hour").between(0, 23))
+               .select("day", F.col("hour").alias("_hour")).distinct())
+    return (held.join(F.broadcast(present), ["day", "_hour"], "left_semi")
             .select(*frame.columns, F.lpad(F.col("_hour").cast("string"), 2, "0").alias("hour")))
 
 

@@ -33,12 +33,16 @@ class RegionIndex:
     """Rules prepared for bucket lookup.
 
     `entries` has columns shift, bucket, startNum, endNum, region; `shifts` are the
-    widths in use; `fits` tells whether all of it may be broadcast.
+    widths in use; `small` are those whose entries may be broadcast together.
     """
 
     entries: DataFrame
     shifts: tuple[int, ...]
-    fits: bool
+    small: frozenset[int]
+
+    @property
+    def fits(self) -> bool:
+        return self.small == frozenset(self.shifts)
 
     def at(self, shift: int) -> DataFrame:
         return self.entries.where(f"shift = {shift}").selectExpr(
@@ -71,11 +75,16 @@ def region_index(
         "explode(array_distinct(array(shiftright(startNum, shift), shiftright(endNum, shift))))"
         " as bucket",
         "startNum", "endNum", f"struct({', '.join(_REGION)}) as region")
-    index = RegionIndex(
-        entries,
-        tuple(sorted(row["shift"] for row in per_shift)),
-        2 * sum(row["bytes"] for row in per_shift) <= broadcast_bytes,
-    )
+    # Wide buckets first: they hold few rules, but all addresses of a shuffled wide
+    # bucket would meet in one task.
+    small, room = set(), broadcast_bytes
+    for row in sorted(per_shift, key=lambda row: -row["shift"]):
+        room -= 2 * row["bytes"]
+        if room < 0:
+            break
+        small.add(row["shift"])
+    shifts = tuple(sorted(row["shift"] for row in per_shift))
+    index = RegionIndex(entries, shifts, frozenset(small))
     if validate and overlapping_rules(rules, index).limit(1).count():
         raise ValueError("IP rules overlap: an address may have more than one region")
     return index
@@ -97,7 +106,7 @@ def overlapping_rules(rules: DataFrame, index: RegionIndex) -> DataFrame:
 
 def _probe(frame: DataFrame, index: RegionIndex, shift: int, how: str) -> DataFrame:
     entries = index.at(shift)
-    side = F.broadcast(entries) if index.fits else entries.hint("shuffle_merge")
+    side = F.broadcast(entries) if shift in index.small else entries.hint("shuffle_merge")
     held = F.expr(f"shiftright(_number, {shift}) = _bucket and _number between _start and _end")
     return frame.join(side, held, how).drop("_bucket", "_start", "_end")
 
