@@ -59,25 +59,35 @@ def create_tables(spark: SparkSession, tables: Tables, semantics: str = INTENDED
 
 def clean_job(
     spark: SparkSession, path: str, tables: Tables = Tables(), semantics: str = INTENDED,
-    overwrite: bool = False, export: str | None = None, **options,
+    overwrite: bool = False, export: str | None = None, compact: bool = True, **options,
 ) -> None:
     """Clean raw files into the source table, and optionally export the lines as text.
 
+    `compact=False` saves the shuffle before the write when the raw files are already in
+    time order, so that each split holds few hours.
+
     Appends by default: a file may hold rows of neighbouring hours, and replacing those
     partitions would lose what other files put there. `overwrite` is for input that
     holds whole hours. `options` go to `clean_logs`.
     """
     rows = clean_logs(read_lines(spark, path), semantics, **options)
-    insert_partitions(rows, tables.source, overwrite)
+    insert_partitions(rows, tables.source, overwrite, compact)
     if export:
         write_lines(cleaned_lines(rows), export)
 
 
-def _write_day(frame: DataFrame, table: str, day: str, semantics: str) -> None:
+def _write_day(
+    frame: DataFrame, table: str, day: str, semantics: str, compact: bool = False
+) -> None:
+    """Write a day of output.
+
+    Rows that come straight from a table partitioned by hour need no rebalancing: a scan
+    task holds one hour, or a few small ones.
+    """
     if check_semantics(semantics):
-        insert_partitions(frame, table)
+        insert_partitions(frame, table, compact=compact)
     else:
-        replace_day(frame, table, day)
+        replace_day(frame, table, day, compact=compact)
 
 
 def channel_job(
@@ -104,7 +114,7 @@ def session_job(
     sessions = session_summary(read_day(spark, tables.source, day), semantics)
     placed = with_hour(sessions, "startTime", semantics,
                        partition_hours(spark, tables.source, day), SESSION_NINE_JOINT)
-    _write_day(placed, tables.session, day, semantics)
+    _write_day(placed, tables.session, day, semantics, compact=True)
 
 
 def metrics_job(
