@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmill.llm import packing, simhash
+from visitmill.llm import decontaminate, linededup, packing, simhash
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,12 +27,63 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.without_repeats(table(spark, folder, "documents")).select("doc_id", "text")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_best_fit_packing": op2_best_fit_packing,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op9_benchmark_decontamination": op9_benchmark_decontamination,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
+OP9_SQL = r"""
+with lowered as (
+  select 'd' as side, doc_id as id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents
+  union all
+  select 'b', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+  from benchmark),
+words as (
+  select side, id, coalesce(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as ws
+  from lowered),
+item_windows as (
+  select distinct id as item_id, n, array_to_string(ws[i:i + n - 1], ' ') as span
+  from (select id, ws, least(10, len(ws)) as n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) as i
+        from words where side = 'b' and len(ws) > 0)),
+doc_windows as (
+  select id as doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') as span
+  from (select id, ws, n, unnest(range(1, len(ws) - n + 2)) as i
+        from words, (select distinct n from item_windows) where side = 'd' and len(ws) >= n)),
+hits as (select doc_id, i, n, item_id from doc_windows join item_windows using (n, span)),
+hit_words as (
+  select doc_id, count(distinct place) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as place from (select distinct doc_id, i, n from hits))
+  group by doc_id),
+hit_items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select w.id as doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from words w left join hit_words h on h.doc_id = w.id left join hit_items i on i.doc_id = w.id
+where side = 'd'
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op9_benchmark_decontamination": OP9_SQL,
+    }

@@ -18,9 +18,15 @@ STEP = 0x94D049BB133111EB
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _VALUES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)[_LOWER]
-_POWERS = np.concatenate(([1], np.full(SLICE_BYTES, BASE))).astype(np.uint64).cumprod(dtype=np.uint64)
-_INVERSES = np.concatenate(
-    ([1], np.full(SLICE_BYTES, pow(BASE, -1, 2**64)))).astype(np.uint64).cumprod(dtype=np.uint64)
+
+
+def _powers(base: int) -> np.ndarray:
+    factors = np.full(SLICE_BYTES + 1, base, dtype=np.uint64)
+    factors[0] = 1
+    return factors.cumprod(dtype=np.uint64)
+
+
+_POWERS, _INVERSES = _powers(BASE), _powers(pow(BASE, -1, 2**64))
 
 #: ASCII white space: space and \\t to \\r; every other byte belongs to a word.
 NOT_SPACE = np.ones(256, dtype=bool)
