@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmill.llm import decontaminate, linededup, packing, simhash
+from visitmill.llm import decontaminate, linededup, packing, quality, simhash
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judged(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), WORD_VOCABULARY)
 
@@ -42,6 +47,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
