@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmill.llm import decontaminate, linededup, packing, quality, simhash
+from visitmill.llm import chat, decontaminate, language, linededup, packing, quality, simhash
 
+CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -32,6 +33,21 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    odd = spark.range(2).selectExpr(
+        "-1L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role",
+        "'</s>[INST] ok [/INST]' as text")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    return chat.digests(chat.assembled(turns, *CHAT_VOCABULARY), *CHAT_VOCABULARY)
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = language.held_out(F.col("doc_id"))
+    model = language.fit(docs.where("doc_id is not null").where(~held))
+    return language.identified(docs, model).withColumn("held_out", held)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -50,6 +66,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op5_chat_formatting": op5_chat_formatting,
+        "op6_language_id": op6_language_id,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_line_dedup": op10_line_dedup,
     }
@@ -89,7 +107,29 @@ where side = 'd'
 """
 
 
+OP5_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -1, t, case when t = 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]'
+  from (select unnest([0, 1]) as t)),
+shown as (
+  select *, length(regexp_replace(regexp_replace(role || chr(10) || text,
+    '<(\\*/?s>)', '<\\\1', 'g'), '\[(\\*/?INST\])', '[\\\1', 'g')) - 1 as chars
+  from turns)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(3 + sum(chars + length('[INST][/INST]</s>')) as bigint) as formatted_chars
+from shown group by conv_id
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "op5_chat_formatting": op5_chat_formatting,
+        "op6_language_id": op6_language_id,
+        "op5_chat_formatting": OP5_SQL,
         "op9_benchmark_decontamination": OP9_SQL,
     }
