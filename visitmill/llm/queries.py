@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmill.llm import chat, decontaminate, language, linededup, packing, quality, simhash
+from visitmill.llm import chat, decontaminate, language, linededup, packing, pii, quality, simhash
 
 CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+# A job passes a key of its own.
+DEMONSTRATION_KEY = "demonstration only"
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -48,6 +50,10 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(docs, model).withColumn("held_out", held)
 
 
+def op8_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, folder, "documents").select("doc_id", "text"), DEMONSTRATION_KEY)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -68,6 +74,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op5_chat_formatting": op5_chat_formatting,
         "op6_language_id": op6_language_id,
+        "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_line_dedup": op10_line_dedup,
     }
@@ -131,5 +138,6 @@ def oracles() -> dict[str, str]:
         "op5_chat_formatting": op5_chat_formatting,
         "op6_language_id": op6_language_id,
         "op5_chat_formatting": OP5_SQL,
+        "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": OP9_SQL,
     }
