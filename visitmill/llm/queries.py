@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmill.llm import chat, decontaminate, language, linededup, packing, pii, quality, simhash
+from visitmill.llm import (
+    chat, decontaminate, language, linededup, lmscore, packing, pii, quality, simhash, tokencounts)
 
 CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 # A job passes a key of its own.
@@ -29,6 +30,12 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    target = lmscore.labelled_target(docs, table(spark, folder, "labels"))
+    return lmscore.scored(docs, lmscore.fit(docs, target))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -50,6 +57,10 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(docs, model).withColumn("held_out", held)
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.document_counts(table(spark, folder, "documents"), WORD_VOCABULARY)
+
+
 def op8_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymised(table(spark, folder, "documents").select("doc_id", "text"), DEMONSTRATION_KEY)
 
@@ -71,9 +82,11 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_lm_scoring": op3_lm_scoring,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op5_chat_formatting": op5_chat_formatting,
         "op6_language_id": op6_language_id,
+        "op7_token_counts": op7_token_counts,
         "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_line_dedup": op10_line_dedup,
@@ -138,6 +151,7 @@ def oracles() -> dict[str, str]:
         "op5_chat_formatting": op5_chat_formatting,
         "op6_language_id": op6_language_id,
         "op5_chat_formatting": OP5_SQL,
+        "op7_token_counts": op7_token_counts,
         "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": OP9_SQL,
     }
