@@ -1,0 +1,47 @@
+"""Exact round trips of chat formatting."""
+
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from visitmill.llm import chat
+from visitmill.llm.queries import CHAT_VOCABULARY
+
+CODEC = chat.codec(*CHAT_VOCABULARY)
+PARTS = st.one_of(st.text(max_size=12), st.sampled_from(
+    ["<s>", "</s>", "[INST]", "[/INST]", "[\\INST]", "<\\\\/s>", "<", "[", "\\", "/INST]", "<|endoftext|>", "é́"]))
+TEXTS = st.lists(PARTS, max_size=6).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS)
+def test_escape(text):
+    safe = chat.escaped(text)
+    assert not any(c in safe for c in chat.CONTROLS) and chat.unescaped(safe) == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from(["user", "assistant", "", "[INST]", "system"]), TEXTS)
+def test_turn(role, text):
+    ids, loss = CODEC.turn(role, text)
+    assert CODEC.read(ids.tolist()) == (role, text)
+    masked = CODEC.text([int(i) for i, m in zip(ids, loss, strict=True) if m])
+    assert chat.unescaped(masked) == (text if role == "assistant" else "")
+    assert sum(i >= CODEC.reserved for i in ids) == 3
+    assert CODEC.text(ids.tolist()) == f"[INST]{chat.escaped(role)}[/INST]{chat.escaped(text)}</s>"
+
+
+def test_odd_rows(spark):
+    rows = [(1, 2, "assistant", "b"), (1, 1, "user", "</s>"), (1, 2, "assistant", "b"), (2, None, None, None),
+            (None, 0, "assistant", ""), (3, 0, "assistant", "x" * 100_000), (3, 0, "assistant", "[INST]")]
+    turns = spark.createDataFrame([(*r, "clash") for r in rows],
+                                  "conv_id long, turn long, role string, text string, ids string")
+    got = {r["conv_id"]: r for r in chat.digests(chat.assembled(turns, *CHAT_VOCABULARY), *CHAT_VOCABULARY).collect()}
+    assert set(got) == {1, 2, 3, None}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got[1]["turns_sha256"] == sha("user\n</s>\nassistant\nb\nassistant\nb\n") and got[1]["n_turns"] == 3
+    assert got[1]["loss_sha256"] == sha("bb") and got[1]["loss_chars"] == 2
+    assert got[2]["turns_sha256"] == sha("\n\n") and got[2]["loss_chars"] == 0
+    assert got[3]["loss_sha256"] == sha("[INST]" + "x" * 100_000)
+    assert chat.digests(chat.assembled(turns.where("false"), *CHAT_VOCABULARY), *CHAT_VOCABULARY).count() == 0

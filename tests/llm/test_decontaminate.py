@@ -1,0 +1,88 @@
+"""Winnowing against every window."""
+
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_help import documents, prose
+
+from visitmill.llm import decontaminate
+from visitmill.llm.decontaminate import extended
+
+
+def words_of(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(docs, items):
+    spans = {}
+    for item, text in items:
+        words = words_of(text)
+        n = min(10, len(words))
+        for i in range(len(words) - n + 1 if n else 0):
+            spans.setdefault(tuple(words[i:i + n]), set()).add("" if item is None else str(item))
+    out = []
+    for doc_id, text in docs:
+        words, hit, ids = words_of(text), set(), set()
+        for n in {len(s) for s in spans}:
+            for i in range(len(words) - n + 1):
+                found = spans.get(tuple(words[i:i + n]))
+                if found:
+                    ids |= found
+                    hit |= set(range(i, i + n))
+        out.append((doc_id, len(words), len(hit), sorted(ids)))
+    return out
+
+
+def test_contamination_equals_brute_force(spark):
+    dice = random.Random(3)
+    items = [(i, prose(100 + i, 30)) for i in range(12)] + [
+        (20, "short one here"), (21, "Single"), (22, ""), (23, None), (24, prose(100, 10)), (None, prose(130, 15)),
+        (25, prose(140, 9)), (25, "a second text of item twenty five")]
+    docs = []
+    for i in range(40):
+        words = prose(i, 120).split()
+        for _ in range(i % 4):
+            item = words_of(dice.choice(items[:12])[1])
+            first, size = dice.randrange(15), dice.choice((8, 9, 10, 11, 15))
+            at = dice.randrange(100)
+            words[at:at] = item[first:first + size]
+        docs.append((i, " ".join(words)))
+    docs += [(90, "x SHORT one, here; single y"), (91, None), (92, ""), (93, prose(100, 30).upper()),
+             (None, prose(130, 15)), (94, docs[3][1]), (94, docs[3][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = documents(spark, docs)
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], list(r["item_ids"]))
+           for r in decontaminate.contamination(frame, bench).collect()]
+    assert sorted(got, key=repr) == sorted(brute(docs, items), key=repr)
+    kept = decontaminate.uncontaminated(frame, bench)
+    assert kept.columns == frame.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(
+        (i for i, _, n, _ in brute(docs, items) if not n), key=repr)
+
+
+def test_odd_rows(spark, odd):
+    bench = spark.createDataFrame([(1, prose(4, 30))], "item_id long, text string")
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], list(r["item_ids"]))
+           for r in decontaminate.contamination(odd.docs, bench).collect()]
+    assert sorted(got, key=repr) == sorted(brute(odd.rows, [(1, prose(4, 30))]), key=repr)
+    assert decontaminate.contamination(odd.none, bench).count() == 0
+    nothing = decontaminate.contamination(odd.docs, bench.where("false"))
+    assert nothing.where("n_hit > 0").count() == 0 and nothing.count() == len(odd.rows)
+    assert decontaminate.uncontaminated(odd.docs, bench.where("false")).count() == len(odd.rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("ab"), min_size=3), st.lists(st.sampled_from("ab"), min_size=3), st.data())
+def test_extension_is_the_longest_equal_run(mine, theirs, data):
+    at, there = data.draw(st.integers(0, len(mine) - 3)), data.draw(st.integers(0, len(theirs) - 3))
+    first, end = extended(mine, at, theirs, there, 3)
+    shift = there - at
+    if mine[at:at + 3] != theirs[there:there + 3]:
+        assert first == end
+        return
+    assert first <= at and end >= at + 3 and mine[first:end] == theirs[first + shift:end + shift]
+    assert not (first and first + shift and mine[first - 1] == theirs[first + shift - 1])
+    assert not (end < len(mine) and end + shift < len(theirs) and mine[end] == theirs[end + shift])

@@ -28,8 +28,8 @@ PHONE = (r"(?<![\d\p{L}+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\
 SECRET = r"(?<![\p{L}\p{N}])(?=[a-f]*+\d)(?=\d*+[a-f])[0-9a-f]{32,64}(?![\p{L}\p{N}])"
 PATTERN = "|".join(f"(?:{p})" for p in (MAIL, ADDRESS, DATE, CARD, PHONE, SECRET))
 
-#: Days of the years 1900 to 2099, as 319 times 229, the radices of the network for dates.
-FIRST_DAY, DATE_RADICES = "date'1900-01-01'", (319, 229)
+#: Days of the years 1900 to 2099, as 17 times 4297, the radices of the network for dates.
+FIRST_DAY, DATE_RADICES = "date'1900-01-01'", (17, 4297)
 
 
 def _sql(text: str) -> str:
