@@ -53,7 +53,7 @@ def candidate_pairs(lines: DataFrame, rare: int = RARE) -> DataFrame:
     line also with the holder before them. So pairs grow with the lines, never with the
     square of a group, and no line is too frequent to be followed to its first holder. The
     first holder is an aggregate that combines before its shuffle; only rare lines, with at
-    most `rare` rows each, are ordered.
+    most `rare` rows each, are dealt again and ordered, so the join before may split.
     """
     held = lines.select(
         F.struct("doc_id", "text_key").alias("doc"), F.explode(F.array_distinct("hashes")).alias("hash")
@@ -62,8 +62,8 @@ def candidate_pairs(lines: DataFrame, rare: int = RARE) -> DataFrame:
         held.groupBy("hash").agg(F.count("*").alias("holders"), F.min("doc").alias("first"))
         .where("holders > 1"))
     met = held.join(shared, "hash")
-    order = Window.partitionBy("hash").orderBy("doc")
-    before = met.where(F.col("holders") <= rare).select(
+    order = Window.partitionBy("hash", "holders").orderBy("doc")
+    before = met.where(F.col("holders") <= rare).repartition("hash", "holders").select(
         F.col("doc").alias("later"), F.lag("doc").over(order).alias("earlier"))
     return (
         met.select(F.col("doc").alias("later"), F.col("first").alias("earlier"))
