@@ -148,10 +148,6 @@ from shown group by conv_id
 
 def oracles() -> dict[str, str]:
     return {
-        "op5_chat_formatting": op5_chat_formatting,
-        "op6_language_id": op6_language_id,
         "op5_chat_formatting": OP5_SQL,
-        "op7_token_counts": op7_token_counts,
-        "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": OP9_SQL,
     }
