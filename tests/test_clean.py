@@ -2,7 +2,7 @@ import re
 from datetime import datetime
 
 import pytest
-from conftest import TIME, lines, raw_line, rows
+from conftest import TIME, lines, plan, raw_line, rows
 
 from visitmill.functions.times import yesterday
 from visitmill.operators.clean import (
@@ -42,13 +42,14 @@ def test_trailing_empty_fields_do_not_count(spark):
     ({"sessionId": "-1"}, "session"),
     ({"serverTime": "-1"}, "server_time"),
     ({"currentUrl": "x http://127.0.0.1/y"}, "current_url"),
-    ({"previousUrl": "http://static.testmami.cn/y"}, "previous_url"),
+    ({"previousUrl": "http://static.test.example/y"}, "previous_url"),
 ])
 def test_rejects(spark, change, reason):
     line = raw_line(**change)
     for semantics in ("intended", "reference"):
-        assert not cleaned(spark, line, semantics=semantics)
-        found = dict(rows(rejected_by_reason(lines(spark, line, raw_line()), semantics)))
+        assert not cleaned(spark, line, semantics=semantics, test_urls=derived.TEST_URLS)
+        found = dict(rows(rejected_by_reason(
+            lines(spark, line, raw_line()), semantics, derived.TEST_URLS)))
         assert found == {reason: 1, "kept": 1}
 
 
@@ -96,8 +97,12 @@ def test_unreadable_time_fails_or_drops(spark, bad, semantics):
     with pytest.raises(Exception, match="unreadable log time"):
         cleaned(spark, line, semantics=semantics)
     assert len(cleaned(spark, line, raw_line(), semantics=semantics, on_bad_time="drop")) == 1
+    # Meant is that an event is not lost for its client's clock.
     line = raw_line(clientTime=bad)
-    assert len(cleaned(spark, line, raw_line(), semantics=semantics, on_bad_time="drop")) == 1
+    with pytest.raises(Exception, match="unreadable log time"):
+        cleaned(spark, line, semantics=semantics)
+    kept = cleaned(spark, line, semantics=semantics, on_bad_time="drop")
+    assert [row.clientTime for row in kept] == (["-1"] if semantics == "intended" else [])
 
 
 def test_own_test_hosts(spark):
@@ -115,7 +120,7 @@ def plain_clean(line):
     if at["deviceNum"] == at["customerId"] == "-1":
         return None
     if any(host in at[url] for url in ("currentUrl", "previousUrl")
-           for host in ("http://127.0.0.1", "http://static.testmami.cn")):
+           for host in ("http://127.0.0.1", "http://static.test.example")):
         return None
     for name in ("clientTime", "serverTime"):
         new = datetime.strptime(at[name], "%a %b %d %H:%M:%S CST %Y").strftime("%Y-%m-%d-%H:%M:%S")
@@ -126,7 +131,7 @@ def plain_clean(line):
 def test_same_lines_as_a_plain_restatement(spark):
     raw = derived.raw_lines(spark, SMALL)
     expected = sorted(filter(None, (plain_clean(r.value) for r in raw.collect())))
-    got = sorted(r.value for r in cleaned_lines(clean_logs(raw, REFERENCE)).collect())
+    got = sorted(r.value for r in cleaned_lines(clean_logs(raw, REFERENCE, derived.TEST_URLS)).collect())
     assert got == expected and len(got) > 500
 
 
@@ -146,3 +151,26 @@ def test_reading_files(spark, tmp_path):
 
 def test_yesterday():
     assert yesterday(datetime(2024, 3, 1).date()) == "2024-02-29"
+
+
+def test_usual_zones_and_one_digit_days(spark):
+    for token, hour in (("EST", "2024-01-11-00"), ("PDT", "2024-01-11-02"), ("JST", "2024-01-10-10"),
+                        ("MSK", "2024-01-10-16"), ("HKT", "2024-01-10-11"), ("UTC", "2024-01-10-19")):
+        line = raw_line(serverTime=f"Wed Jan 10 11:05:09 {token} 2024")
+        assert cleaned(spark, line)[0]["serverTime"] == f"{hour}:05:09"
+    one = raw_line(serverTime="Tue Jan 2 1:05:09 CST 2024")
+    assert cleaned(spark, one)[0]["serverTime"] == "2024-01-02-01:05:09"
+
+
+def test_kept_and_rejected_add_up_with_unreadable_times(spark):
+    bad = [raw_line(), raw_line(clientTime="soon"), raw_line(serverTime="soon")]
+    kept = cleaned(spark, *bad, on_bad_time="drop")
+    assert [r["clientTime"] for r in kept] == ["2024-01-10-11:05:09", "-1"]
+    counts = dict(rows(rejected_by_reason(lines(spark, *bad))))
+    assert counts == {"kept": len(kept), "bad_time": 1}
+
+
+def test_cleaning_never_shuffles(spark, tmp_path):
+    (tmp_path / "a.log").write_text(raw_line() + "\n")
+    from visitmill.sources.logs import read_lines
+    assert "Exchange" not in plan(clean_logs(read_lines(spark, str(tmp_path))))

@@ -49,6 +49,43 @@ def test_replace_day_empties_vanished_hours_only(spark):
         replace_day(values(spark, ("c", "2024-01-08", "11")), name, DAY)
 
 
+@pytest.mark.parametrize("compact", [True, False])
+def test_a_failed_run_leaves_the_old_rows(spark, compact):
+    name = table(spark)
+    old = [("a", DAY, "09"), ("b", DAY, "10")]
+    insert_partitions(values(spark, *old), name)
+    broken = values(spark, *[(str(i), DAY, f"{i % 24:02d}") for i in range(48)]).repartition(4).selectExpr(
+        "if(v = '37', raise_error('lost'), v) as v", "day", "hour")
+    for frame in (broken, values(spark, ("c", DAY, "09"), ("d", "2024-01-08", "09"))):
+        with pytest.raises(Exception, match="lost|row of another day"):
+            replace_day(frame, name, DAY, compact=compact)
+        assert rows(spark.table(name)) == old
+    replace_day(values(spark, ("c", DAY, "09")).where("false"), name, DAY, compact=compact)
+    assert rows(spark.table(name)) == []
+
+
+def test_jobs_leave_no_staged_files(spark, tmp_path, monkeypatch):
+    from visitmill.sinks import staging
+
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    with staging.staged_files(spark):
+        assert stage(values(spark, ("a", DAY, "09"))).count() == 1
+        assert list((tmp_path / "visitmill").iterdir())
+    assert not list((tmp_path / "visitmill").iterdir())
+
+
+def test_clean_job_of_a_day_runs_again(spark, tmp_path):
+    times = [f"Wed Jan {d} 11:05:09 CST 2024" for d in ("10", "10", "11")]
+    (tmp_path / "raw").write_text("".join(raw_line(reqSerial=f"r{i}", serverTime=t) + "\n"
+                                          for i, t in enumerate(times)))
+    names = jobs.Tables(*[f"c{uuid.uuid4().hex}_{n}" for n in ("source", "platform", "area", "session")])
+    jobs.create_tables(spark, names)
+    for _ in range(2):
+        jobs.clean_job(spark, str(tmp_path / "raw"), names, day=DAY, export=str(tmp_path / "out"))
+        assert rows(spark.table(names.source).select("reqSerial")) == [("r0",), ("r1",)]
+    assert spark.read.text(str(tmp_path / "out")).count() == 2
+
+
 def test_pruned_scan_history_and_partition_hours(spark):
     name = table(spark)
     insert_partitions(values(spark, ("a", DAY, "09"), ("b", "2024-01-09", "10")), name)
@@ -169,12 +206,14 @@ def test_incremental_metrics_equal_a_full_scan(spark):
         found = {}
         jobs.metrics_job(spark, day, lambda f, t: found.update({t: rows(f)}), names, **how)
         return found
-    # Out of order, and one day twice.
-    for day in (days[1], days[0], days[2], days[2]):
-        last = collect(day, incremental=True)
-    assert last == collect(DAY) and len(last) == 13
-    bound = collect(days[0], incremental=True, as_of=days[0], semantics="reference")
-    assert bound == collect(days[0], as_of=days[0], semantics="reference")
+    # The first run fills what lacks; then out of order, and one day twice.
+    for day in (days[2], days[0], days[2], days[2]):
+        assert collect(day) == collect(day, incremental=False)
+    for as_of in days:
+        for day in days[::2]:
+            how = {"as_of": as_of, "semantics": "reference" if day == DAY else "intended"}
+            assert collect(day, **how) == collect(day, incremental=False, **how)
+    assert len(collect(DAY)) == 13
 
 
 def test_metrics_job_refuses_unknown_names(spark):

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 
 from visitmill.operators.keyvalue import key_value_record, key_values
@@ -30,3 +31,15 @@ def test_file_of_objects(spark, tmp_path):
     (tmp_path / "a.json").write_text(TEXT + "\n" + TEXT + "\n")
     frame = read_json_objects(spark, str(tmp_path / "a.json"))
     assert key_values(frame, "json", "report").count() == 8
+
+
+def test_bad_objects_fail_or_are_found(spark):
+    from visitmill.operators.keyvalue import bad_objects
+    texts = ['{"report":[{"key":"a","value":"1"}]}', '{"report":5}', '{"rep', "{}", None, '{"report":null}']
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, json string")
+    assert [r["i"] for r in bad_objects(frame, "json", "report").orderBy("i").collect()] == [1, 2]
+    for function in (key_values, key_value_record):
+        with pytest.raises(Exception, match="no pairs in section"):
+            function(frame, "json", "report").collect()
+    assert key_values(frame, "json", "report", on_bad_json="drop").count() == 1
+    assert key_value_record(frame, "json", "report", on_bad_json="drop").count() == 6

@@ -12,11 +12,12 @@ def test_all_jobs_from_the_command_line(spark, tmp_path):
     (tmp_path / "raw.log").write_text("\n".join(texts) + "\n")
     (tmp_path / "channel.txt").write_text("A\tapp\tios\tpaid\n")
     (tmp_path / "ip.txt").write_text("a|b|167772160|167772161|x|y|P|C|Z|o\n")
-    main(["clean", str(tmp_path / "raw.log"), "--export", str(tmp_path / "out")])
-    main(["channel", DAY, str(tmp_path / "channel.txt")])
-    main(["region", DAY, str(tmp_path / "ip.txt")])
-    main(["session", DAY])
-    main(["metrics", DAY, "--incremental"])
+    for _ in range(2):
+        main(["clean", str(tmp_path / "raw.log"), "--day", DAY, "--export", str(tmp_path / "out")])
+    main(["channel", str(tmp_path / "channel.txt"), "--day", DAY])
+    main(["region", str(tmp_path / "ip.txt"), "--day", DAY])
+    main(["session", "--day", DAY])
+    main(["metrics", "--day", DAY])
     assert spark.read.text(str(tmp_path / "out")).count() == 3
     assert rows(spark.table("visit_session").select("sessionID", "visitPageNum", "hour")) == [
         ("s1", 1, "11")]

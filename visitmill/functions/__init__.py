@@ -1,12 +0,0 @@
-from visitmill.functions.ip import ip_number, ip_parts
-from visitmill.functions.text import contains_any, evaluate_once, row_token, tab_fields
-from visitmill.functions.times import (
-    day_of, hour_label, hour_of, hour_lower, hour_number, hour_upper, log_time, partition_hour,
-    yesterday,
-)
-
-__all__ = [
-    "contains_any", "day_of", "evaluate_once", "hour_label", "hour_lower", "hour_number", "hour_of", "hour_upper",
-    "ip_number", "ip_parts", "log_time", "partition_hour", "row_token", "tab_fields",
-    "yesterday",
-]

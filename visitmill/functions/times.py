@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,7 +15,16 @@ from visitmill.functions.text import literal, literal_map
 # Fixed values of the log format.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
-DEFAULT_ZONES = {"CST": "Asia/Shanghai"}
+# Usual zone names of such times, by their offsets. CST is China's, where the logs are from.
+DEFAULT_ZONES = {
+    "CST": "Asia/Shanghai",
+    "AEDT": "+11:00", "AEST": "+10:00", "AKDT": "-08:00", "AKST": "-09:00", "BST": "+01:00",
+    "CDT": "-05:00", "CEST": "+02:00", "CET": "+01:00", "EDT": "-04:00", "EEST": "+03:00",
+    "EET": "+02:00", "EST": "-05:00", "HKT": "+08:00", "HST": "-10:00", "ICT": "+07:00",
+    "IST": "+05:30", "JST": "+09:00", "KST": "+09:00", "MDT": "-06:00", "MSK": "+03:00",
+    "MST": "-07:00", "NZDT": "+13:00", "NZST": "+12:00", "PDT": "-07:00", "PST": "-08:00",
+    "SGT": "+08:00", "WEST": "+01:00", "WET": "+00:00", "WIB": "+07:00", "Z": "UTC",
+}
 DEFAULT_ZONE = "Asia/Shanghai"
 _PATTERN = "MMM d H:m:s VV yyyy"
 
@@ -60,10 +70,11 @@ def _rearranged(text: str, local_tokens: list[str]) -> str:
 
 def _parsed(text: str, zones: Mapping[str, str], zone: str) -> str:
     """Any readable time. The weekday is cut off, as Spark does not parse it."""
-    weekdays = ", ".join(f"'{name} '" for name in WEEKDAYS)
-    rest = f"case when substr({text}, 1, 4) in ({weekdays}) then substr({text}, 5) end"
-    for token, name in zones.items():
-        rest = f"replace({rest}, {literal(f' {token} ')}, {literal(f' {name} ')})"
+    weekdays = ", ".join(f"'{name}'" for name in WEEKDAYS)
+    named = literal_map(dict(zones)) if zones else "map()"
+    rest = f"""element_at(transform(array(split({text}, ' ')), p -> case
+        when size(p) = 6 and p[0] in ({weekdays}) then
+        concat_ws(' ', p[1], p[2], p[3], coalesce(try_element_at({named}, p[4]), p[4]), p[5]) end), 1)"""
     return f"""replace(cast(convert_timezone('UTC', {literal(zone)}, timestampadd(SECOND,
         unix_seconds(try_to_timestamp({rest}, '{_PATTERN}')),
         timestamp_ntz'1970-01-01 00:00:00')) as string), ' ', '-')"""
@@ -105,5 +116,6 @@ def partition_hour(partition: Column) -> Column:
     return F.regexp_extract(partition, r"hour=(\d+)", 1).cast("int")
 
 
-def yesterday(today: date | None = None) -> str:
-    return ((today or date.today()) - timedelta(days=1)).isoformat()
+def yesterday(today: date | None = None, zone: str = DEFAULT_ZONE) -> str:
+    """The day before `today`, by default today in the zone of the logs."""
+    return ((today or datetime.now(ZoneInfo(zone)).date()) - timedelta(days=1)).isoformat()

@@ -74,9 +74,9 @@ def clean_logs(
         client = (f"case when {_missing('clientTime')} then '{MISSING}' "
                   f"else {readable('clientTime')} end")
         if on_bad_time == "drop":
-            timed = evaluate_once(timed.where("server is not null"), client, "client",
-                                  _FIELDS, "server").where("client is not null")
-            client = "client"
+            # An event is not lost for its client's clock.
+            timed = timed.where("server is not null")
+            client = f"coalesce({client}, '{MISSING}')"
         new = {"clientTime": client, "serverTime": "server"}
     named = timed.selectExpr(*[f"{new.get(n, _field(n))} as {n}" for n in RAW_FIELDS])
     return named.selectExpr("*", "substr(serverTime, 1, 10) as day",
@@ -84,11 +84,19 @@ def clean_logs(
 
 
 def rejected_by_reason(
-    lines: DataFrame, semantics: str = INTENDED, test_urls: Sequence[str] = TEST_URLS
+    lines: DataFrame, semantics: str = INTENDED, test_urls: Sequence[str] = TEST_URLS,
+    zones: Mapping[str, str] = DEFAULT_ZONES, zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
-    """Count the raw lines by the first rule that drops them; the rest are `kept`."""
-    steps = " ".join(f"when {rule} then '{name}'" for name, rule in
-                     _reject_rules(test_urls, check_semantics(semantics)).items())
+    """Count the raw lines by the first rule that drops them; the rest are `kept`.
+
+    `bad_time` counts the lines whose times `on_bad_time="drop"` drops and the default stops at.
+    """
+    reference = check_semantics(semantics)
+    rules = _reject_rules(test_urls, reference)
+    times = ("serverTime", "clientTime") if reference else ("serverTime",)
+    rules["bad_time"] = " or ".join(
+        f"{log_time(_field(name), zones, zone, 'drop')} is null" for name in times)
+    steps = " ".join(f"when {rule} then '{name}'" for name, rule in rules.items())
     return (evaluate_once(lines, tab_fields("value"), _FIELDS)
             .selectExpr(f"case {steps} else 'kept' end as reason")
             .groupBy("reason").agg(F.count(F.lit(1)).alias("lines")))

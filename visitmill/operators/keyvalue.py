@@ -7,34 +7,66 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitmill.functions.text import literal
 from visitmill.schema import REPORT_FIELDS
 
 
-def _pairs(json: str, section: str) -> Column:
+def _parsed(json: str, section: str) -> Column:
     """The pairs of one section; the parser skips every other section."""
     schema = f"struct<`{section}`:array<struct<key:string,value:string>>>"
     return F.from_json(F.col(json), schema)[section]
 
 
-def key_values(frame: DataFrame, json: str, section: str) -> DataFrame:
-    """One row per pair of a section: position, key and value, in array order."""
+def is_bad(json: str, section: str) -> Column:
+    """Whether a text is no JSON, or has something else than pairs in the section.
+
+    An absent or null section and a NULL text are not bad: they have no pairs.
+    """
+    there = F.get_json_object(json, f"$['{section}']").isNotNull()
+    whole = F.get_json_object(json, "$").isNotNull()
+    return F.col(json).isNotNull() & (~whole | (there & _parsed(json, section).isNull()))
+
+
+def _pairs(json: str, section: str, on_bad_json: str) -> Column:
+    if on_bad_json not in ("fail", "drop"):
+        raise ValueError(f"on_bad_json must be 'fail' or 'drop', got {on_bad_json!r}")
+    if on_bad_json == "drop":
+        return _parsed(json, section)
+    message = F.concat(F.lit(f"no pairs in section {section}: "), F.substring(json, 1, 200))
+    return F.when(is_bad(json, section), F.raise_error(message)).otherwise(_parsed(json, section))
+
+
+def bad_objects(frame: DataFrame, json: str, section: str) -> DataFrame:
+    """The rows that `on_bad_json="drop"` gives no pairs for although they hold something."""
+    return frame.where(is_bad(json, section))
+
+
+def key_values(
+    frame: DataFrame, json: str, section: str, on_bad_json: str = "fail"
+) -> DataFrame:
+    """One row per pair of a section: position, key and value, in array order.
+
+    Bad objects fail the query, or have no rows with `drop`; `bad_objects` finds them.
+    """
     keep = [c for c in frame.columns if c != json]
-    return frame.select(*keep, F.posexplode(_pairs(json, section)).alias("position", "pair")).select(
-        *keep, "position", "pair.key", "pair.value")
+    pairs = F.posexplode(_pairs(json, section, on_bad_json)).alias("position", "pair")
+    return frame.select(*keep, pairs).select(*keep, "position", "pair.key", "pair.value")
 
 
 def key_value_record(
-    frame: DataFrame, json: str, section: str, fields: Sequence[str] = REPORT_FIELDS
+    frame: DataFrame, json: str, section: str, fields: Sequence[str] = REPORT_FIELDS,
+    on_bad_json: str = "fail",
 ) -> DataFrame:
     """One row per object: named fields from the pairs of a section, the last of a key wins.
 
-    A projection, so the objects are not regrouped by a shuffle.
+    A projection, so the objects are not regrouped by a shuffle. Bad objects fail the
+    query, or give a row of NULLs with `drop`.
     """
     keep = [c for c in frame.columns if c != json]
-    parsed = frame.select(*keep, F.explode(F.array(_pairs(json, section))).alias("_pairs"))
+    parsed = frame.select(*keep, F.explode(F.array(_pairs(json, section, on_bad_json))).alias("_pairs"))
 
     def value(name: str) -> Column:
-        same = F.filter("_pairs", lambda pair: pair["key"] == name)
+        same = F.expr(f"filter(_pairs, pair -> pair.key = {literal(name)})")
         return F.try_element_at(same, F.lit(-1))["value"].alias(name)
 
     return parsed.select(*keep, *[value(name) for name in fields])

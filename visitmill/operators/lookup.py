@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitmill.sinks.staging import stage
+
 # Estimated bytes of a lookup table up to which it is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
-SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -37,20 +38,28 @@ def measure(frame: DataFrame) -> Size:
 
 
 def lookup_join(
-    left: DataFrame, lookup: DataFrame, key: str, fits: bool, salts: int = SALTS
+    left: DataFrame, lookup: DataFrame, key: str, fits: bool
 ) -> DataFrame:
     """Left join on a key that is unique in `lookup`.
 
     When the lookup fits it is broadcast and the left side does not move. Otherwise
-    both sides are shuffled, with each key of the left side spread over `salts` tasks
-    by a hash of the whole row (repeatable when a task runs again) and the lookup
-    repeated once per salt. Identical rows share a salt; adaptive skew-join handling
-    splits those.
+    both sides are shuffled. A key with more than a shuffle partition's share of the rows
+    is counted out first; it is spread over all partitions by a hash of the whole row
+    (repeatable when a task runs again), and only its lookup row is repeated for that.
+    At most as many keys as partitions can be hot, so they are broadcast. Identical rows
+    share a salt; adaptive skew-join handling splits those.
     """
     if fits:
         return left.join(F.broadcast(lookup), key, "left")
-    salted = left.withColumn(
-        "_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated.hint("shuffle_merge"), [key, "_salt"], "left").drop("_salt")
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stage(left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    hot = F.broadcast(
+        counts.where(F.col("_rows") * tasks > total).select(key, F.lit(True).alias("_hot")))
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(tasks)).cast("int")
+    salted = left.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    joined = salted.join(repeated.hint("shuffle_merge"), [key, "_salt"], "left")
+    return joined.select(*left.columns, *[c for c in lookup.columns if c != key])

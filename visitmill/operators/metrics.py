@@ -74,7 +74,7 @@ def identity_facts(
     frame: DataFrame, keys: tuple[str, ...], day: str, event: str,
     families: tuple[str, ...], as_of: str | None = None,
 ) -> DataFrame:
-    """Phase 1. Members need all history (up to `as_of`), visitors only the day."""
+    """Phase 1. All-time members need the history (up to `as_of`), all else only the day."""
     is_day, member = f"day = {literal(day)}", f"customerId <> '{MISSING}'"
     if MEMBER not in families:
         rows = frame.where(f"{is_day} and customerId is not null")
@@ -82,20 +82,23 @@ def identity_facts(
         rows = frame.where(member)
     else:
         rows = frame.where(f"{member} or ({is_day} and customerId = '{MISSING}')")
-    if as_of is not None:
-        rows = rows.where(f"day <= {literal(as_of)}")
     on_day = f"day <=> {literal(day)}"
+    in_history = "true" if as_of is None else f"coalesce(day <= {literal(as_of)}, false)"
+    if as_of is not None:
+        rows = rows.where(f"{is_day} or {in_history}")
     flagged = rows.selectExpr(
         *keys, f"{member} as is_member",
         f"case when {member} then customerId else deviceNum end as id",
-        f"{on_day} as on_day", f"{on_day} and {event} <=> '{NEW_USER_EVENT}' as is_new")
+        f"{on_day} as on_day", f"{on_day} and {event} <=> '{NEW_USER_EVENT}' as is_new",
+        f"{in_history} as in_history")
     return roll_up(flagged, keys)
 
 
 def roll_up(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Facts by a subset of their keys."""
     return facts.groupBy(*keys, "is_member", "id").agg(
-        F.max("on_day").alias("on_day"), F.max("is_new").alias("is_new"))
+        F.max("on_day").alias("on_day"), F.max("is_new").alias("is_new"),
+        F.max("in_history").alias("in_history"))
 
 
 def totals(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -103,7 +106,7 @@ def totals(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     groups = {
         "visitors": "not is_member and on_day", "new_visitors": "not is_member and is_new",
         "members": "is_member and on_day", "new_members": "is_member and is_new",
-        "any_members": "is_member",
+        "any_members": "is_member and in_history",
     }
     counts = [f"count_if({rule} and id is not null) as {name}" for name, rule in groups.items()]
     flags = [f"coalesce(max({rule}), false) as has_{name}" for name, rule in groups.items()]
@@ -155,8 +158,6 @@ def metric_from_facts(
     reference = check_semantics(semantics)
     metric = METRICS[name]
     counted = totals(facts, metric.inputs)
-    if reference and len(metric.keys) > 1:
-        return _by_city_reference(counted, metric, day)
     if not metric.keys:
         rows, columns = "true", _GRAND_TOTALS[name]
     elif reference:
@@ -177,7 +178,7 @@ def metric_from_facts(
     else:
         rows, columns = {
             VISITOR: ("has_visitors or has_members", [_ACTIVE, _NEW]),
-            MEMBER: ("has_any_members", _MEMBERS),
+            MEMBER: ("has_any_members or has_members", _MEMBERS),
         }[metric.family]
     return _finish(counted.where(rows), metric, day, columns)
 
@@ -197,30 +198,6 @@ def _finish(frame: DataFrame, metric: Metric, day: str, columns: list[str]) -> D
     return frame.selectExpr(*columns, *names, f"{literal(day)} as day")
 
 
-def _by_city_reference(counted: DataFrame, metric: Metric, day: str) -> DataFrame:
-    """City tables as they are today: counts joined on the city name alone.
-
-    Cities with one name in two provinces multiply. The joins run on the totals, a few
-    rows per city, which are staged so that the input is aggregated once.
-    """
-    cities = stage(counted)
-
-    def joined(base: str, *others: str) -> DataFrame:
-        rows = cities.where(f"has_{base}").selectExpr("ipProvince", "ipCity", f"{base} as base")
-        for name in others:
-            side = cities.where(f"has_{name}").select("ipCity", name)
-            rows = rows.join(side, "ipCity", "left")
-        return rows
-
-    if metric.family == MEMBER:
-        return _finish(joined("any_members", "new_members", "members"), metric, day,
-                       ["base as uv_act", "new_members as uv_new", "members as uv_all"])
-    zero = "case when {0} is null then 0L end"
-    return _finish(joined("visitors", "members", "new_visitors", "new_members"), metric, day, [
-        f"base + {zero.format('members')} as uv_act",
-        f"{zero.format('new_visitors')} + {zero.format('new_members')} as uv_new"])
-
-
 def members_by_region_unfiltered(area: DataFrame) -> DataFrame:
     """Distinct member ids per province and city over all days, the `-1` id included."""
     return area.groupBy("ipCity", "ipProvince").agg(

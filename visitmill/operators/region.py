@@ -59,15 +59,15 @@ def _rule_shift() -> str:
 
 
 def region_index(
-    rules: DataFrame, validate: bool = True, broadcast_bytes: int = BROADCAST_BYTES
+    rules: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> RegionIndex:
-    """Prepare rules. At most one small row per width reaches the driver."""
+    """Prepare rules, which must be disjoint. At most one small row per width reaches the driver."""
     shifted = rules.withColumn("shift", F.expr(_rule_shift()))
     per_shift = shifted.groupBy("shift").agg(
         *size_columns(rules),
         F.expr("count_if(coalesce(endNum < startNum, true)) as bad"),
     ).collect()
-    if validate and any(row["bad"] for row in per_shift):
+    if any(row["bad"] for row in per_shift):
         raise ValueError("IP rules with a missing bound or with start above end")
 
     entries = shifted.selectExpr(
@@ -85,7 +85,7 @@ def region_index(
         small.add(row["shift"])
     shifts = tuple(sorted(row["shift"] for row in per_shift))
     index = RegionIndex(entries, shifts, frozenset(small))
-    if validate and overlapping_rules(rules, index).limit(1).count():
+    if overlapping_rules(rules, index).limit(1).count():
         raise ValueError("IP rules overlap: an address may have more than one region")
     return index
 
@@ -165,12 +165,14 @@ def area_table(
 
 
 def enriched_logs(
-    source: DataFrame, channel_rules: DataFrame, index: RegionIndex, semantics: str = INTENDED
+    source: DataFrame, channel_rules: DataFrame, index: RegionIndex, semantics: str = INTENDED,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Both lookups over clean rows in one narrow stage, without a table in between."""
+    """Both lookups over clean rows, without a table in between; one narrow stage if both fit."""
     columns = ("eventName", "deviceNum", "customerId", "sessionId", "serverTime")
     both = with_region(
-        with_channel(source.select(*columns, "channelForm", "ip"), channel_rules),
+        with_channel(source.select(*columns, "channelForm", "ip"), channel_rules,
+                     broadcast_bytes=broadcast_bytes),
         index, "ip", semantics)
     return both.select(*columns, "platform", "app_channel", "traffic",
                        "ipProvince", "ipCity", "ipArea")

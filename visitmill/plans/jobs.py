@@ -6,7 +6,8 @@
 4. session: source table to the session table
 5. metrics: all three to fifteen small result tables
 
-Jobs 2 to 4 replace the day they are given, so a day can be run again.
+Jobs 2 to 4 replace the day they are given, and so does job 1 with a day, so a day can be
+run again. Intermediate files go when a job ends.
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitmill.operators.channel import platform_table
 from visitmill.operators.clean import clean_logs, cleaned_lines
 from visitmill.operators.hours import SESSION_NINE_JOINT, with_hour
+from visitmill.operators.lookup import BROADCAST_BYTES, measure
 from visitmill.operators.metrics import METRICS, metric_set, metric_set_from_facts
 from visitmill.operators.region import area_table, region_index
 from visitmill.operators.sessions import session_summary
@@ -29,6 +32,7 @@ from visitmill.schema import (
     SOURCE_SCHEMA, check_semantics,
 )
 from visitmill.sinks.jdbc import append_jdbc
+from visitmill.sinks.staging import stage, staged_files
 from visitmill.sinks.tables import create_table, insert_partitions, replace_day, write_lines
 from visitmill.sources.logs import read_lines
 from visitmill.sources.rules import read_channel_rules, read_ip_rules
@@ -59,21 +63,30 @@ def create_tables(spark: SparkSession, tables: Tables, semantics: str = INTENDED
 
 def clean_job(
     spark: SparkSession, path: str, tables: Tables = Tables(), semantics: str = INTENDED,
-    overwrite: bool = False, export: str | None = None, compact: bool = True, **options,
+    overwrite: bool = False, export: str | None = None, compact: bool = True,
+    day: str | None = None, **options,
 ) -> None:
     """Clean raw files into the source table, and optionally export the lines as text.
 
-    `compact=False` saves the shuffle before the write when the raw files are already in
-    time order, so that each split holds few hours.
+    With a `day`, the path names all files that may hold rows of that day; those rows
+    become the whole day, so the job can run again. Without, rows are appended: a file may
+    hold rows of neighbouring hours, and replacing those partitions would lose what other
+    files put there. `overwrite` is for input that holds whole hours.
 
-    Appends by default: a file may hold rows of neighbouring hours, and replacing those
-    partitions would lose what other files put there. `overwrite` is for input that
-    holds whole hours. `options` go to `clean_logs`.
+    `compact=False` saves the shuffle before the write when the raw files are already in
+    time order, so that each split holds few hours. An export reads the day's partitions,
+    or the clean rows staged once. `options` go to `clean_logs`.
     """
     rows = clean_logs(read_lines(spark, path), semantics, **options)
-    insert_partitions(rows, tables.source, overwrite, compact)
-    if export:
-        write_lines(cleaned_lines(rows), export)
+    with staged_files(spark):
+        if day is not None:
+            replace_day(rows.where(F.col("day") == day), tables.source, day, compact=compact)
+            rows = read_day(spark, tables.source, day)
+        else:
+            rows = stage(rows) if export else rows
+            insert_partitions(rows, tables.source, overwrite, compact)
+        if export:
+            write_lines(cleaned_lines(rows), export)
 
 
 def _write_day(
@@ -82,7 +95,7 @@ def _write_day(
     """Write a day of output.
 
     Rows that come straight from a table partitioned by hour need no rebalancing: a scan
-    task holds one hour, or a few small ones.
+    task holds one hour, or a few small ones. After a shuffled lookup they do.
     """
     if check_semantics(semantics):
         insert_partitions(frame, table, compact=compact)
@@ -92,20 +105,23 @@ def _write_day(
 
 def channel_job(
     spark: SparkSession, day: str, rules_path: str, tables: Tables = Tables(),
-    semantics: str = INTENDED,
+    semantics: str = INTENDED, on_bad_rule: str = "fail", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
-    rows = platform_table(read_day(spark, tables.source, day),
-                          read_channel_rules(spark, rules_path))
-    _write_day(rows, tables.platform, day, semantics)
+    rules = read_channel_rules(spark, rules_path, on_bad_rule)
+    rows = platform_table(read_day(spark, tables.source, day), rules, broadcast_bytes)
+    fits = measure(rules.drop("line_no")).fits(broadcast_bytes)
+    with staged_files(spark):
+        _write_day(rows, tables.platform, day, semantics, compact=not fits)
 
 
 def region_job(
     spark: SparkSession, day: str, rules_path: str, tables: Tables = Tables(),
-    semantics: str = INTENDED,
+    semantics: str = INTENDED, on_bad_rule: str = "fail", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
-    index = region_index(read_ip_rules(spark, rules_path))
+    index = region_index(read_ip_rules(spark, rules_path, on_bad_rule), broadcast_bytes)
     rows = area_table(read_day(spark, tables.platform, day), index, semantics)
-    _write_day(rows, tables.area, day, semantics)
+    with staged_files(spark):
+        _write_day(rows, tables.area, day, semantics, compact=not index.fits)
 
 
 def session_job(
@@ -120,13 +136,13 @@ def session_job(
 def metrics_job(
     spark: SparkSession, day: str, sink: Sink, tables: Tables = Tables(),
     semantics: str = INTENDED, as_of: str | None = None,
-    metrics: Iterable[str] = DEFAULT_METRICS, incremental: bool = False,
+    metrics: Iterable[str] = DEFAULT_METRICS, incremental: bool = True,
 ) -> None:
     """Compute the metric tables of a day and hand each to the sink with its name.
 
-    Each input table is scanned once, for all of its metrics. All-time members need the
-    whole history; with `incremental` they come from a table of known members that each
-    run extends, and only the day itself is scanned. Every day must then have been run.
+    Only the day itself is scanned, once for all metrics of an input table. All-time
+    members come from a table of known members that each run extends, and that is filled
+    from the history where it lacks a day. `incremental=False` scans the history instead.
     """
     wanted = set(metrics)
     unknown = wanted - set(METRICS)
@@ -137,14 +153,16 @@ def metrics_job(
         if not names:
             continue
         table = getattr(tables, source)
-        history = read_history(spark, table)
-        if incremental:
-            facts = facts_with_known_members(history, source, f"{table}_members", day, as_of)
-            found = metric_set_from_facts(facts, names, day, semantics)
-        else:
-            found = metric_set(history, source, day, semantics, as_of, names)
-        for name, frame in found.items():
-            sink(frame, METRICS[name].table)
+        with staged_files(spark):
+            if incremental:
+                facts = facts_with_known_members(
+                    spark, table, source, f"{table}_members", day, as_of)
+                found = metric_set_from_facts(facts, names, day, semantics)
+            else:
+                found = metric_set(
+                    read_history(spark, table), source, day, semantics, as_of, names)
+            for name, frame in found.items():
+                sink(frame, METRICS[name].table)
 
 
 def jdbc_sink(url: str, properties: dict[str, str], prefix: str = "") -> Sink:
@@ -158,5 +176,5 @@ def table_sink(spark: SparkSession, day: str, prefix: str = "") -> Sink:
         inner = T.StructType([f for f in frame.schema if f.name != "day"])
         schema = T.StructType([*inner, T.StructField("day", T.StringType())])
         create_table(spark, prefix + table, schema, ("day",))
-        replace_day(frame.coalesce(1), prefix + table, day, ("day",))
+        replace_day(frame, prefix + table, day, ("day",))
     return write

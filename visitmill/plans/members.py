@@ -1,12 +1,13 @@
 """Known members per key combination, so that all-time counts need no full history scan.
 
 The table holds (keys, id) with the day on which a pair was first recorded, one partition
-per such day. It grows with the number of members, not with the log.
+per such day. It grows with the number of members, not with the log. A second table names
+the days that it covers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,34 +15,77 @@ from visitmill.functions.text import literal
 from visitmill.operators.metrics import (
     EVENT_COLUMN, METRICS, VISITOR, identity_facts, roll_up, set_keys,
 )
-from visitmill.schema import strings
+from visitmill.schema import MISSING, strings
 from visitmill.sinks.staging import stage
-from visitmill.sinks.tables import create_table, replace_day
+from visitmill.sinks.tables import create_table, insert_partitions, recorded_days, replace_day
 
 
 def facts_with_known_members(
-    frame: DataFrame, source: str, table: str, day: str, as_of: str | None = None
+    spark: SparkSession, history: str, source: str, table: str, day: str, as_of: str | None = None
 ) -> DataFrame:
-    """Identity facts of a day plus every known member, after recording the day's new ones.
+    """Identity facts of a day of the `history` table plus every known member.
 
-    Days may run in any order and again: a pair is compared with those of earlier days
-    only, so its earliest day that has been run always holds it.
+    The day's new members are recorded first. The members table is filled from the history
+    when it lacks a day that the history has, and when an earlier day runs again, since
+    members that went from it may have come on a later one. So the result never depends on
+    which days were run.
     """
-    spark = frame.sparkSession
+    frame = spark.table(history)
     keys = set_keys([n for n, m in METRICS.items() if m.source == source])
-    today = stage(identity_facts(frame, keys, day, EVENT_COLUMN[source], (VISITOR,)))
     create_table(spark, table, T.StructType([*strings(*keys, "id"), *strings("day")]), ("day",))
+    covered = f"{table}_days"
+    create_table(spark, covered, T.StructType([
+        T.StructField("run", T.BooleanType()), *strings("day")]), ("day",))
+
+    today = stage(identity_facts(frame.where(f"day = {literal(day)}"), keys, day,
+                                 EVENT_COLUMN[source], (VISITOR,), as_of))
+    done = recorded_days(spark, covered)
+    lacking = recorded_days(spark, history) - done - {day}
+    if lacking or (day in done and any(d > day for d in done)):
+        for noted in done:
+            spark.sql(f"ALTER TABLE {covered} DROP IF EXISTS PARTITION (day = {literal(noted)})")
+        _fill(frame, table, keys)
+        _cover(spark, covered, recorded_days(spark, history))
+    else:
+        _record(spark, today, table, keys, day)
+        _cover(spark, covered, {day})
+
+    # Of the rows of the day itself the facts know more; the pairs meet in the roll-up.
+    bound = "true" if as_of is None else f"day <= {literal(as_of)}"
+    members = spark.table(table).where(bound).selectExpr(
+        *keys, "true as is_member", "id", "false as on_day", "false as is_new",
+        "true as in_history")
+    return stage(roll_up(today.unionByName(members), keys))
+
 
-    def known(condition: str) -> DataFrame:
-        return spark.table(table).where(condition)
+def _fill(frame: DataFrame, table: str, keys: tuple[str, ...]) -> None:
+    """All members with their first day, from the whole history; the one full scan.
 
-    earlier = known(f"day < {literal(day)}").select(*[F.col(c).alias(f"old_{c}")
-                                                      for c in (*keys, "id")])
+    No day is noted as covered meanwhile, so the next run fills again if this one fails.
+    """
+    first = (
+        frame.where(f"customerId <> '{MISSING}' and day is not null")
+        .groupBy(*keys, F.col("customerId").alias("id")).agg(F.min("day").alias("day")))
+    spark = frame.sparkSession
+    rows = stage(first.select(*spark.table(table).columns))
+    spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {{rows}}", rows=rows)
+
+
+def _record(
+    spark: SparkSession, today: DataFrame, table: str, keys: tuple[str, ...], day: str
+) -> None:
+    """The day's members that no earlier day has; later days may have them as well."""
+    known = spark.table(table).where(f"day < {literal(day)}").select(
+        *[F.col(c).alias(f"old_{c}") for c in (*keys, "id")])
     same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in (*keys, "id")]
-    new = today.where("is_member").select(*keys, "id").join(earlier, same, "left_anti")
+    new = today.where("is_member").select(*keys, "id").join(known, same, "left_anti")
     # Staged, because a table cannot be read and overwritten in one query.
     replace_day(stage(new.withColumn("day", F.lit(day))), table, day, ("day",))
 
-    members = known("true" if as_of is None else f"day <= {literal(as_of)}").selectExpr(
-        *keys, "true as is_member", "id", "false as on_day", "false as is_new")
-    return stage(roll_up(today.unionByName(members), keys))
+
+def _cover(spark: SparkSession, table: str, days: set[str]) -> None:
+    """Note days as covered: a row each, as many as the calendar has."""
+    new = sorted(days - recorded_days(spark, table))
+    if new:
+        rows = spark.createDataFrame([(True, d) for d in new], "run boolean, day string")
+        insert_partitions(rows.coalesce(1), table, overwrite=True, compact=False)

@@ -13,7 +13,7 @@ REFERENCE = "reference"
 # They must equal the ones in the existing logs and tables.
 MISSING = "-1"
 NEW_USER_EVENT = "e_l"
-TEST_URLS = ("http://127.0.0.1", "http://static.testmami.cn")
+TEST_URLS = ("http://127.0.0.1",)
 
 RAW_FIELDS = (
     "reqSerial", "traceId", "sysId", "sysDesc", "eventName",

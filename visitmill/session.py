@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes the shuffles: it starts from many partitions and merges
@@ -18,10 +19,12 @@ CLUSTER_SETTINGS = {
 
 
 def cluster_session(app: str) -> SparkSession:
-    """A session on the cluster that spark-submit names, with its shuffle count as set there."""
-    builder = SparkSession.builder.appName(app)
+    """A session on the cluster that spark-submit names; what is set there stays."""
+    builder, given = SparkSession.builder.appName(app), SparkConf()
+    running = SparkSession.getActiveSession()
     for key, value in CLUSTER_SETTINGS.items():
-        builder = builder.config(key, value)
+        if running is None and not given.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

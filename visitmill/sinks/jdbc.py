@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 def append_jdbc(
     frame: DataFrame, url: str, table: str, properties: Mapping[str, str], connections: int = 4
 ) -> None:
-    """Append rows. Each partition opens a connection, so their number is limited.
+    """Append rows. Each partition opens a connection, so they are dealt to as many as allowed.
 
-    Credentials come from `properties`; nothing is stored in this library. Result
-    tables have a few rows per key, so the coalesce moves no large data.
+    The shuffle keeps the work before it as parallel as it is. Credentials come from
+    `properties`; nothing is stored in this library.
     """
-    frame.coalesce(connections).write.mode("append").jdbc(url, table, properties=dict(properties))
+    frame.repartition(connections).write.mode("append").jdbc(url, table, properties=dict(properties))
 
 
 def dated_region_counts(counts: DataFrame) -> DataFrame:

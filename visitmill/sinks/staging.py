@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,22 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="visitmill-")
 
 
+_held: ContextVar[list[str] | None] = ContextVar("staged paths of a job", default=None)
+
+
+@contextmanager
+def staged_files(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what is staged inside; frames from it must be used up by then."""
+    token = _held.set([])
+    try:
+        yield
+    finally:
+        for path in _held.get():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _held.reset(token)
+
+
 def stage(frame: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -33,5 +52,8 @@ def stage(frame: DataFrame) -> DataFrame:
     later readers of the columnar file read only the columns they use.
     """
     path = f"{shared_folder(frame.sparkSession)}/visitmill/{uuid.uuid4().hex}"
+    held = _held.get()
+    if held is not None:
+        held.append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

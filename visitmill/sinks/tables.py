@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,21 +69,40 @@ def replace_day(
 ) -> None:
     """Make a frame the whole content of one day, so that a job may run again.
 
-    Hours of the day that the frame no longer has are emptied as well. All rows must
+    New partitions take the place of the old ones when the whole write commits; only then
+    are those dropped that the frame no longer has. So a run that fails leaves the old
+    rows, and one that is cut off before the drops is mended by the next. All rows must
     belong to the day.
     """
     spark = frame.sparkSession
+    before = [p for p in _partitions(spark, table) if p["day"] == day]
     strays = F.when(F.col("day") == day, F.col("day")).otherwise(
         F.raise_error(F.lit(f"row of another day in the output for {day}")))
     inner = [c for c in partitions if c != "day"]
-    columns = [c for c in spark.table(table).columns if c not in partitions] + inner
-    rows = frame.withColumn("day", strays).where(F.col("day").isNotNull()).select(*columns)
+    rows = frame.withColumn("day", strays).select(*spark.table(table).columns)
     if compact and inner:
         rows = _compacted(rows, inner)
-    spec = ", ".join([f"day = {literal(day)}", *inner])
-    with _overwrite_mode(spark, "static"):
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{rows}}",
-                  rows=rows)
+    # At most the partitions of a day, gathered while the rows are written.
+    written = Observation()
+    rows = rows.observe(written, F.collect_set(F.struct("day", *inner)).alias("partitions"))
+    with _overwrite_mode(spark, "dynamic"):
+        rows.write.insertInto(table, overwrite=True)
+    now = {tuple(p) for p in written.get["partitions"]}
+    for old in before:
+        if tuple(old[c] for c in ("day", *inner)) not in now:
+            spec = ", ".join(f"{c} = {literal(v)}" for c, v in old.items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """Partition values from the catalog."""
+    return [dict(part.split("=", 1) for part in row[0].split("/"))
+            for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def recorded_days(spark: SparkSession, table: str) -> set[str]:
+    """The days that a table has partitions of, from the catalog."""
+    return {p["day"] for p in _partitions(spark, table)}
 
 
 def load_text_table(

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmill.sources.logs import spread_small_scan
-
 DAY = "2024-01-10"
+AS_OF = "2024-01-05"
+TEST_URLS = ("http://127.0.0.1", "http://static.test.example")
 
 _TIME = "case when event_id%13=0 then date_trunc('hour', ts) else ts end"
 
@@ -35,7 +35,7 @@ _FIELDS = (
     "'10.' || (user_id%6) || '.' || (event_id%256) || '.' || (user_id%256)", "'web'", "'dom1'",
     "case when event_id%41=0 then 'http://127.0.0.1/x'"
     " else 'http://www.example.com/p' || (event_id%11) end",
-    "case when event_id%43=0 then 'http://static.testmami.cn/x'"
+    "case when event_id%43=0 then 'http://static.test.example/x'"
     " else 'http://www.example.com/q' || (event_id%5) end",
     "'title'", "'-1'", "'-1'", "'-1'", "'-1'", "'-1'", "'-1'", "'200'",
     "case when event_id%19=0 then '' else 'memo' end",
@@ -43,8 +43,8 @@ _FIELDS = (
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{folder}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type"))
+    return spark.read.parquet(f"{folder}/events.parquet").select(
+        "event_id", "ts", "user_id", "event_type")
 
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +55,29 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         f"if(event_id%17=0, 'short\tline' || event_id, {line}) as value")
 
 
+ZONE_HOURS = {"CST": 8, "EST": -5, "JST": 9, "PDT": -7, "UTC": 0, "MSK": 3}
+
+
+def zone_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lines with times of several zones, by event, and one-digit days."""
+    token = f"element_at(array({', '.join(map(repr, ZONE_HOURS))}), int(n % {len(ZONE_HOURS)}) + 1)"
+    return _numbered(spark, folder).selectExpr(
+        f"regexp_replace(replace(value, ' CST ', ' ' || {token} || ' '), "
+        "'([A-Z][a-z]{2} [A-Z][a-z]{2}) 0([0-9]) ', '$1 $2 ') as value")
+
+
+def bad_time_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lines, some with a zone that nobody knows."""
+    return _numbered(spark, folder).selectExpr(
+        "if(n % 59 = 0, replace(value, ' CST ', ' QQQ '), value) as value")
+
+
+def _numbered(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw lines with the event's number; that of a short line isn't needed."""
+    return raw_lines(spark, folder).selectExpr(
+        "value", "coalesce(try_cast(regexp_extract(value, '^r([0-9]+)', 1) as bigint), 1) as n")
+
+
 def channel_rules(spark: SparkSession) -> DataFrame:
     """Channel rules; the last one repeats a code and must lose."""
     return spark.sql("""
@@ -77,6 +100,13 @@ def ip_rules(spark: SparkSession) -> DataFrame:
         as t(startNum, endNum, province, city, area, operator)""")
 
 
+def broken_json_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """The JSON objects, some cut off and some with a number for a section."""
+    return json_objects(spark, folder).selectExpr(
+        "event_id", """case when event_id % 97 = 0 then substr(json, 1, 20)
+            when event_id % 89 = 0 then '{"report":5}' else json end as json""")
+
+
 def json_objects(spark: SparkSession, folder: str) -> DataFrame:
     """One JSON object per event, with a `report` and a `user_basic` section.
 

@@ -6,9 +6,42 @@ with row_number, distinct counts per subquery, the range join on BETWEEN.
 
 from __future__ import annotations
 
-from visitmill.operators.metrics import MEMBER, METRICS, Metric
-from visitmill.schema import RAW_FIELDS, REPORT_FIELDS
-from visitmill.suite.derived import DAY
+from typing import NamedTuple
+
+DAY, AS_OF = "2024-01-10", "2024-01-05"
+MEMBER, VISITOR = "member", "visitor"
+
+
+class Metric(NamedTuple):
+    family: str
+    source: str
+    keys: tuple[tuple[str, str], ...] = ()
+
+    @property
+    def inputs(self) -> tuple[str, ...]:
+        return tuple(k for k, _ in self.keys)
+
+
+_BY = {
+    "": (), "province": (("ipProvince", "province"),),
+    "city": (("ipProvince", "province"), ("ipCity", "city")),
+    "channel": (("app_channel", "app_channel"),), "area_channel": (("app_channel", "app_channel"),),
+    "platform": (("platform", "platform"),), "traffic": (("traffic", "traffic"),),
+}
+METRICS = {
+    "daily_users": Metric(VISITOR, "source"), "daily_visitors": Metric(VISITOR, "source"),
+    "daily_members": Metric(MEMBER, "source"),
+} | {
+    f"{family}s_by_{key}": Metric(family, table, _BY[key])
+    for table, keys in (("area", ("province", "city", "area_channel")),
+                        ("platform", ("platform", "channel", "traffic")))
+    for family in (VISITOR, MEMBER) for key in keys
+}
+RAW_FIELDS = (
+    "reqSerial traceId sysId sysDesc eventName version platformChannel channelForm deviceNum customerId "
+    "sessionId clientTime serverTime language userAgent resolution ip terminalChannel domainId currentUrl "
+    "previousUrl title orderId productId amount category action duration respCode memo").split()
+REPORT_FIELDS = "data_type source_name source_name_zh data_gain_time task_id update_time version".split()
 
 _CT = "strftime({x}, '%a %b %d %H:%M:%S CST %Y')"
 _NEW = "strftime(strptime({x}, '%a %b %d %H:%M:%S CST %Y'), '%Y-%m-%d-%H:%M:%S')"
@@ -32,7 +65,7 @@ lines as (select case when event_id % 17 = 0 then 'short' || chr(9) || 'line' ||
     '10.' || (user_id % 6) || '.' || (event_id % 256) || '.' || (user_id % 256), 'web', 'dom1',
     case when event_id % 41 = 0 then 'http://127.0.0.1/x'
       else 'http://www.example.com/p' || (event_id % 11) end,
-    case when event_id % 43 = 0 then 'http://static.testmami.cn/x'
+    case when event_id % 43 = 0 then 'http://static.test.example/x'
       else 'http://www.example.com/q' || (event_id % 5) end,
     'title', '-1', '-1', '-1', '-1', '-1', '-1', '200',
     case when event_id % 19 = 0 then '' else 'memo' end], chr(9))
@@ -40,7 +73,7 @@ lines as (select case when event_id % 17 = 0 then 'short' || chr(9) || 'line' ||
 cells as (select value, string_split(regexp_replace(value, '\\t+$', ''), chr(9)) as f from lines)
 """
 
-_TEST_HOST = "({c} like '%http://127.0.0.1%' or {c} like '%http://static.testmami.cn%')"
+_TEST_HOST = "({c} like '%http://127.0.0.1%' or {c} like '%http://static.test.example%')"
 
 
 def _reject(reference: bool) -> str:
@@ -203,10 +236,8 @@ def _metric(name: str, metric: Metric, reference: bool) -> str:
         domain, others = "anyone", ("v", "m", "vn", "mn")
         columns = ("coalesce(v.n, 0) + coalesce(m.n, 0) as uv_act, "
                    "coalesce(vn.n, 0) + coalesce(mn.n, 0) as uv_new")
-    # The existing city tables are joined on the city name alone.
-    on = metric.inputs[-1:] if reference else metric.inputs
     joins = " ".join(
-        f"left join {o} on " + " and ".join(f"d.{k} = {o}.{k}" for k in on) for o in others)
+        f"left join {o} on " + " and ".join(f"d.{k} = {o}.{k}" for k in metric.inputs) for o in others)
     return (f"{head}, {', '.join(parts)} "
             f"select {columns}, {names}, '{DAY}' as day from {domain} d {joins}")
 
@@ -288,10 +319,27 @@ def oracles() -> dict[str, str]:
         f"{source} select day, count(*) as rows, count(distinct sessionId) as sessions "
         "from source group by day")
     found["table_hours"] = f"{source} select distinct day, cast(hour as int) as hour from source"
+    found["table_rerun"] = found["table_history"]
+    found["members_incremental"] = _metric("daily_members", METRICS["daily_members"], False)
+    found["enriched_from_files"] = found["enriched_shuffled"] = found["channel_ip_enriched"]
+    found["rejected_by_reason_bad_time"] = (
+        f"with {_LINES} select case when r = 'kept' and cast(substr(f[1], 2) as bigint) % 59 = 0 "
+        f"then 'bad_time' else r end as reason, count(*) as lines "
+        f"from (select f, {_reject(False)} as r from cells) group by 1")
+    hours = "[8, -5, 9, -7, 0, 3][cast(substr(reqSerial, 2) as bigint) % 6 + 1]"
+    found["clean_logs_zones"] = (
+        f"{source} select reqSerial, strftime(strptime(serverTime, '%Y-%m-%d-%H:%M:%S') "
+        f"+ to_hours(8 - {hours}), '%Y-%m-%d-%H:%M:%S') as serverTime from source")
+    found["json_bad_objects"] = "select event_id from events where event_id % 97 = 0 or event_id % 89 = 0"
+    found["members_as_of"] = (
+        f"{source} select count(distinct customerId) filter (day = '{DAY}') as uv_act, "
+        f"count(distinct customerId) filter (day = '{DAY}' and eventName = 'e_l') as uv_new, "
+        f"count(distinct customerId) filter (day <= '{AS_OF}') as uv_all, '{DAY}' as day "
+        "from source where customerId <> '-1'")
     found["area_metric_set"] = _metric_set("area")
     found["platform_metric_set"] = _metric_set("platform")
     for name, metric in METRICS.items():
         found[name] = _metric(name, metric, False)
-        if metric.keys:
+        if len(metric.keys) == 1:
             found[f"{name}_ref"] = _metric(name, metric, True)
     return found

@@ -13,9 +13,12 @@ from visitmill.operators.channel import platform_table
 from visitmill.operators.hours import (
     LOG_NINE_JOINT, SESSION_NINE_JOINT, source_hours, with_hour,
 )
+from visitmill.plans.members import facts_with_known_members
 from visitmill.schema import INTENDED, REFERENCE, SOURCE_SCHEMA
 from visitmill.sinks.staging import shared_folder
-from visitmill.sinks.tables import create_table, insert_partitions
+from visitmill.sinks.tables import create_table, insert_partitions, replace_day
+from visitmill.sources.logs import read_lines
+from visitmill.sources.rules import read_channel_rules, read_ip_rules
 from visitmill.sources.tables import partition_hours, read_day, read_history
 from visitmill.suite import derived
 from visitmill.suite.derived import DAY
@@ -24,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def source(spark: SparkSession, folder: str, semantics: str = INTENDED) -> DataFrame:
-    return clean.clean_logs(derived.raw_lines(spark, folder), semantics)
+    return clean.clean_logs(derived.raw_lines(spark, folder), semantics, derived.TEST_URLS)
 
 
 def platform(spark: SparkSession, folder: str, semantics: str = INTENDED) -> DataFrame:
@@ -92,13 +95,17 @@ def _log_hours(semantics: str) -> Query:
 _written: dict[tuple[str, str], str] = {}
 
 
+def _new_table(spark: SparkSession) -> str:
+    name = f"visitmill_source_{uuid.uuid4().hex}"
+    create_table(spark, name, SOURCE_SCHEMA, location=f"{shared_folder(spark)}/visitmill/{name}")
+    return name
+
+
 def _source_table(spark: SparkSession, folder: str) -> str:
     """Clean logs in a partitioned table in the shared folder, written once per application."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _written:
-        name = f"visitmill_source_{uuid.uuid4().hex}"
-        create_table(spark, name, SOURCE_SCHEMA,
-                     location=f"{shared_folder(spark)}/visitmill/{name}")
+        name = _new_table(spark)
         insert_partitions(source(spark, folder), name)
         _written[key] = name
     return _written[key]
@@ -122,13 +129,62 @@ def _enriched(spark: SparkSession, folder: str) -> DataFrame:
                                 region.region_index(derived.ip_rules(spark)))
 
 
+def _rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per day of a table of which one day was replaced twice by itself."""
+    name = _new_table(spark)
+    rows = source(spark, folder)
+    insert_partitions(rows, name)
+    for _ in range(2):
+        replace_day(rows.where(F.col("day") == DAY), name, DAY)
+    return read_history(spark, name).groupBy("day").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("sessionId").alias("sessions"))
+
+
+def _zones(spark: SparkSession, folder: str) -> DataFrame:
+    lines = derived.zone_lines(spark, folder)
+    return clean.clean_logs(lines, INTENDED, derived.TEST_URLS).select("reqSerial", "serverTime")
+
+
+def _members_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.metric_table(source(spark, folder), "daily_members", DAY, as_of=derived.AS_OF)
+
+
+def _members_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """All-time members from the members table, after a run of an earlier and of the day."""
+    history = _source_table(spark, folder)
+    members = f"visitmill_members_{uuid.uuid4().hex}"
+    for day in (derived.AS_OF, DAY):
+        facts = facts_with_known_members(spark, history, "source", members, day)
+    return metrics.metric_from_facts(facts, "daily_members", DAY)
+
+
+def _from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Both lookups over raw lines and rules that were written as text files and read back."""
+    at = f"{shared_folder(spark)}/visitmill/{uuid.uuid4().hex}"
+    derived.raw_lines(spark, folder).write.text(f"{at}/raw")
+    rules = derived.channel_rules(spark).orderBy("line_no").coalesce(1)
+    rules.select(F.concat_ws("\t", "channelFrom", "app_channel", "platform", "traffic")).write.text(f"{at}/channel")
+    derived.ip_rules(spark).select(F.concat_ws(
+        "|", F.lit("a"), F.lit("b"), "startNum", "endNum", F.lit("x"), F.lit("y"),
+        "province", "city", "area", "operator")).write.text(f"{at}/ip")
+    rows = clean.clean_logs(read_lines(spark, f"{at}/raw"), INTENDED, derived.TEST_URLS)
+    return region.enriched_logs(rows, read_channel_rules(spark, f"{at}/channel"),
+                                region.region_index(read_ip_rules(spark, f"{at}/ip")))
+
+
+def _shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """Both lookups without a broadcast."""
+    index = region.region_index(derived.ip_rules(spark), broadcast_bytes=0)
+    return region.enriched_logs(source(spark, folder), derived.channel_rules(spark), index, broadcast_bytes=0)
+
+
 def registered() -> dict[str, Query]:
     found: dict[str, Query] = {
         "clean_logs": source,
         "clean_logs_ref": lambda s, d: source(s, d, REFERENCE),
-        "rejected_by_reason": lambda s, d: clean.rejected_by_reason(derived.raw_lines(s, d)),
+        "rejected_by_reason": lambda s, d: clean.rejected_by_reason(derived.raw_lines(s, d), INTENDED, derived.TEST_URLS),
         "rejected_by_reason_ref":
-            lambda s, d: clean.rejected_by_reason(derived.raw_lines(s, d), REFERENCE),
+            lambda s, d: clean.rejected_by_reason(derived.raw_lines(s, d), REFERENCE, derived.TEST_URLS),
         "cleaned_lines": lambda s, d: clean.cleaned_lines(source(s, d)),
         "hourly_row_counts": lambda s, d: clean.hourly_row_counts(source(s, d)),
         "distinct_hours": lambda s, d: clean.distinct_hours(source(s, d)),
@@ -150,6 +206,16 @@ def registered() -> dict[str, Query]:
             lambda s, d: keyvalue.key_values(derived.json_objects(s, d), "json", "report"),
         "json_report_record":
             lambda s, d: keyvalue.key_value_record(derived.json_objects(s, d), "json", "report"),
+        "rejected_by_reason_bad_time": lambda s, d: clean.rejected_by_reason(
+            derived.bad_time_lines(s, d), INTENDED, derived.TEST_URLS),
+        "clean_logs_zones": _zones,
+        "json_bad_objects": lambda s, d: keyvalue.bad_objects(
+            derived.broken_json_objects(s, d), "json", "report").select("event_id"),
+        "members_as_of": _members_as_of,
+        "members_incremental": _members_incremental,
+        "enriched_from_files": _from_files,
+        "enriched_shuffled": _shuffled,
+        "table_rerun": _rerun,
         "table_day": _table_day,
         "table_history": _table_history,
         "table_hours": _table_hours,
@@ -158,6 +224,6 @@ def registered() -> dict[str, Query]:
     }
     for name, metric in metrics.METRICS.items():
         found[name] = _metric(name, INTENDED)
-        if metric.keys:
+        if len(metric.keys) == 1:
             found[f"{name}_ref"] = _metric(name, REFERENCE)
     return found
