@@ -55,6 +55,35 @@ def test_short_lines_of_an_aligned_block_go(spark):
     assert texts(spark, rows) == [rows[0], (2, line(2)), rows[2]]
 
 
+def test_blocks_of_lines_that_are_frequent_apart(spark):
+    """Two short lines, each in many documents; their first holders aren't the block's."""
+    a, b = line(800, 12), line(801, 12)
+    rows = [(i, f"{line(900 + i)}\n{(a, b)[i % 2]}\n{line(1000 + i)}") for i in range(50)]
+    rows += [(50 + i, f"{line(950 + i)}\n{a}\n{b}\n{line(1050 + i)}") for i in range(30)]
+    got = dict(texts(spark, rows))
+    assert [i for i, text in rows if got[i] != text] == list(range(51, 80))
+    assert all(a not in got[i] and b not in got[i] for i in range(51, 80))
+
+
+def test_blocks_in_another_order_and_second_copies(spark):
+    p, q = ("\n".join(line(k + j) for j in range(2)) for k in (1200, 1300))
+    rows = [(1, f"{p}\n{line(1)}\n{p}\n{q}"), (2, f"{line(2)}\n{q}\n{line(3)}\n{p}\n{line(4)}\n{q}")]
+    assert texts(spark, rows) == [rows[0], (2, "\n".join(line(k) for k in (2, 3, 4)))]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=9), st.lists(st.integers(0, 4), max_size=9))
+def test_every_common_run_is_met_and_deleted(mine, theirs):
+    """Against all runs of lines, line k having k words; 0 is an empty line."""
+    common = {
+        i for i in range(len(mine)) for j in range(i + 1, len(mine) + 1) if sum(mine[i:j]) >= 5
+        and any(theirs[k:k + j - i] == mine[i:j] for k in range(len(theirs)))
+        for i in range(i, j)}
+    met = set(linededup.least_runs(mine, mine, 5)) & set(linededup.least_runs(theirs, theirs, 5))
+    assert bool(met) == bool(common)
+    assert set(linededup.repeated_in(mine, mine, theirs, 5)) <= common
+
+
 def test_copies_keep_an_empty_text(spark):
     whole = "\n".join(line(600 + k) for k in range(4))
     assert texts(spark, [(5, whole), (6, whole), (9, whole)]) == [(5, whole), (6, ""), (9, "")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
@@ -15,17 +16,38 @@ from visitmill.sinks.staging import stage
 
 # Words of the least common block that is deleted.
 MIN_WORDS = 20
-# Documents up to which a line counts as rare.
+# Documents up to which a line, or a run of short ones, counts as rare.
 RARE = 16
 
-LINES = "doc_id long, text_key long, hashes array<long>, words array<int>"
+LINES = "doc_id long, text_key long, hashes array<long>, words array<int>, runs array<long>"
 
 
-def line_hashes(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, hashes, words): each line's 64-bit hash and number of words.
+def least_runs(hashes: Sequence[int], words: Sequence[int], min_words: int) -> list[int]:
+    """Hashes of the least runs of lines with `min_words` words, one for each line that begins one.
+
+    A line that has as many words is a run of its own, under its own hash. Every block of at
+    least `min_words` words contains such a run, whatever surrounds it.
+    """
+    packed = array("q", hashes).tobytes()
+    found, end, total = set(), 0, 0
+    for begin, count in enumerate(words):
+        while total < min_words and end < len(words):
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        if count:
+            found.add(hashes[begin] if end == begin + 1 else
+                      xxhash.xxh3_64_intdigest(packed[8 * begin:8 * end]) - 2**63)
+        total -= count
+    return list(found)
+
+
+def line_hashes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_key, hashes, words, runs): each line's 64-bit hash and number of words.
 
     Lines are split at \\n and compared without white space at their ends; a line without a
-    word has hash zero. A null text has no lines.
+    word has hash zero. `runs` are the hashes of `least_runs`. A null text has no lines.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -40,24 +62,26 @@ def line_hashes(docs: DataFrame) -> DataFrame:
                     for line, n in zip(lines, counts, strict=True)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64())),
-                 pa.array(words, pa.list_(pa.int32()))],
-                ["doc_id", "text_key", "hashes", "words"])
+                 pa.array(words, pa.list_(pa.int32())),
+                 pa.array([least_runs(h, n, min_words) for h, n in zip(hashes, words, strict=True)],
+                          pa.list_(pa.int64()))],
+                ["doc_id", "text_key", "hashes", "words", "runs"])
 
     return keyed(docs, "text").where("text is not null").mapInArrow(each, LINES)
 
 
 def candidate_pairs(lines: DataFrame, rare: int = RARE) -> DataFrame:
-    """(later, earlier) pairs of documents that share a line.
-
-    Each holder of a line is paired with the line's first holder, and the holders of a rare
-    line also with the holder before them. So pairs grow with the lines, never with the
-    square of a group, and no line is too frequent to be followed to its first holder. The
-    first holder is an aggregate that combines before its shuffle; only rare lines, with at
-    most `rare` rows each, are dealt again and ordered, so the join before may split.
+    """(later, earlier) pairs of documents that share lines.
+
+    Documents meet through the hashes of `least_runs`: a line, or as many short ones as are
+    rare only together. Each holder of a run is paired with the run's first holder, and the
+    holders of a rare one also with the holder before them. So pairs grow with the lines,
+    never with the square of a group, and no run is too frequent to be followed to its first
+    holder: every block that an earlier document has is met in one that has its beginning.
+    The first holder is an aggregate that combines before its shuffle; only rare runs, with
+    at most `rare` rows each, are dealt again and ordered, so the join before may split.
     """
-    held = lines.select(
-        F.struct("doc_id", "text_key").alias("doc"), F.explode(F.array_distinct("hashes")).alias("hash")
-    ).where("hash <> 0")
+    held = lines.select(F.struct("doc_id", "text_key").alias("doc"), F.explode("runs").alias("hash"))
     shared = (
         held.groupBy("hash").agg(F.count("*").alias("holders"), F.min("doc").alias("first"))
         .where("holders > 1"))
@@ -74,7 +98,8 @@ def common_blocks(a: Sequence, b: Sequence) -> list[tuple[int, int, int]]:
     """Patience alignment of two lists of lines: (start in a, start in b, length) of each block.
 
     Equal lines at both ends are matched; between them, lines that occur once in either are
-    anchors where their order agrees, and the same goes on between the anchors.
+    anchors where their order agrees, and the same goes on between the anchors. Where no
+    line occurs once in either, the first places of the lines are anchors.
     """
     matched: list[tuple[int, int]] = []
     ranges = [(0, len(a), 0, len(b))]
@@ -86,7 +111,7 @@ def common_blocks(a: Sequence, b: Sequence) -> list[tuple[int, int, int]]:
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             matched.append((a1, b1))
-        anchors = _in_order(_unique_in_both(a, a0, a1, b, b0, b1)) if a0 < a1 and b0 < b1 else []
+        anchors = _in_order(_anchors(a, a0, a1, b, b0, b1)) if a0 < a1 and b0 < b1 else []
         if anchors:
             starts = [(a0, b0), *anchors]
             ends = [*anchors, (a1, b1)]
@@ -100,14 +125,37 @@ def common_blocks(a: Sequence, b: Sequence) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def _unique_in_both(a, a0, a1, b, b0, b1) -> list[tuple[int, int]]:
-    places: list[dict] = []
-    for lines, first, last in ((a, a0, a1), (b, b0, b1)):
-        seen: dict = {}
-        for k in range(first, last):
-            seen[lines[k]] = -1 if lines[k] in seen else k
-        places.append(seen)
-    return [(i, j) for line, i in places[0].items() if i >= 0 and (j := places[1].get(line, -1)) >= 0]
+def repeated_in(
+    mine: Sequence[int], words: Sequence[int], theirs: Sequence[int], min_words: int
+) -> list[int]:
+    """Numbers of the lines of `mine` in aligned blocks of at least `min_words` words.
+
+    An alignment keeps the order. What it leaves of `mine` is aligned again, until no block
+    is found, so blocks in another order and second copies are found as well.
+    """
+    left, out = list(mine), []
+    while len(out) < len(mine):
+        found = [
+            i for start, _, length in common_blocks(left, theirs)
+            if sum(words[start:start + length]) >= min_words for i in range(start, start + length)]
+        if not found:
+            break
+        out += found
+        for i in found:
+            left[i] = None
+    return out
+
+
+def _anchors(a, a0, a1, b, b0, b1) -> list[tuple[int, int]]:
+    first: list[dict] = [{}, {}]
+    again: set = set()
+    for seen, lines, begin, end in ((first[0], a, a0, a1), (first[1], b, b0, b1)):
+        for k in range(begin, end):
+            if seen.setdefault(lines[k], k) != k:
+                again.add(lines[k])
+    both = [(line, (i, first[1][line])) for line, i in first[0].items() if line in first[1]]
+    once = [places for line, places in both if line not in again]
+    return once or [places for _, places in both]
 
 
 def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -136,7 +184,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE
     `min_words` words. The earliest holder of a block keeps it. Rows with the same id and text
     are one document and are treated alike.
     """
-    lines = stage(line_hashes(docs))
+    lines = stage(line_hashes(docs, min_words))
     one = lines.dropDuplicates(["doc_id", "text_key"])
     pairs = candidate_pairs(one, rare)
 
@@ -150,13 +198,9 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for mine, words, theirs in zip(
-                *(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-                found.append([
-                    i for start, _, length in common_blocks(mine, theirs)
-                    if sum(words[start:start + length]) >= min_words
-                    for i in range(start, start + length)])
+            found = [
+                repeated_in(mine, words, theirs, min_words) for mine, words, theirs in zip(
+                    *(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))],
                 ["doc_id", "text_key", "lines"])
