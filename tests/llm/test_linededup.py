@@ -75,10 +75,11 @@ def test_blocks_in_another_order_and_second_copies(spark):
 @given(st.lists(st.integers(0, 4), max_size=9), st.lists(st.integers(0, 4), max_size=9))
 def test_every_common_run_is_met_and_deleted(mine, theirs):
     """Against all runs of lines, line k having k words; 0 is an empty line."""
-    common = {
-        i for n in range(len(mine)) for j in range(i + 1, len(mine) + 1) if sum(mine[i:j]) >= 5
-        and any(theirs[k:k + j - i] == mine[i:j] for k in range(len(theirs)))
-        for i in range(i, j)}
+    common = set()
+    for i in range(len(mine)):
+        for j in range(i + 1, len(mine) + 1):
+            if sum(mine[i:j]) >= 5 and any(theirs[k:k + j - i] == mine[i:j] for k in range(len(theirs))):
+                common |= set(range(i, j))
     met = set(linededup.least_runs(mine, mine, 5)) & set(linededup.least_runs(theirs, theirs, 5))
     assert bool(met) == bool(common)
     assert set(linededup.repeated_in(mine, mine, theirs, 5)) <= common
