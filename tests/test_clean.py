@@ -2,7 +2,7 @@ import re
 from datetime import datetime
 
 import pytest
-from conftest import TIME, lines, plan, raw_line, rows
+from log_help import TIME, lines, plan, raw_line, rows
 
 from visitmill.functions.times import yesterday
 from visitmill.operators.clean import (

@@ -1,11 +1,12 @@
 import random
 
 import pytest
-from conftest import plan, rows
+from log_help import plan, rows
+from pyspark.sql import functions as F
 
 from visitmill.functions.ip import ip_number, ip_parts
 from visitmill.operators.channel import platform_table, with_channel
-from visitmill.operators.lookup import lookup_join, measure
+from visitmill.operators.lookup import lookup_join, measure, staged_with_hot_keys
 from visitmill.operators.region import (
     area_table, overlapping_rules, region_counts, region_index, with_region,
 )
@@ -63,6 +64,28 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert len(salts) == 8 and max(r["count"] for r in salts) < 250
 
 
+def test_hot_keys_come_from_the_pass_that_writes(spark):
+    """A third of the rows on one key, many keys, a null key; the left side is computed once."""
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(i):
+        runs.add(1)
+        return i
+    left = spark.range(3000).select(
+        counted("id").alias("i"),
+        F.expr("case when id % 3 = 0 then 'hot' when id % 100 = 1 then null else 'k' || id end as k"))
+    staged, hot = staged_with_hot_keys(left, "k")
+    assert hot == ["hot"] and runs.value == 3000
+    right = spark.createDataFrame([("hot", 1), ("k4", 2)], "k string, v int")
+    joined = lookup_join(staged, right, "k", fits=False, hot=hot)
+    got = {(r.i, r.k, r.v) for r in joined.collect()}
+    want = {(i, "hot" if i % 3 == 0 else None if i % 100 == 1 else f"k{i}",
+             1 if i % 3 == 0 else 2 if i == 4 else None) for i in range(3000)}
+    assert got == want and runs.value == 3000
+    assert staged_with_hot_keys(left.limit(0), "k")[1] == []
+
+
 def numbers(spark, *ips, strict=False):
     frame = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)], "i int, ip string")
     split = frame.selectExpr("*", f"{ip_parts('ip')} as p")

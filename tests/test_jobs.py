@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from conftest import lines, raw_line, rows
+from log_help import lines, raw_line, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,7 +134,8 @@ def run(spark, inputs, semantics="intended"):
     prefix = f"j{uuid.uuid4().hex}_"
     names = jobs.Tables(*[prefix + n for n in ("source", "platform", "area", "session")])
     jobs.create_tables(spark, names, semantics)
-    jobs.clean_job(spark, str(inputs / "raw"), names, semantics, export=str(inputs / prefix))
+    jobs.clean_job(spark, str(inputs / "raw"), names, semantics, export=str(inputs / prefix),
+                   test_urls=derived.TEST_URLS)
     # One day is the daily job; the others are filled directly, to have a history.
     platform = queries.platform(spark, SMALL, semantics).where(f"day <> '{DAY}'")
     area = queries.area(spark, SMALL, semantics).where(f"day <> '{DAY}'")

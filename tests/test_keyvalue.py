@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from log_help import rows
 
 from visitmill.operators.keyvalue import key_value_record, key_values
 from visitmill.schema import REPORT_FIELDS

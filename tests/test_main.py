@@ -1,5 +1,5 @@
 import pytest
-from conftest import raw_line, rows
+from log_help import raw_line, rows
 
 from visitmill.__main__ import main
 

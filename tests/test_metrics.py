@@ -1,11 +1,11 @@
 import random
 
 import pytest
-from conftest import plan, rows
+from log_help import plan, rows
 from pyspark.sql import functions as F
 
 from visitmill.operators.metrics import (
-    METRICS, members_by_region_unfiltered, metric_set, metric_table,
+    METRICS, available, members_by_region_unfiltered, metric_set, metric_table,
 )
 
 DAY = "2024-01-10"
@@ -111,17 +111,24 @@ def test_intended_equals_conditional_distinct(events, name):
     assert "Expand" not in text and "Join" not in text
 
 
-@pytest.mark.parametrize("name", [n for n, m in METRICS.items() if m.keys])
+@pytest.mark.parametrize("name", [n for n in available("reference") if METRICS[n].keys])
 def test_reference_equals_literal_joins(events, name):
     got, want = metric_table(events, name, DAY, "reference"), literal(events, METRICS[name])
     assert got.columns == want.columns and rows(got) == rows(want)
 
 
+def test_city_tables_have_no_reference_form(events):
+    assert set(METRICS) - set(available("reference")) == {"visitors_by_city", "members_by_city"}
+    for name in ("visitors_by_city", "members_by_city"):
+        with pytest.raises(ValueError, match="joins on the city name"):
+            metric_table(events, name, DAY, "reference")
+
+
 @pytest.mark.parametrize("semantics", ["intended", "reference"])
 @pytest.mark.parametrize("source", ["source", "area", "platform"])
 def test_set_equals_single_tables(events, source, semantics):
     found = metric_set(events, source, DAY, semantics)
-    assert set(found) == {n for n, m in METRICS.items() if m.source == source}
+    assert set(found) == {n for n in available(semantics) if METRICS[n].source == source}
     for name, frame in found.items():
         assert rows(frame) == rows(metric_table(events, name, DAY, semantics)), name
 

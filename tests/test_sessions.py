@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import lines, plan, raw_line, rows
+from log_help import lines, plan, raw_line, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from visitmill.sinks.staging import stage
@@ -12,6 +13,9 @@ from visitmill.sinks.staging import stage
 # Estimated bytes of a lookup table up to which it is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
+# Items that the sketch of frequent keys follows at least, and per shuffle partition.
+SKETCH_ITEMS = 10_000
+SKETCH_ITEMS_PER_SHARE = 16
 
 
 @dataclass(frozen=True)
@@ -37,29 +41,45 @@ def measure(frame: DataFrame) -> Size:
     return Size(row["rows"], row["bytes"])
 
 
+def staged_with_hot_keys(left: DataFrame, key: str) -> tuple[DataFrame, list]:
+    """Write the left side once, and name the keys with more than a shuffle partition's share.
+
+    A sketch of frequent items watches the rows while they are written, so they are computed
+    once and no key is counted by a shuffle. No more keys than partitions can be that
+    frequent. The sketch errs by a fraction of such a share, and an error only salts a key
+    more or less than needed: the joined rows are the same.
+    """
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = max(SKETCH_ITEMS, SKETCH_ITEMS_PER_SHARE * tasks)
+    seen = Observation()
+    staged = stage(left.observe(
+        seen, F.expr(f"approx_top_k(`{key}`, {tasks}, {tracked})").alias("top"),
+        F.count(F.lit(1)).alias("rows")))
+    rows = seen.get["rows"]
+    return staged, [item["item"] for item in seen.get["top"] or []
+                    if item["item"] is not None and item["count"] * tasks > rows]
+
+
 def lookup_join(
-    left: DataFrame, lookup: DataFrame, key: str, fits: bool
+    left: DataFrame, lookup: DataFrame, key: str, fits: bool, hot: Sequence | None = None
 ) -> DataFrame:
     """Left join on a key that is unique in `lookup`.
 
     When the lookup fits it is broadcast and the left side does not move. Otherwise
-    both sides are shuffled. A key with more than a shuffle partition's share of the rows
-    is counted out first; it is spread over all partitions by a hash of the whole row
-    (repeatable when a task runs again), and only its lookup row is repeated for that.
-    At most as many keys as partitions can be hot, so they are broadcast. Identical rows
-    share a salt; adaptive skew-join handling splits those.
+    both sides are shuffled. A hot key is spread over all partitions by a hash of the whole
+    row (repeatable when a task runs again), and only its lookup row is repeated for that.
+    `hot` comes from `staged_with_hot_keys`, which is called here for a left side that
+    wasn't written yet. Identical rows share a salt; adaptive skew-join handling splits those.
     """
     if fits:
         return left.join(F.broadcast(lookup), key, "left")
+    if hot is None:
+        left, hot = staged_with_hot_keys(left, key)
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = stage(left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")))
-    total = counts.agg(F.sum("_rows")).first()[0] or 0
-    hot = F.broadcast(
-        counts.where(F.col("_rows") * tasks > total).select(key, F.lit(True).alias("_hot")))
+    is_hot = F.col(key).isin(list(hot)) if hot else F.lit(False)
     salt = F.pmod(F.xxhash64(*left.columns), F.lit(tasks)).cast("int")
-    salted = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0)).drop("_hot")
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    salted = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.withColumn("_salt", F.explode(salts))
     joined = salted.join(repeated.hint("shuffle_merge"), [key, "_salt"], "left")
     return joined.select(*left.columns, *[c for c in lookup.columns if c != key])

@@ -113,6 +113,16 @@ def totals(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return facts.groupBy(*keys).agg(*[F.expr(e) for e in counts + flags])
 
 
+def available(semantics: str = INTENDED) -> list[str]:
+    """The metrics of a reading. The reference one has no tables by province and city.
+
+    There the counts are joined on the city name alone, so every province of a name meets
+    every other: all pairs within a name, which is not built here.
+    """
+    reference = check_semantics(semantics)
+    return [n for n, m in METRICS.items() if not (reference and m.keys == _CITY)]
+
+
 def metric_table(
     frame: DataFrame, name: str, day: str, semantics: str = INTENDED, as_of: str | None = None
 ) -> DataFrame:
@@ -137,7 +147,7 @@ def metric_set(
     The facts by all keys are written once to the shared folder; each table rolls them up.
     """
     if names is None:
-        names = [n for n, m in METRICS.items() if m.source == source]
+        names = [n for n in available(semantics) if METRICS[n].source == source]
     families = tuple(dict.fromkeys(METRICS[n].family for n in names))
     facts = identity_facts(frame, set_keys(names), day, EVENT_COLUMN[source], families, as_of)
     return metric_set_from_facts(stage(facts), names, day, semantics)
@@ -157,6 +167,8 @@ def metric_from_facts(
     """Shape facts by exactly the keys of a metric into its table."""
     reference = check_semantics(semantics)
     metric = METRICS[name]
+    if name not in available(semantics):
+        raise ValueError(f"{name} has no {semantics} form: it joins on the city name alone; use {INTENDED!r}")
     counted = totals(facts, metric.inputs)
     if not metric.keys:
         rows, columns = "true", _GRAND_TOTALS[name]

@@ -19,7 +19,8 @@ from visitmill.functions.ip import ip_number, ip_parts
 from visitmill.functions.text import evaluate_once
 from visitmill.functions.times import day_of, hour_of
 from visitmill.operators.channel import with_channel
-from visitmill.operators.lookup import BROADCAST_BYTES, lookup_join, size_columns
+from visitmill.operators.lookup import (
+    BROADCAST_BYTES, lookup_join, size_columns, staged_with_hot_keys)
 from visitmill.schema import AREA_COLUMNS, INTENDED, MISSING, check_semantics
 
 # Bucket widths as powers of two. At 63 every address of one sign shares a bucket.
@@ -135,9 +136,10 @@ def with_region(
     if index.fits:
         resolved = _resolve(numbered, index)
     else:
+        numbered, hot = staged_with_hot_keys(numbered, "_number")
         addresses = numbered.select("_number").where("_number is not null").distinct()
         known = _resolve(addresses, index).where("_region is not null")
-        resolved = lookup_join(numbered, known, "_number", fits=False)
+        resolved = lookup_join(numbered, known, "_number", fits=False, hot=hot)
 
     # An existing rule file never yields a NULL city, so the fallback to the area only
     # happens in the intended reading, where an empty city counts as missing.

@@ -23,7 +23,7 @@ from visitmill.operators.channel import platform_table
 from visitmill.operators.clean import clean_logs, cleaned_lines
 from visitmill.operators.hours import SESSION_NINE_JOINT, with_hour
 from visitmill.operators.lookup import BROADCAST_BYTES, measure
-from visitmill.operators.metrics import METRICS, metric_set, metric_set_from_facts
+from visitmill.operators.metrics import METRICS, available, metric_set, metric_set_from_facts
 from visitmill.operators.region import area_table, region_index
 from visitmill.operators.sessions import session_summary
 from visitmill.plans.members import facts_with_known_members
@@ -41,6 +41,13 @@ from visitmill.sources.tables import partition_hours, read_day, read_history
 # The two area tables by app channel are not produced by default, as before.
 DEFAULT_METRICS = tuple(n for n in METRICS if not n.endswith("_area_channel"))
 
+
+def default_metrics(semantics: str = INTENDED) -> tuple[str, ...]:
+    """What a reading has of the default metrics."""
+    found = available(semantics)
+    return tuple(n for n in DEFAULT_METRICS if n in found)
+
+
 Sink = Callable[[DataFrame, str], None]
 
 
@@ -136,7 +143,7 @@ def session_job(
 def metrics_job(
     spark: SparkSession, day: str, sink: Sink, tables: Tables = Tables(),
     semantics: str = INTENDED, as_of: str | None = None,
-    metrics: Iterable[str] = DEFAULT_METRICS, incremental: bool = True,
+    metrics: Iterable[str] | None = None, incremental: bool = True,
 ) -> None:
     """Compute the metric tables of a day and hand each to the sink with its name.
 
@@ -144,7 +151,7 @@ def metrics_job(
     members come from a table of known members that each run extends, and that is filled
     from the history where it lacks a day. `incremental=False` scans the history instead.
     """
-    wanted = set(metrics)
+    wanted = set(default_metrics(semantics) if metrics is None else metrics)
     unknown = wanted - set(METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
