@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmill.llm import (
-    chat, decontaminate, language, linededup, lmscore, packing, pii, quality, simhash, tokencounts)
+    chat, collocations, decontaminate, language, linededup, lmscore, packing, pii, quality, simhash, tokencounts)
 
 CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 # A job passes a key of its own.
@@ -78,6 +78,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.without_repeats(table(spark, folder, "documents")).select("doc_id", "text")
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -90,6 +94,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_line_dedup": op10_line_dedup,
+        "op12_phrase_collocations": op12_phrase_collocations,
     }
 
 
@@ -146,8 +151,48 @@ from shown group by conv_id
 """
 
 
+OP12_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, regexp_extract_all(p, '[^ \t]+') as ws
+  from (select lang, unnest(regexp_split_to_array(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) as p
+        from documents)),
+totals as (select lang, sum(len(ws))::bigint as n from pieces group by lang),
+f as (
+  select lang, k, phrase, count(*) as f
+  from (select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase
+        from (select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i
+              from pieces, (select unnest([1, 2, 3]) as k) where len(ws) >= k))
+  group by lang, k, phrase),
+cand as (
+  select lang, k, phrase, f as a, string_split(phrase, ' ') as ws from f where k > 1 and f >= 10),
+cuts as (
+  select lang, k, phrase, a, cut, array_to_string(ws[1:cut], ' ') as head, array_to_string(ws[cut + 1:], ' ') as rest
+  from (select *, unnest(range(1, k)) as cut from cand)),
+scored as (
+  select c.lang, c.k, c.phrase, c.a, x.f as l, y.f as r, c.cut,
+    (1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f) as score
+  from cuts c join f x on x.lang = c.lang and x.k = c.cut and x.phrase = c.head
+  join f y on y.lang = c.lang and y.k = c.k - c.cut and y.phrase = c.rest),
+lowest as (
+  select * from scored qualify row_number() over (partition by lang, k, phrase order by score, cut) = 1),
+longer as (
+  select lang, part, max(a) as a
+  from (select lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) as part
+        from cand where k = 3)
+  group by lang, part),
+kept as (
+  select s.* from lowest s left join longer g on s.k = 2 and g.lang = s.lang and g.part = s.phrase
+  where g.a is null or 100 * g.a < 50 * s.a)
+select lang, rank, phrase, a, l, r, n, score::bigint as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+join totals using (lang) where rank <= 2000
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op5_chat_formatting": OP5_SQL,
         "op9_benchmark_decontamination": OP9_SQL,
+        "op12_phrase_collocations": OP12_SQL,
     }
