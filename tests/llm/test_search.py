@@ -1,0 +1,158 @@
+"""Ranked search against scoring every document for every item."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_help import documents, prose
+
+from visitmill.llm import search
+
+
+def terms_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(docs, items, top=20):
+    held = [(i, Counter(terms_of(t))) for i, t in docs]
+    held = [(i, c) for i, c in held if c]
+    n_docs, n_words = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in set(items):
+        asked = Counter(terms_of(text))
+        found = []
+        for doc_id, counts in held:
+            m = 75 + (25 * sum(counts.values()) * n_docs) // n_words
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * ((1000000000 * counts[t]) // (1000 * counts[t] + 12 * m))
+                for t, times in asked.items() if t in counts)
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0, doc_id))
+        out += [(item, rank, f[3], -f[0]) for rank, f in enumerate(sorted(found)[:top], 1)]
+    return sorted(out, key=repr)
+
+
+def corpus(seed=2, count=240):
+    """Documents that share words by topics, with copies, ties and a word that all have."""
+    dice = random.Random(seed)
+    topics = [prose(900 + k, 25).split() for k in range(12)]
+    common = prose(990, 10).split()
+    docs = []
+    for i in range(count):
+        words = dice.choices(topics[i % 12], k=dice.randint(5, 40)) + dice.choices(common, k=20) + ["every"]
+        docs.append((i, dice.choice([" ", "\n", "-"]).join(words)))
+    docs += [(1000 + i, docs[3][1]) for i in range(30)] + [(2000, docs[5][1])] * 3 + [(None, docs[7][1])]
+    items = [(k, " ".join(dice.choices(topics[k % 12], k=8) + dice.choices(common, k=6) + ["Every"]))
+             for k in range(24)]
+    items += [(30, "every"), (31, "every every " + topics[0][0]), (32, "nosuchword"), (33, ""), (34, None),
+              (35, topics[1][0]), (35, topics[2][0]), (36, "Ünï日本"), (36, "Ünï日本")]
+    return docs, items
+
+
+@pytest.mark.parametrize(("size", "shard_docs"), [(32, 4096), (3, 40), (1, 7)])
+def test_equals_scoring_everything(spark, size, shard_docs):
+    docs, items = corpus()
+    bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, rank string")
+    got = search.ranked(documents(spark, docs).repartition(4), bench, size=size, shard_docs=shard_docs)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(docs, items)
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    docs, items = corpus(count=60)
+    monkeypatch.setattr(search, "ITEM_BYTES", 600)
+    bench = spark.createDataFrame([(str(i), t) for i, t in items], "item_id string, text string")
+    got = search.ranked(documents(spark, docs), bench, top=3)
+    want = brute(docs, [(str(i), t) for i, t in items], 3)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
+def local(docs, size):
+    """A shard and queries without Spark."""
+    docs = [(i, t) for i, t in docs if terms_of(t)]
+    texts = [t for _, t in docs]
+
+    def prepared(items):
+        own = search.vocabulary(pa.array(items))
+        data, offsets = search.text_bytes(pa.array(texts))
+        n, bounds, terms, tfs = search._counted(own, data, offsets)
+        df = np.bincount(terms, minlength=len(own))
+        weight = np.array([math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * d + 1))) for d in df])
+        order = np.argsort(-weight, kind="stable")
+        rank = np.argsort(order)
+        weighed = search.Weights(len(docs), int(n.sum()), rank, weight[order])
+        row = np.repeat(np.arange(len(docs)), np.diff(bounds))
+        impacts, terms = weighed.impacts(n[row], tfs), rank[terms]
+        order = np.argsort(row * len(own) + terms)
+        shard = search.built(bounds, terms[order], impacts[order], weighed.weight,
+                             search._directions(len(own)), size)
+        return shard, search.queries(pa.array(items), own, weighed), len(own)
+    return prepared
+
+
+def test_bounds_hold_and_blocks_are_skipped():
+    docs, items = corpus(count=1200)
+    items = [t for i, t in items if i < 24]
+    shard, asked, terms = local(docs, 16)(items)
+    searcher = search.Searcher(shard, terms)
+    starts = np.concatenate(([0], asked.ends[:-1]))
+    scores = np.zeros(len(shard.doc_ends), np.int64)
+    for a, b in zip(starts, asked.ends, strict=True):
+        own, weight = asked.terms[a:b], asked.weight[a:b]
+        searcher.query[own] = weight
+        doc_starts = searcher.doc_starts
+        for d in range(len(scores)):
+            part = slice(doc_starts[d], shard.doc_ends[d])
+            scores[d] = (searcher.query[shard.terms[part]] * shard.impacts[part]).sum()
+        blocks, bounds = searcher.bounds(own)
+        reached = np.zeros(len(scores), np.int64)
+        for block, bound in zip(blocks, bounds, strict=True):
+            members = shard.members[searcher.member_starts[block]:shard.member_ends[block]]
+            reached[members] = np.maximum(reached[members], bound)
+        # Through its heaviest query term every document is within its bound.
+        assert (scores <= reached).all()
+        searcher.query[own] = 0
+        found, got = searcher.best(own, weight, 20)
+        want = np.sort(scores[scores > 0])[::-1][:20]
+        assert np.sort(got)[::-1][:20].tolist() == want.tolist()
+        assert (scores[found] == got).all()
+    assert searcher.opened < 0.6 * searcher.blocks
+
+
+def test_lists_are_clustered_by_similarity():
+    docs, items = corpus(count=600)
+    shard, _, _ = local(docs, 16)([t for i, t in items if i < 24])
+    sizes = np.diff(np.concatenate(([0], shard.list_ends)))
+    assert sizes.max() > 10 and len(shard.members) == len(shard.terms)
+    # A block's summary has fewer terms than the same number of documents taken as they come.
+    longest = int(np.argmax(sizes))
+    blocks = range(shard.list_ends[longest] - sizes[longest], shard.list_ends[longest])
+    kept = [shard.summary_ends[b] - (shard.summary_ends[b - 1] if b else 0) for b in blocks]
+    assert min(kept) >= 1
+
+
+def test_large_tables_of_maxima_equal_small_ones(monkeypatch):
+    dice = np.random.default_rng(1)
+    block, term, impact = dice.integers(0, 9, 500), dice.integers(0, 40, 500), dice.integers(1, 99, 500)
+    block[-1] = 8
+    small = search._maxima(block, term, impact, 40)
+    monkeypatch.setattr(search, "CELLS", 10)
+    assert all((a == b).all() for a, b in zip(small, search._maxima(block, term, impact, 40), strict=True))
+
+
+def test_odd_rows(spark, odd):
+    items = [(1, prose(4)), (None, prose(6)), (2, None), (3, "x" * 200_000), (4, "日本 end é́")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = search.ranked(odd.docs, bench)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(odd.rows, items)
+    assert search.ranked(odd.none, bench).count() == 0
+    for rows in ([], [(1, None)], [(1, " - ")]):
+        none = spark.createDataFrame(rows, "item_id long, text string")
+        assert search.ranked(odd.docs, none).count() == 0

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmill.llm import (
-    chat, collocations, decontaminate, language, linededup, lmscore, packing, pii, quality, simhash, tokencounts)
+    chat, collocations, decontaminate, language, linededup, lmscore, packing, pii, quality, search, simhash,
+    tokencounts)
 
 CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 # A job passes a key of its own.
@@ -82,6 +83,10 @@ def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -95,6 +100,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_line_dedup": op10_line_dedup,
         "op12_phrase_collocations": op12_phrase_collocations,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
@@ -190,9 +196,41 @@ join totals using (lang) where rank <= 2000
 """
 
 
+OP13_SQL = r"""
+with lowered as (
+  select doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+words as (
+  select doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from lowered),
+sized as (select doc_id, ws, len(ws)::bigint as n from words where len(ws) > 0),
+corpus as (select count(*) as docs, sum(n)::bigint as total from sized),
+tf as (select doc_id, n, term, count(*) as tf from (select doc_id, n, unnest(ws) as term from sized) group by all),
+df as (select term, count(*) as df from tf group by term),
+weight as (
+  select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint) as w
+  from df, corpus),
+asked as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark)
+  group by all),
+scores as (
+  select item_id, doc_id, cast(sum(times * w * (
+    (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // total))))) as bigint) as score
+  from asked join weight using (term) join tf using (term), corpus
+  group by item_id, doc_id)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
+      from scores where score > 0)
+where rank <= 20
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op5_chat_formatting": OP5_SQL,
         "op9_benchmark_decontamination": OP9_SQL,
         "op12_phrase_collocations": OP12_SQL,
+        "op13_ranked_search": OP13_SQL,
     }
