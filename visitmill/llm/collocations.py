@@ -37,7 +37,7 @@ SAMPLE = 8
 # phrases of one bit only make a pass count more phrases than it must.
 FILTER_BITS = 25
 # Bytes of text that are counted together before rows leave a task.
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 # What ends a word, and which of it ends a piece.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -94,11 +94,20 @@ def _keys(size: bytes, *hashes: np.ndarray) -> pa.BinaryArray:
 
 def _counted(hashes: list[np.ndarray], gram: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct phrases, by the hashes of their words, and how often each occurs."""
-    _, first, group, n = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
-    if all((h[first][group] == h).all() for h in hashes):
-        return [h[first] for h in hashes], n
-    found, n = np.unique(np.stack(hashes, axis=1), axis=0, return_counts=True)
-    return list(found.T), n
+    order = np.argsort(gram)
+    gram = gram[order]
+    fresh = np.ones(len(gram), dtype=bool)
+    np.not_equal(gram[1:], gram[:-1], out=fresh[1:])
+    first = np.flatnonzero(fresh)
+    found = []
+    for h in hashes:
+        h = h[order]
+        if not (fresh[1:] | (h[1:] == h[:-1])).all():
+            # Different phrases have one hash here.
+            found, n = np.unique(np.stack(hashes, axis=1), axis=0, return_counts=True)
+            return list(found.T), n
+        found.append(h[first])
+    return found, np.diff(first, append=len(gram))
 
 
 def _slice_counts(
