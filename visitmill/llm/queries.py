@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmill.llm import (
-    chat, collocations, decontaminate, language, linededup, lmscore, packing, pii, quality, search, simhash,
-    tokencounts)
+    chat, collocations, decontaminate, language, linededup, lmscore, packing, pii, quality, search,
+    sentencepieces, simhash, tokencounts)
 
 CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 # A job passes a key of its own.
 DEMONSTRATION_KEY = "demonstration only"
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -79,6 +80,13 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.without_repeats(table(spark, folder, "documents")).select("doc_id", "text")
 
 
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    coded = sentencepieces.encoded(table(spark, folder, "documents"), PIECE_VOCABULARY)
+    return sentencepieces.decoded(coded, PIECE_VOCABULARY).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -99,6 +107,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_line_dedup": op10_line_dedup,
+        "op11_sentencepiece": op11_sentencepiece,
         "op12_phrase_collocations": op12_phrase_collocations,
         "op13_ranked_search": op13_ranked_search,
     }
