@@ -52,19 +52,44 @@ def test_components_equal_brute_force(spark):
     assert len({c for _, c in got.values()}) < 45
 
 
+def signed(value):
+    return value if value < 2**63 else value - 2**64
+
+
 def test_links_of_fingerprints_at_each_distance(spark):
     base = 0x0123456789ABCDEF
-    prints = {1: base, 2: base ^ 1, 3: base ^ 0x8000000000000001, 4: base ^ 0b111, 5: base ^ 0b11110000}
-    frame = spark.createDataFrame([(p if p < 2**63 else p - 2**64, i) for i, p in prints.items()], "fp long, rep long")
+    prints = [base, base ^ 1, base ^ 0x8000000000000001, base ^ 0b111, base ^ 0b11110000]
+    frame = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
     found = {tuple(sorted(r)) for r in simhash.links(frame).collect()}
-    close = {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2}
+    close = {tuple(sorted((signed(a), signed(b)))) for a in prints for b in prints if 0 < (a ^ b).bit_count() <= 2}
     assert found <= close
     joined = connected_components(spark.createDataFrame(list(found), "a long, b long")).collect()
-    assert {r["node"]: r["component"] for r in joined} == {1: 1, 2: 1, 3: 1, 4: 1}
+    assert {r["node"] for r in joined} == {signed(p) for p in prints[:4]}
+    assert len({r["component"] for r in joined}) == 1
     with pytest.raises(ValueError, match="even"):
         simhash.links(frame, 3)
 
 
+def test_null_ids_link_what_lies_on_both_sides(spark, monkeypatch):
+    """Against all pairs of rows, of which some have no id and some repeat one."""
+    base = 0x00FF00FF00FF00FF
+    rows = [(9, base), (None, base ^ 0b11), (1, base ^ 0b1111), (None, base ^ 0b111111), (5, base ^ 0xFF0000),
+            (None, ~base % 2**64), (None, ~base % 2**64 ^ 1), (7, 5), (7, 0xFFFFFF), (3, 0xFFFFFE), (8, 0xF00000000000)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, _: docs)
+    frame = spark.createDataFrame([(i, signed(p)) for i, p in rows], "doc_id long, fp long")
+    label = list(range(len(rows)))
+    for _ in rows:
+        for a, (i, p) in enumerate(rows):
+            for b, (j, q) in enumerate(rows):
+                if (p ^ q).bit_count() <= 2 or i is not None and i == j:
+                    label[a] = label[b] = min(label[a], label[b])
+    want = [(i, signed(p), min((j for (j, _), m in zip(rows, label, strict=True) if m == n and j is not None), default=None))
+            for (i, p), n in zip(rows, label, strict=True)]
+    got = [tuple(r) for r in simhash.near_duplicates(frame).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert {c for i, p, c in want if p in (signed(base), signed(base ^ 0b1111))} == {1}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select((F.col("id") * 7 % 307).alias("a"), ((F.col("id") + 1) * 7 % 307).alias("b"))
     got = connected_components(edges).collect()

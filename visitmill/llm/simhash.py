@@ -70,26 +70,24 @@ def ball(radius: int) -> list[int]:
     return [m - 2**64 if m >= 2**63 else m for m in masks]
 
 
-def links(representatives: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b) links that join the same documents as all pairs within `max_bits` would.
+def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b) links that join the same fingerprints as all pairs within `max_bits` would.
 
-    `representatives` holds (fp, rep) with distinct fp. Every fingerprint emits all variants
-    within half the radius. Two fingerprints within the radius share a variant, and any two
-    that share one are within the radius, so the neighbours in a variant's sorted list link
-    all of its members: no pairs within a group. Each link is verified by its distance.
+    `prints` holds distinct fp. Every fingerprint emits all variants within half the radius.
+    Two fingerprints within the radius share a variant, and any two that share one are
+    within the radius, so the neighbours in a variant's sorted list link all of its members:
+    no pairs within a group. Each link is verified by its distance.
     """
     if max_bits % 2 or max_bits < 0:
         raise ValueError("max_bits is an even number: half of it is the radius of a ball")
     masks = F.array(*[F.lit(m) for m in ball(max_bits // 2)])
-    variants = representatives.select(
-        "fp", "rep", F.explode(masks).alias("mask")
-    ).select("fp", "rep", F.expr("fp ^ mask").alias("variant"))
+    variants = prints.select(
+        "fp", F.explode(masks).alias("mask")).select("fp", F.expr("fp ^ mask").alias("variant"))
     order = Window.partitionBy("variant").orderBy("fp")
-    met = variants.select(
-        "fp", "rep", F.lag("fp").over(order).alias("fp0"), F.lag("rep").over(order).alias("rep0"))
+    met = variants.select("fp", F.lag("fp").over(order).alias("fp0"))
     return (
         met.where(F.expr(f"fp0 is not null and bit_count(fp ^ fp0) <= {int(max_bits)}"))
-        .select(F.col("rep0").alias("a"), F.col("rep").alias("b")).distinct())
+        .select(F.col("fp0").alias("a"), F.col("fp").alias("b")).distinct())
 
 
 def near_duplicates(
@@ -98,28 +96,27 @@ def near_duplicates(
     """(doc_id, fp, component_id) per row of `docs` (doc_id, text); other columns are ignored.
 
     Documents whose fingerprints differ in at most `max_bits` bits are linked; component_id
-    is the smallest doc_id reachable. Equal fingerprints, and so all copies, become one
-    representative before the search. Documents without a word have fingerprint zero and
-    are linked like any other. Rows that repeat a doc_id each give a row; with different
-    texts they are linked by that id. Rows with a null doc_id take part as members: their
-    component_id is the smallest id of their fingerprint's component, or null where no
-    document of it has an id. An empty table gives an empty result.
+    is the smallest doc_id reachable. The nodes are fingerprints, so all copies are one node.
+    Documents without a word have fingerprint zero and are linked like any other. Rows that
+    repeat a doc_id each give a row; with different texts they are linked by that id. Rows
+    with a null doc_id are members like others and link what lies on both sides of them;
+    component_id is null only where no document of the component has an id. An empty table
+    gives an empty result.
     """
     marked = stage(fingerprints(docs, shingle))
-    representatives = stage(
-        marked.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    named = representatives.where("rep is not null")
+    prints = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     repeated = (
         marked.where("doc_id is not null").select("doc_id", "fp").distinct()
-        .groupBy("doc_id").agg(F.min("fp").alias("fp0"), F.max("fp").alias("fp1"))
-        .where("fp0 <> fp1"))
+        .groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("other"))
+        .where("a <> other").select("doc_id", "a"))
     same_id = (
-        marked.join(repeated.select("doc_id"), "doc_id", "left_semi")
-        .join(named.select("fp", "rep"), "fp").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    components = connected_components(links(named.select("fp", "rep"), max_bits).unionByName(same_id))
-    classes = representatives.join(
-        components, F.col("rep") == F.col("node"), "left"
-    ).select("fp", F.coalesce("component", "rep").alias("component_id"))
+        marked.select("doc_id", F.col("fp").alias("b")).join(repeated, "doc_id").select("a", "b").where("a <> b"))
+    components = connected_components(links(prints.select("fp"), max_bits).unionByName(same_id))
+    grouped = stage(
+        prints.join(components, F.col("fp") == F.col("node"), "left")
+        .select("fp", "least", F.coalesce("component", "fp").alias("component")))
+    named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = grouped.join(named, "component").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
