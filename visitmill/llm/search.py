@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -25,10 +26,10 @@ from visitmill.sinks.staging import stage
 
 TOP = 20
 # Documents of a shard, and entries (a document's query terms) after which it is closed too.
-SHARD_DOCS = 4096
-SHARD_ENTRIES = 1 << 21
+SHARD_DOCS = 2048
+SHARD_ENTRIES = 1 << 20
 # Documents of a block, on average; a shorter list is one block.
-BLOCK = 32
+BLOCK = 128
 # Random directions by whose signs documents are compared.
 DIRECTIONS = 32
 # One shard of so many gives the first scores to beat.
@@ -37,7 +38,9 @@ SEED_SHARDS = 16
 ITEM_BYTES = 1 << 24
 SLICE = 1 << 22
 # Cells of the table in which the maxima of a list's blocks are gathered.
-CELLS = 1 << 22
+CELLS = 1 << 20
+
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 FORWARD = "doc_id long, n long, terms array<int>, tfs array<int>"
 SIGNED = "doc_id long, sign long, terms array<int>, impacts array<int>"
@@ -292,7 +295,7 @@ def built(
         entry = _ranges(order[part], after[part])
         base = block[first[a]]
         held = _maxima(np.repeat(block[part] - base, after[part]), terms[entry], impacts[entry], len(weight))
-        found.append((held[0] + base, *held[1:]))
+        found.append(tuple(c.astype(np.int32) for c in (held[0] + base, *held[1:])))
     place, coordinates, maxima = (np.concatenate(c) for c in zip(*found, strict=True))
     summary_ends = np.cumsum(np.bincount(place, minlength=list_ends[-1]))
     return Shard(bounds[1:], terms, impacts, list_terms, list_ends, member_ends, doc[order][by_block],
@@ -433,7 +436,7 @@ def _answers(shards: DataFrame, asked: Queries, terms: int, top: int, floors: np
                 ids = batch.column(0).slice(row, 1).flatten()
                 names = [f.name for f in fields(Shard)]
                 shard = Shard(*(
-                    batch.column(1 + k).slice(row, 1).flatten().to_numpy().astype(np.int64)
+                    batch.column(1 + k).slice(row, 1).flatten().to_numpy()
                     for k in range(len(names))))
                 searcher = Searcher(shard, terms)
                 number = ids.fill_null(0).to_numpy()
@@ -451,6 +454,17 @@ def _answers(shards: DataFrame, asked: Queries, terms: int, top: int, floors: np
     return shards.mapInArrow(each, "item long, doc_id long, score long")
 
 
+@contextmanager
+def _row_by_row(spark: SparkSession) -> Iterator[None]:
+    """Hand rows to Python one at a time: a shard is as large as a whole batch of other rows."""
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def _best(answers: DataFrame, top: int) -> DataFrame:
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     return answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
@@ -477,8 +491,10 @@ def _answered(docs: DataFrame, items: pa.Table, top: int, size: int, shard_docs:
     asked = queries(texts, own, weighed)
     seeds = shards.where(F.pmod(F.xxhash64("doc_ids"), F.lit(SEED_SHARDS)) == 0)
     ones = np.ones(len(texts), dtype=np.int64)
-    floors = _floors(_answers(seeds, asked, len(own), top, ones), len(texts), top)
-    return _best(_answers(shards, asked, len(own), top, floors), top)
+    with _row_by_row(spark):
+        first = stage(_answers(seeds, asked, len(own), top, ones))
+        found = stage(_answers(shards, asked, len(own), top, _floors(first, len(texts), top)))
+    return _best(found, top)
 
 
 def ranked(
