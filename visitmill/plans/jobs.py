@@ -148,8 +148,8 @@ def metrics_job(
     """Compute the metric tables of a day and hand each to the sink with its name.
 
     Only the day itself is scanned, once for all metrics of an input table. All-time
-    members come from a table of known members that each run extends, and that is filled
-    from the history where it lacks a day. `incremental=False` scans the history instead.
+    members come from a table of known members, in which each run records its day, and days
+    that it lacks. `incremental=False` scans the history instead.
     """
     wanted = set(default_metrics(semantics) if metrics is None else metrics)
     unknown = wanted - set(METRICS)
@@ -163,7 +163,7 @@ def metrics_job(
         with staged_files(spark):
             if incremental:
                 facts = facts_with_known_members(
-                    spark, table, source, f"{table}_members", day, as_of)
+                    spark, table, source, f"{table}_member_months", day, as_of)
                 found = metric_set_from_facts(facts, names, day, semantics)
             else:
                 found = metric_set(

@@ -1,12 +1,17 @@
 """Known members per key combination, so that all-time counts need no full history scan.
 
-The table holds (keys, id) with the day on which a pair was first recorded, one partition
-per such day. It grows with the number of members, not with the log. A second table names
-the days that it covers.
+The table holds (keys, id) with a bitmap of the days of a month on which the pair was seen,
+partitioned by month: bit d stands for day d. A day that runs again clears its bit in the
+one month and sets it anew, and a bound on the history is a mask. So the table grows with
+the members and months, not with the log, and no day needs any other day of the log. A
+second table names the days that it covers.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +22,11 @@ from visitmill.operators.metrics import (
 )
 from visitmill.schema import MISSING, strings
 from visitmill.sinks.staging import stage
-from visitmill.sinks.tables import create_table, insert_partitions, recorded_days, replace_day
+from visitmill.sinks.tables import (
+    create_table, drop_partitions, insert_partitions, recorded_days, replace_slices,
+)
+
+_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
 def facts_with_known_members(
@@ -25,67 +34,68 @@ def facts_with_known_members(
 ) -> DataFrame:
     """Identity facts of a day of the `history` table plus every known member.
 
-    The day's new members are recorded first. The members table is filled from the history
-    when it lacks a day that the history has, and when an earlier day runs again, since
-    members that went from it may have come on a later one. So the result never depends on
-    which days were run.
+    The day's members are recorded first, whether or not it was recorded before. Days of the
+    history that the members table lacks are read once, and days that the history lost are
+    cleared. So the result is that of a scan of all days, as each was when it last ran,
+    whichever days were run in which order.
     """
     frame = spark.table(history)
     keys = set_keys([n for n, m in METRICS.items() if m.source == source])
-    create_table(spark, table, T.StructType([*strings(*keys, "id"), *strings("day")]), ("day",))
+    create_table(spark, table, T.StructType([
+        *strings(*keys, "id"), T.StructField("days", T.LongType()), *strings("month")]), ("month",))
     covered = f"{table}_days"
     create_table(spark, covered, T.StructType([
         T.StructField("run", T.BooleanType()), *strings("day")]), ("day",))
 
     today = stage(identity_facts(frame.where(f"day = {literal(day)}"), keys, day,
                                  EVENT_COLUMN[source], (VISITOR,), as_of))
+    there = {d for d in recorded_days(spark, history) if _DAY.fullmatch(d)}
     done = recorded_days(spark, covered)
-    lacking = recorded_days(spark, history) - done - {day}
-    if lacking or (day in done and any(d > day for d in done)):
-        for noted in done:
-            spark.sql(f"ALTER TABLE {covered} DROP IF EXISTS PARTITION (day = {literal(noted)})")
-        _fill(frame, table, keys)
-        _cover(spark, covered, recorded_days(spark, history))
-    else:
-        _record(spark, today, table, keys, day)
-        _cover(spark, covered, {day})
+    lacking, lost = there - done - {day}, done - there - {day}
+    seen = today.where("is_member").select(*keys, "id", F.lit(day).alias("day"))
+    if lacking:
+        older = frame.where(F.col("day").isin(sorted(lacking)) & (F.col("customerId") != MISSING))
+        seen = seen.unionByName(older.select(*keys, F.col("customerId").alias("id"), "day"))
+    _record(spark, seen, table, covered, keys, {day} | lacking, lost)
 
     # Of the rows of the day itself the facts know more; the pairs meet in the roll-up.
-    bound = "true" if as_of is None else f"day <= {literal(as_of)}"
-    members = spark.table(table).where(bound).selectExpr(
+    members = known_members(spark, table, as_of).selectExpr(
         *keys, "true as is_member", "id", "false as on_day", "false as is_new",
         "true as in_history")
     return stage(roll_up(today.unionByName(members), keys))
 
 
-def _fill(frame: DataFrame, table: str, keys: tuple[str, ...]) -> None:
-    """All members with their first day, from the whole history; the one full scan.
-
-    No day is noted as covered meanwhile, so the next run fills again if this one fails.
-    """
-    first = (
-        frame.where(f"customerId <> '{MISSING}' and day is not null")
-        .groupBy(*keys, F.col("customerId").alias("id")).agg(F.min("day").alias("day")))
-    spark = frame.sparkSession
-    rows = stage(first.select(*spark.table(table).columns))
-    spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {{rows}}", rows=rows)
+def known_members(spark: SparkSession, table: str, as_of: str | None = None) -> DataFrame:
+    """(keys, id, days, month) of the members seen up to a day, or ever."""
+    rows = spark.table(table)
+    if as_of is None:
+        return rows
+    month, last = literal(as_of[:7]), (2 << int(as_of[8:10])) - 1
+    return rows.where(f"month < {month} or (month = {month} and days & {last}L <> 0)")
 
 
 def _record(
-    spark: SparkSession, today: DataFrame, table: str, keys: tuple[str, ...], day: str
+    spark: SparkSession, seen: DataFrame, table: str, covered: str, keys: tuple[str, ...],
+    days: Collection[str], lost: Collection[str],
 ) -> None:
-    """The day's members that no earlier day has; later days may have them as well."""
-    known = spark.table(table).where(f"day < {literal(day)}").select(
-        *[F.col(c).alias(f"old_{c}") for c in (*keys, "id")])
-    same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in (*keys, "id")]
-    new = today.where("is_member").select(*keys, "id").join(known, same, "left_anti")
-    # Staged, because a table cannot be read and overwritten in one query.
-    replace_day(stage(new.withColumn("day", F.lit(day))), table, day, ("day",))
-
+    """Clear the bits of some days and set those of the members `seen` (keys, id, day) on them.
 
-def _cover(spark: SparkSession, table: str, days: set[str]) -> None:
-    """Note days as covered: a row each, as many as the calendar has."""
-    new = sorted(days - recorded_days(spark, table))
-    if new:
-        rows = spark.createDataFrame([(True, d) for d in new], "run boolean, day string")
-        insert_partitions(rows.coalesce(1), table, overwrite=True, compact=False)
+    Only the months of the days are read and written. The days don't count as covered in
+    between, so if this fails the next run records them again.
+    """
+    drop_partitions(spark, covered, [{"day": d} for d in sorted({*days, *lost})])
+    cleared: dict[str, int] = {}
+    for d in (*days, *lost):
+        cleared[d[:7]] = cleared.get(d[:7], 0) | 1 << int(d[8:10])
+    mask = " ".join(f"when {literal(m)} then {bits}L" for m, bits in cleared.items())
+    kept = spark.table(table).where(F.col("month").isin(sorted(cleared))).selectExpr(
+        *keys, "id", f"days & ~(case month {mask} end) as days", "month")
+    new = seen.selectExpr(
+        *keys, "id", "shiftleft(1L, int(substr(day, 9, 2))) as days", "substr(day, 1, 7) as month")
+    merged = (
+        kept.unionByName(new).groupBy(*keys, "id", "month").agg(F.bit_or("days").alias("days"))
+        .where("days <> 0"))
+    # Staged, because a table cannot be read and overwritten in one query.
+    replace_slices(stage(merged), table, "month", set(cleared))
+    rows = spark.createDataFrame([(True, d) for d in sorted(days)], "run boolean, day string")
+    insert_partitions(rows.coalesce(1), covered, overwrite=True, compact=False)

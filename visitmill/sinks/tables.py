@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -67,31 +67,45 @@ def replace_day(
     frame: DataFrame, table: str, day: str, partitions: tuple[str, ...] = PARTITION_COLUMNS,
     compact: bool = True,
 ) -> None:
-    """Make a frame the whole content of one day, so that a job may run again.
+    """Make a frame the whole content of one day, so that a job may run again."""
+    replace_slices(frame, table, "day", {day}, tuple(c for c in partitions if c != "day"), compact)
+
+
+def replace_slices(
+    frame: DataFrame, table: str, column: str, values: Collection[str], inner: tuple[str, ...] = (),
+    compact: bool = True,
+) -> None:
+    """Make a frame the whole content of the partitions with some values of a column.
 
     New partitions take the place of the old ones when the whole write commits; only then
     are those dropped that the frame no longer has. So a run that fails leaves the old
-    rows, and one that is cut off before the drops is mended by the next. All rows must
-    belong to the day.
+    rows, and one that is cut off before the drops is mended by the next. A row with another
+    value stops the write. `inner` are the partition columns besides `column`. The session's
+    overwrite mode doesn't matter.
     """
     spark = frame.sparkSession
-    before = [p for p in _partitions(spark, table) if p["day"] == day]
-    strays = F.when(F.col("day") == day, F.col("day")).otherwise(
-        F.raise_error(F.lit(f"row of another day in the output for {day}")))
-    inner = [c for c in partitions if c != "day"]
-    rows = frame.withColumn("day", strays).select(*spark.table(table).columns)
-    if compact and inner:
-        rows = _compacted(rows, inner)
-    # At most the partitions of a day, gathered while the rows are written.
+    before = [p for p in _partitions(spark, table) if p[column] in values]
+    shown = ", ".join(sorted(values))
+    strays = F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(
+        F.raise_error(F.lit(f"row of another {column} in the output for {shown}")))
+    rows = frame.withColumn(column, strays).select(*spark.table(table).columns)
+    spread = [*([column] if len(values) > 1 else []), *inner]
+    if compact and spread:
+        rows = _compacted(rows, spread)
+    # At most the partitions of these values, gathered while the rows are written.
     written = Observation()
-    rows = rows.observe(written, F.collect_set(F.struct("day", *inner)).alias("partitions"))
+    rows = rows.observe(written, F.collect_set(F.struct(column, *inner)).alias("partitions"))
     with _overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(table, overwrite=True)
     now = {tuple(p) for p in written.get["partitions"]}
-    for old in before:
-        if tuple(old[c] for c in ("day", *inner)) not in now:
-            spec = ", ".join(f"{c} = {literal(v)}" for c, v in old.items())
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    drop_partitions(spark, table, [p for p in before if tuple(p[c] for c in (column, *inner)) not in now])
+
+
+def drop_partitions(spark: SparkSession, table: str, partitions: Collection[dict[str, str]]) -> None:
+    """Drop partitions, given by the values of their columns."""
+    for values in partitions:
+        spec = ", ".join(f"{c} = {literal(v)}" for c, v in values.items())
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
 def _partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:

@@ -336,6 +336,11 @@ def oracles() -> dict[str, str]:
         f"count(distinct customerId) filter (day = '{DAY}' and eventName = 'e_l') as uv_new, "
         f"count(distinct customerId) filter (day <= '{AS_OF}') as uv_all, '{DAY}' as day "
         "from source where customerId <> '-1'")
+    found["members_rerun"] = (
+        f"{source} select count(distinct customerId) filter (day = '{DAY}') as uv_act, "
+        f"count(distinct customerId) filter (day = '{DAY}' and eventName = 'e_l') as uv_new, "
+        f"count(distinct customerId) as uv_all, '{DAY}' as day from source "
+        f"where customerId <> '-1' and (day <> '{AS_OF}' or right(reqSerial, 1) < '3')")
     found["area_metric_set"] = _metric_set("area")
     found["platform_metric_set"] = _metric_set("platform")
     for name, metric in METRICS.items():

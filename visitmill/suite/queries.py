@@ -158,6 +158,21 @@ def _members_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.metric_from_facts(facts, "daily_members", DAY)
 
 
+def _members_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """All-time members after an earlier day lost some of its rows and was run again."""
+    history = _new_table(spark)
+    rows = source(spark, folder)
+    insert_partitions(rows, history)
+    members = f"visitmill_members_{uuid.uuid4().hex}"
+    for day in (DAY, derived.AS_OF):
+        facts_with_known_members(spark, history, "source", members, day)
+    left = rows.where(f"day = '{derived.AS_OF}' and right(reqSerial, 1) < '3'")
+    replace_day(left, history, derived.AS_OF)
+    for day in (derived.AS_OF, DAY):
+        facts = facts_with_known_members(spark, history, "source", members, day)
+    return metrics.metric_from_facts(facts, "daily_members", DAY)
+
+
 def _from_files(spark: SparkSession, folder: str) -> DataFrame:
     """Both lookups over raw lines and rules that were written as text files and read back."""
     at = f"{shared_folder(spark)}/visitmill/{uuid.uuid4().hex}"
@@ -213,6 +228,7 @@ def registered() -> dict[str, Query]:
             derived.broken_json_objects(s, d), "json", "report").select("event_id"),
         "members_as_of": _members_as_of,
         "members_incremental": _members_incremental,
+        "members_rerun": _members_rerun,
         "enriched_from_files": _from_files,
         "enriched_shuffled": _shuffled,
         "table_rerun": _rerun,
