@@ -15,7 +15,7 @@ from visitmill.suite.queries import registered
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES = registered()
-WRITING = ("table", "members_incremental", "members_rerun", "enriched_from_files", "enriched_shuffled")
+WRITING = ("table", "clean_twice", "members_incremental", "members_rerun", "enriched_from_files", "enriched_shuffled")
 
 
 @pytest.fixture(scope="module")

@@ -45,8 +45,12 @@ def clean_logs(
     zones: Mapping[str, str] = DEFAULT_ZONES,
     zone: str = DEFAULT_ZONE,
     on_bad_time: str = "fail",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Filter raw lines (column `value`), reformat their times, name their fields."""
+    """Filter raw lines (column `value`), reformat their times, name their fields.
+
+    Columns of `lines` named in `keep` stay, behind the others.
+    """
     reference = check_semantics(semantics)
     rejected = " or ".join(_reject_rules(test_urls, reference).values())
 
@@ -55,22 +59,22 @@ def clean_logs(
 
     if reference:
         # Both time texts are replaced wherever they occur in the line.
-        split = evaluate_once(lines, tab_fields("value"), _FIELDS, "value")
+        split = evaluate_once(lines, tab_fields("value"), _FIELDS, "value", *keep)
         timed = evaluate_once(
             split.where(f"not ({rejected})"),
             f"array({readable('clientTime')}, {readable('serverTime')})", "times",
-            "value", _FIELDS)
+            "value", _FIELDS, *keep)
         if on_bad_time == "drop":
             timed = timed.where("times[0] is not null and times[1] is not null")
         replaced = (f"replace(replace(value, {_field('clientTime')}, times[0]), "
                     f"{_field('serverTime')}, times[1])")
-        timed, new = evaluate_once(timed, tab_fields(replaced), _FIELDS), {}
+        timed, new = evaluate_once(timed, tab_fields(replaced), _FIELDS, *keep), {}
     else:
-        split = evaluate_once(lines, tab_fields("value"), _FIELDS)
+        split = evaluate_once(lines, tab_fields("value"), _FIELDS, *keep)
         # Only the server time is fixed here: `day` is derived from it, and filters on it
         # must not parse it again. The client time goes away when nobody reads it.
         timed = evaluate_once(split.where(f"not ({rejected})"), readable("serverTime"), "server",
-                              _FIELDS)
+                              _FIELDS, *keep)
         client = (f"case when {_missing('clientTime')} then '{MISSING}' "
                   f"else {readable('clientTime')} end")
         if on_bad_time == "drop":
@@ -78,9 +82,9 @@ def clean_logs(
             timed = timed.where("server is not null")
             client = f"coalesce({client}, '{MISSING}')"
         new = {"clientTime": client, "serverTime": "server"}
-    named = timed.selectExpr(*[f"{new.get(n, _field(n))} as {n}" for n in RAW_FIELDS])
-    return named.selectExpr("*", "substr(serverTime, 1, 10) as day",
-                            "substr(serverTime, 12, 2) as hour")
+    named = timed.selectExpr(*[f"{new.get(n, _field(n))} as {n}" for n in RAW_FIELDS], *keep)
+    return named.selectExpr(*RAW_FIELDS, "substr(serverTime, 1, 10) as day",
+                            "substr(serverTime, 12, 2) as hour", *keep)
 
 
 def rejected_by_reason(

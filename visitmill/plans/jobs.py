@@ -7,7 +7,7 @@
 5. metrics: all three to fifteen small result tables
 
 Jobs 2 to 4 replace the day they are given, and so does job 1 with a day, so a day can be
-run again. Intermediate files go when a job ends.
+run again; without, job 1 loads each file once. Intermediate files go when a job ends.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from visitmill.operators.lookup import BROADCAST_BYTES, measure
 from visitmill.operators.metrics import METRICS, available, metric_set, metric_set_from_facts
 from visitmill.operators.region import area_table, region_index
 from visitmill.operators.sessions import session_summary
+from visitmill.plans.ledger import FILE_COLUMN, load_files, own_day
 from visitmill.plans.members import facts_with_known_members
 from visitmill.schema import (
     AREA_SCHEMA, INTENDED, PLATFORM_SCHEMA, SESSION_SCHEMA, SESSION_SCHEMA_REFERENCE,
@@ -75,24 +76,34 @@ def clean_job(
 ) -> None:
     """Clean raw files into the source table, and optionally export the lines as text.
 
-    With a `day`, the path names all files that may hold rows of that day; those rows
-    become the whole day, so the job can run again. Without, rows are appended: a file may
-    hold rows of neighbouring hours, and replacing those partitions would lose what other
-    files put there. `overwrite` is for input that holds whole hours.
+    Without a day each file is loaded once: a ledger beside the source table tells the files
+    that it holds, a file that changed has its rows replaced, and a run over the same files
+    adds nothing. With a `day`, the path names all files that may hold rows of that day, and
+    those rows become the whole day. `overwrite` is for input that holds whole hours: they
+    replace the table's. The reference reading appends whatever it is given.
 
     `compact=False` saves the shuffle before the write when the raw files are already in
-    time order, so that each split holds few hours. An export reads the day's partitions,
-    or the clean rows staged once. `options` go to `clean_logs`.
+    time order, so that each split holds few hours. An export holds the rows of the day, of
+    the overwritten hours, or of the files that this run loaded. `options` go to `clean_logs`.
     """
-    rows = clean_logs(read_lines(spark, path), semantics, **options)
+    def cleaned(lines: DataFrame, *keep: str) -> DataFrame:
+        return clean_logs(lines, semantics, keep=keep, **options)
+
     with staged_files(spark):
         if day is not None:
+            rows = cleaned(read_lines(spark, path))
+            own_day(spark, tables.source, day)
             replace_day(rows.where(F.col("day") == day), tables.source, day, compact=compact)
             rows = read_day(spark, tables.source, day)
-        else:
+        elif overwrite or check_semantics(semantics):
+            rows = cleaned(read_lines(spark, path))
             rows = stage(rows) if export else rows
             insert_partitions(rows, tables.source, overwrite, compact)
-        if export:
+        else:
+            loaded = load_files(spark, path, tables.source, lambda lines: cleaned(lines, FILE_COLUMN), compact)
+            files = [*loaded.new, *loaded.replaced]
+            rows = cleaned(read_lines(spark, files)) if export and files else None
+        if export and rows is not None:
             write_lines(cleaned_lines(rows), export)
 
 

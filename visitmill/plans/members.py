@@ -96,6 +96,6 @@ def _record(
         kept.unionByName(new).groupBy(*keys, "id", "month").agg(F.bit_or("days").alias("days"))
         .where("days <> 0"))
     # Staged, because a table cannot be read and overwritten in one query.
-    replace_slices(stage(merged), table, "month", set(cleared))
+    replace_slices(stage(merged), table, ("month",), {(m,) for m in cleared})
     rows = spark.createDataFrame([(True, d) for d in sorted(days)], "run boolean, day string")
     insert_partitions(rows.coalesce(1), covered, overwrite=True, compact=False)

@@ -68,37 +68,38 @@ def replace_day(
     compact: bool = True,
 ) -> None:
     """Make a frame the whole content of one day, so that a job may run again."""
-    replace_slices(frame, table, "day", {day}, tuple(c for c in partitions if c != "day"), compact)
+    replace_slices(frame, table, ("day",), {(day,)}, tuple(c for c in partitions if c != "day"), compact)
 
 
 def replace_slices(
-    frame: DataFrame, table: str, column: str, values: Collection[str], inner: tuple[str, ...] = (),
-    compact: bool = True,
+    frame: DataFrame, table: str, columns: tuple[str, ...], wanted: Collection[tuple[str, ...]],
+    inner: tuple[str, ...] = (), compact: bool = True,
 ) -> None:
-    """Make a frame the whole content of the partitions with some values of a column.
+    """Make a frame the whole content of the partitions with the wanted values of some columns.
 
     New partitions take the place of the old ones when the whole write commits; only then
     are those dropped that the frame no longer has. So a run that fails leaves the old
-    rows, and one that is cut off before the drops is mended by the next. A row with another
-    value stops the write. `inner` are the partition columns besides `column`. The session's
-    overwrite mode doesn't matter.
+    rows, and one that is cut off before the drops is mended by the next. A row with other
+    values stops the write. `inner` are the partition columns besides `columns`. The
+    session's overwrite mode doesn't matter.
     """
-    spark = frame.sparkSession
-    before = [p for p in _partitions(spark, table) if p[column] in values]
-    shown = ", ".join(sorted(values))
-    strays = F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(
-        F.raise_error(F.lit(f"row of another {column} in the output for {shown}")))
-    rows = frame.withColumn(column, strays).select(*spark.table(table).columns)
-    spread = [*([column] if len(values) > 1 else []), *inner]
+    spark, wanted = frame.sparkSession, set(wanted)
+    before = [p for p in _partitions(spark, table) if tuple(p[c] for c in columns) in wanted]
+    names = sorted("/".join(values) for values in wanted)
+    shown = f"{' and '.join(columns)} in the output for {', '.join(names[:5])}"
+    belongs = F.concat_ws("/", *columns).isin(names)
+    rows = frame.withColumn(columns[0], F.when(belongs, F.col(columns[0])).otherwise(
+        F.raise_error(F.lit(f"row of another {shown}")))).select(*spark.table(table).columns)
+    spread = [*(columns if len(wanted) > 1 else ()), *inner]
     if compact and spread:
         rows = _compacted(rows, spread)
     # At most the partitions of these values, gathered while the rows are written.
     written = Observation()
-    rows = rows.observe(written, F.collect_set(F.struct(column, *inner)).alias("partitions"))
+    rows = rows.observe(written, F.collect_set(F.struct(*columns, *inner)).alias("partitions"))
     with _overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(table, overwrite=True)
     now = {tuple(p) for p in written.get["partitions"]}
-    drop_partitions(spark, table, [p for p in before if tuple(p[c] for c in (column, *inner)) not in now])
+    drop_partitions(spark, table, [p for p in before if tuple(p[c] for c in (*columns, *inner)) not in now])
 
 
 def drop_partitions(spark: SparkSession, table: str, partitions: Collection[dict[str, str]]) -> None:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw log lines as column `value`. The path may be a folder or a glob."""
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw log lines as column `value`, of a folder, a glob or a list of files."""
     return spark.read.text(path)
 
 

@@ -319,6 +319,7 @@ def oracles() -> dict[str, str]:
         f"{source} select day, count(*) as rows, count(distinct sessionId) as sessions "
         "from source group by day")
     found["table_hours"] = f"{source} select distinct day, cast(hour as int) as hour from source"
+    found["clean_twice"] = found["clean_logs"]
     found["table_rerun"] = found["table_history"]
     found["members_incremental"] = _metric("daily_members", METRICS["daily_members"], False)
     found["enriched_from_files"] = found["enriched_shuffled"] = found["channel_ip_enriched"]

@@ -13,6 +13,7 @@ from visitmill.operators.channel import platform_table
 from visitmill.operators.hours import (
     LOG_NINE_JOINT, SESSION_NINE_JOINT, source_hours, with_hour,
 )
+from visitmill.plans import jobs
 from visitmill.plans.members import facts_with_known_members
 from visitmill.schema import INTENDED, REFERENCE, SOURCE_SCHEMA
 from visitmill.sinks.staging import shared_folder
@@ -95,8 +96,8 @@ def _log_hours(semantics: str) -> Query:
 _written: dict[tuple[str, str], str] = {}
 
 
-def _new_table(spark: SparkSession) -> str:
-    name = f"visitmill_source_{uuid.uuid4().hex}"
+def _new_table(spark: SparkSession, name: str | None = None) -> str:
+    name = name or f"visitmill_source_{uuid.uuid4().hex}"
     create_table(spark, name, SOURCE_SCHEMA, location=f"{shared_folder(spark)}/visitmill/{name}")
     return name
 
@@ -140,6 +141,42 @@ def _rerun(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_distinct("sessionId").alias("sessions"))
 
 
+def _write_files(lines: DataFrame, folder: str) -> None:
+    """Write lines as text files whose names are the same each time."""
+    spark, parts = lines.sparkSession, f"{folder}-{uuid.uuid4().hex}"
+    lines.write.text(parts)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for status in system.listStatus(path(parts)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            target = path(f"{folder}/{name[:10]}")
+            system.delete(target, False)
+            system.rename(status.getPath(), target)
+
+
+def _clean_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files loaded again and again, of which some changed and some came later.
+
+    At first a third of the lines is doubled and another third isn't there.
+    """
+    at = f"{shared_folder(spark)}/visitmill/{uuid.uuid4().hex}"
+    lines = derived.raw_lines(spark, folder).selectExpr("value", "pmod(xxhash64(value), 3) as part")
+    for part in (0, 1):
+        copies = "explode(array(value, value)) as value" if part else "value"
+        _write_files(lines.where(f"part = {part}").selectExpr(copies), f"{at}/raw/{part}")
+    tables = jobs.Tables(*[f"visitmill_{uuid.uuid4().hex}" for _ in range(4)])
+    _new_table(spark, tables.source)
+    for _ in range(2):
+        jobs.clean_job(spark, f"{at}/raw/[012]", tables, test_urls=derived.TEST_URLS)
+    for part in (1, 2):
+        _write_files(lines.where(f"part = {part}").select("value"), f"{at}/raw/{part}")
+    for _ in range(2):
+        jobs.clean_job(spark, f"{at}/raw/[012]", tables, test_urls=derived.TEST_URLS)
+    return read_history(spark, tables.source)
+
+
 def _zones(spark: SparkSession, folder: str) -> DataFrame:
     lines = derived.zone_lines(spark, folder)
     return clean.clean_logs(lines, INTENDED, derived.TEST_URLS).select("reqSerial", "serverTime")
@@ -231,6 +268,7 @@ def registered() -> dict[str, Query]:
         "members_rerun": _members_rerun,
         "enriched_from_files": _from_files,
         "enriched_shuffled": _shuffled,
+        "clean_twice": _clean_twice,
         "table_rerun": _rerun,
         "table_day": _table_day,
         "table_history": _table_history,
