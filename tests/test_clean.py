@@ -3,13 +3,14 @@ from datetime import datetime
 
 import pytest
 from log_help import TIME, lines, plan, raw_line, rows
+from pyspark.sql import types as T
 
 from visitmill.functions.times import yesterday
 from visitmill.operators.clean import (
     clean_logs, cleaned_lines, distinct_hours, hourly_row_counts, rejected_by_reason,
 )
 from visitmill.schema import RAW_FIELDS, REFERENCE, SOURCE_COLUMNS
-from visitmill.sources.logs import read_json, read_lines
+from visitmill.sources.logs import inferred_json_schema, read_json, read_lines
 from visitmill.suite import derived
 
 SMALL = "/root/testdata/sf0.001"
@@ -87,11 +88,30 @@ def test_zones(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-@pytest.mark.parametrize("bad", [
-    "2024-01-10 11:05:09", "Wed Jan 10 11:05 CST 2024", "Wed Feb 30 11:05:09 CST 2024",
-    "Wed Jan 10 25:05:09 CST 2024", "Xyz Jan 10 11:05:09 CST 2024", "Wed Jan 10 11:05:09 QQQ 2024",
-])
-@pytest.mark.parametrize("semantics", ["intended", "reference"])
+IMPOSSIBLE = {
+    "Wed Feb 30 11:05:09 CST 2024": "2024-03-01-11:05:09", "Wed Feb 29 11:05:09 CST 2023": "2023-03-01-11:05:09",
+    "Wed Jan 10 25:05:09 CST 2024": "2024-01-11-01:05:09", "Wed Jan 10 11:61:70 CST 2024": "2024-01-10-12:02:10",
+    "Sun Dec 31 24:00:00 CST 2023": "2024-01-01-00:00:00", "Wed Jan 0 00:00:00 CST 2024": "2023-12-31-00:00:00",
+    "Wed Jan 32 11:05:09 GMT+00:00 2024": "2024-02-01-19:05:09", "Wed Jan 10 1000:00:00 EST 2024": "2024-02-21-05:00:00",
+}
+
+
+@pytest.mark.parametrize("text", IMPOSSIBLE)
+def test_impossible_times_are_carried_over_in_the_reference_reading(spark, text):
+    line = raw_line(serverTime=text, clientTime=text)
+    row = cleaned(spark, line, semantics=REFERENCE)[0]
+    assert row.serverTime == row.clientTime == IMPOSSIBLE[text]
+    assert (row.day, row.hour) == (IMPOSSIBLE[text][:10], IMPOSSIBLE[text][11:13])
+    assert dict(rows(rejected_by_reason(lines(spark, line), REFERENCE))) == {"kept": 1}
+    with pytest.raises(Exception, match="unreadable log time"):
+        cleaned(spark, line)
+
+
+@pytest.mark.parametrize(("bad", "semantics"), [
+    *[(bad, semantics) for semantics in ("intended", "reference") for bad in (
+        "2024-01-10 11:05:09", "Wed Jan 10 11:05 CST 2024", "Xyz Jan 10 11:05:09 CST 2024",
+        "Wed Jan 10 11:05:09 QQQ 2024", "Wed Jan 99999 11:05:09 CST 2024", "Wed Feb 30 11:05:09 QQQ 2024")],
+    ("Wed Feb 30 11:05:09 CST 2024", "intended"), ("Wed Jan 10 25:05:09 CST 2024", "intended")])
 def test_unreadable_time_fails_or_drops(spark, bad, semantics):
     line = raw_line(serverTime=bad)
     with pytest.raises(Exception, match="unreadable log time"):
@@ -149,6 +169,35 @@ def test_reading_files(spark, tmp_path):
     assert rows(read_json(spark, str(tmp_path / "r.json"))) == [(1, "x"), (2, None)]
 
 
+def test_json_files_that_differ_and_broken_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1, "v": 2, "in": {"x": "p"}}\n{"id": 2, "v"\n\n')
+    (tmp_path / "b.json").write_text('{"id": 3, "v": 2.5, "in": {"y": true}}\n7\n{"id": "4"}\nnull\n')
+    found = read_json(spark, str(tmp_path), bad_line="_bad")
+    assert found.schema["v"].dataType.simpleString() == "double"
+    assert found.schema["id"].dataType.simpleString() == "string"
+    assert found.schema["in"].dataType.simpleString() == "struct<x:string,y:boolean>"
+    got = found.select("id", "v", "in.x", "in.y", "_bad").where("id is not null or _bad is not null")
+    assert rows(got) == sorted([
+        ("1", 2.0, "p", None, None), ("3", 2.5, None, True, None), ("4", None, None, None, None),
+        (None, None, None, None, '{"id": 2, "v"'), (None, None, None, None, "7"), (None, None, None, None, "null")], key=repr)
+    # A given schema: values that don't fit are bad lines as well.
+    own = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
+    assert len(read_json(spark, str(tmp_path), own, bad_line="_bad").where("_bad is not null").collect()) == 4
+    assert read_json(spark, str(tmp_path)).columns == ["id", "in", "v"]
+
+
+def test_json_schema_of_a_share_of_the_files(spark, tmp_path):
+    for k in range(12):
+        (tmp_path / f"{k}.json").write_text(f'{{"id": {k}, "only_in_{k}": 1}}\n')
+    share = inferred_json_schema(spark, str(tmp_path), 0.5)
+    assert share == inferred_json_schema(spark, str(tmp_path), 0.5) and 2 <= len(share) < 13
+    assert len(inferred_json_schema(spark, str(tmp_path), 1e-6)) == 2
+    assert len(inferred_json_schema(spark, str(tmp_path))) == 13
+    assert read_json(spark, str(tmp_path), share=0.5).count() == 12
+    with pytest.raises(ValueError, match="share"):
+        inferred_json_schema(spark, str(tmp_path), 0)
+
+
 def test_yesterday():
     assert yesterday(datetime(2024, 3, 1).date()) == "2024-02-29"
 

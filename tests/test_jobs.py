@@ -100,12 +100,24 @@ def test_load_text_and_write_lines(spark, tmp_path):
     name = f"people_{uuid.uuid4().hex}"
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.IntegerType())])
     for times in (1, 2):
-        load_text_table(spark, str(tmp_path / "people.txt"), name, schema)
+        assert load_text_table(spark, str(tmp_path / "people.txt"), name, schema) == (2, 0)
         assert spark.table(name).count() == 2 * times
     write_lines(lines(spark, "x\ty"), str(tmp_path / "out"))
     assert rows(spark.read.text(str(tmp_path / "out"))) == [("x\ty",)]
 
 
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('ann|31\n\nbob|old\n"c|d"|7\nonly\nfay|1|2\n|9\n')
+    (tmp_path / "b.txt").write_text("gil|99999999999\nhal|-3\n")
+    name, bad = f"people_{uuid.uuid4().hex}", f"bad_{uuid.uuid4().hex}"
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.IntegerType())])
+    assert load_text_table(spark, str(tmp_path / "*.txt"), name, schema, "|", bad) == (4, 4)
+    assert rows(spark.table(name)) == sorted([("ann", 31), ("c|d", 7), (None, 9), ("hal", -3)], key=repr)
+    got = spark.table(bad).selectExpr("line", "element_at(split(file, '/'), -1) as file")
+    assert rows(got) == sorted([("bob|old", "a.txt"), ("only", "a.txt"), ("fay|1|2", "a.txt"),
+                                ("gil|99999999999", "b.txt")], key=repr)
+
+
 def test_stage_keeps_rows_in_the_shared_folder(spark):
     staged = stage(values(spark, ("a", DAY, "09")))
     assert rows(staged) == [("a", DAY, "09")]

@@ -1,7 +1,7 @@
 import pytest
-from log_help import rows
+from log_help import plan, rows
 
-from visitmill.operators.keyvalue import key_value_record, key_values
+from visitmill.operators.keyvalue import bad_objects, key_value_record, key_values
 from visitmill.schema import REPORT_FIELDS
 from visitmill.sources.logs import read_json_objects
 
@@ -34,7 +34,6 @@ def test_file_of_objects(spark, tmp_path):
 
 
 def test_bad_objects_fail_or_are_found(spark):
-    from visitmill.operators.keyvalue import bad_objects
     texts = ['{"report":[{"key":"a","value":"1"}]}', '{"report":5}', '{"rep', "{}", None, '{"report":null}']
     frame = spark.createDataFrame(list(enumerate(texts)), "i int, json string")
     assert [r["i"] for r in bad_objects(frame, "json", "report").orderBy("i").collect()] == [1, 2]
@@ -43,3 +42,25 @@ def test_bad_objects_fail_or_are_found(spark):
             function(frame, "json", "report").collect()
     assert key_values(frame, "json", "report", on_bad_json="drop").count() == 1
     assert key_value_record(frame, "json", "report", on_bad_json="drop").count() == 6
+
+
+def test_values_of_other_types_and_odd_sections(spark):
+    texts = ['{"a b\'c":[{"key":"k","value":"v"}]}', '{"a b\'c":[{"value":1,"key":"n"},{"key":"m"},{"key":"t","value":true},null]}',
+             '{"a b\'c":[{"key":"o","value":{"x":[1,2]}}]}', '[1,2]', '"text"', '{"a b\'c":[5]}', '{"a b\'c":{"key":"k"}}', ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, json string")
+    got = rows(key_values(frame, "json", "a b'c", on_bad_json="drop"))
+    assert got[:5] == [(0, 0, "k", "v"), (1, 0, "n", "1"), (1, 1, "m", None), (1, 2, "t", "true"), (1, 3, None, None)]
+    assert got[5][:3] == (2, 0, "o") and got[5][3].replace(" ", "") == '{"x":[1,2]}'
+    bad = bad_objects(frame, "json", "a b'c")
+    assert bad.columns == ["i", "json"]
+    assert [r.i for r in bad.orderBy("i").collect()] == [5, 6, 7]
+
+
+def test_one_parse_a_row(spark):
+    frame = spark.createDataFrame([(1, TEXT)], "id int, json string")
+    for found in (key_values(frame, "json", "report"), key_value_record(frame, "json", "report"),
+                  bad_objects(frame, "json", "report")):
+        text = plan(found)
+        parses = [line for line in text.split("\n") if "parseJson" in line or "parse_json" in line]
+        assert len(parses) == 1, text
+        assert "from_json" not in text and "get_json_object" not in text

@@ -34,13 +34,15 @@ def log_time(
     zones: Mapping[str, str] = DEFAULT_ZONES,
     zone: str = DEFAULT_ZONE,
     on_bad_time: str = "fail",
+    lenient: bool = False,
 ) -> str:
     """Reformat a log time as wall clock time of `zone`; takes and gives SQL text.
 
     `zones` names the zone of each token that is ambiguous on its own (CST is also US
     Central time); UTC, GMT+08:00 and the like are understood as they are. Unreadable
-    text fails the query, or gives NULL with `drop`. The result does not depend on the
-    session's zone.
+    text fails the query, or gives NULL with `drop`. With `lenient`, days, hours, minutes and
+    seconds that the calendar doesn't have are carried over (February 30 is March 1 or 2).
+    The result does not depend on the session's zone.
     """
     if on_bad_time not in ("fail", "drop"):
         raise ValueError(f"on_bad_time must be 'fail' or 'drop', got {on_bad_time!r}")
@@ -48,6 +50,8 @@ def log_time(
     local = [re.escape(token) for token, name in zones.items() if name == zone]
     if local:
         attempts.insert(0, _rearranged(text, local))
+    if lenient:
+        attempts.append(_carried_over(text, zones, zone))
     if on_bad_time == "fail":
         attempts.append(f"raise_error(concat('unreadable log time: ', coalesce({text}, 'NULL')))")
     return f"coalesce({', '.join(attempts)})"
@@ -80,6 +84,24 @@ def _parsed(text: str, zones: Mapping[str, str], zone: str) -> str:
         timestamp_ntz'1970-01-01 00:00:00')) as string), ' ', '-')"""
 
 
+def _carried_over(text: str, zones: Mapping[str, str], zone: str) -> str:
+    """Times with parts of up to four digits, added to the first of the month one by one."""
+    shape = (rf"^({'|'.join(WEEKDAYS)}) ({'|'.join(MONTHS)}) [0-9]{{1,4}} "
+             r"[0-9]{1,4}:[0-9]{1,4}:[0-9]{1,4} [^ ]+ [0-9]{4}$")
+    named = literal_map(dict(zones)) if zones else "map()"
+    numbers = literal_map({month: str(i) for i, month in enumerate(MONTHS, 1)})
+    # p: weekday, month, day, clock, zone, year. An unknown zone gives NULL.
+    added = f"make_timestamp_ntz(int(p[5]), int(try_element_at({numbers}, p[1])), 1, 0, 0, 0)"
+    for unit, value in (("DAY", "int(p[2]) - 1"), ("HOUR", "int(split(p[3], ':')[0])"),
+                        ("MINUTE", "int(split(p[3], ':')[1])"), ("SECOND", "int(split(p[3], ':')[2])")):
+        added = f"timestampadd({unit}, {value}, {added})"
+    known = f"try_to_timestamp(concat('Jan 1 0:0:0 ', z, ' 2000'), '{_PATTERN}') is not null"
+    moved = f"""element_at(transform(array(coalesce(try_element_at({named}, p[4]), p[4])), z -> case
+        when {known} then replace(cast(convert_timezone(z, {literal(zone)}, {added}) as string), ' ', '-') end), 1)"""
+    return f"""case when rlike({text}, {literal(shape)}) then
+        element_at(transform(array(split({text}, ' ')), p -> {moved}), 1) end"""
+
+
 def day_of(time: Column) -> Column:
     return F.substring(time, 1, 10)
 

@@ -161,6 +161,44 @@ def metric_set_from_facts(
     }
 
 
+def metric_sets_at_once(
+    frame: DataFrame, source: str, day: str, as_of: str | None = None,
+) -> DataFrame:
+    """All metric tables by keys of one input as one long table, from grouping sets.
+
+    Columns metric, key1, key2, uv_act, uv_new and uv_all. The facts are rolled up to all
+    sets of keys in one aggregate, in which a row is repeated for each set, and counted in a
+    second one. Nothing is staged in between.
+    """
+    names = [n for n in available() if METRICS[n].source == source and METRICS[n].keys]
+    keys = set_keys(names)
+    sets = list(dict.fromkeys(METRICS[n].inputs for n in names))
+    facts = identity_facts(frame, keys, day, EVENT_COLUMN[source], (VISITOR, MEMBER), as_of)
+    # The sets with the rest of a row's identity; a bit for each key that isn't in it names a set.
+    grouped = ", ".join(f"({', '.join([*s, 'is_member', 'id'])})" for s in sets)
+    which_set = " + ".join(f"int(grouping({k})) * {1 << i}" for i, k in enumerate(keys))
+    rolled = facts.sparkSession.sql(
+        f"select {', '.join(keys)}, is_member, id, {which_set} as which, max(on_day) as on_day, "
+        "max(is_new) as is_new, max(in_history) as in_history from {facts} "
+        f"group by grouping sets ({grouped})", facts=facts)
+    counted = totals(rolled, ("which", *keys))
+    which = {s: sum(1 << i for i, k in enumerate(keys) if k not in s) for s in sets}
+    entries = []
+    for name in names:
+        metric = METRICS[name]
+        held = [F.col(k) for k in metric.inputs]
+        key1, key2 = (held + [F.lit(None).cast("string")])[:2]
+        if metric.family == VISITOR:
+            rows, columns = "has_visitors or has_members", [_ACTIVE, _NEW, "cast(null as bigint) as uv_all"]
+        else:
+            rows, columns = "has_any_members or has_members", _MEMBERS
+        # A row belongs to the set's tables whose rule it meets.
+        entries.append(F.when(
+            F.expr(f"which = {which[metric.inputs]} and ({rows})"),
+            F.struct(F.lit(name).alias("metric"), key1.alias("key1"), key2.alias("key2"), *[F.expr(c) for c in columns])))
+    return counted.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("row")).select("row.*")
+
+
 def metric_from_facts(
     facts: DataFrame, name: str, day: str, semantics: str = INTENDED
 ) -> DataFrame:

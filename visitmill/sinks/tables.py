@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from visitmill.functions.text import literal
 from visitmill.schema import PARTITION_COLUMNS
+from visitmill.sinks.staging import stage
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -120,12 +121,34 @@ def recorded_days(spark: SparkSession, table: str) -> set[str]:
     return {p["day"] for p in _partitions(spark, table)}
 
 
+REJECTS = T.StructType([T.StructField("line", T.StringType()), T.StructField("file", T.StringType())])
+
+
 def load_text_table(
-    spark: SparkSession, path: str, table: str, schema: T.StructType, sep: str = ","
-) -> None:
-    """Create an unpartitioned table and append a delimited text file to it."""
+    spark: SparkSession, path: str, table: str, schema: T.StructType, sep: str = ",",
+    rejects: str | None = None,
+) -> tuple[int, int]:
+    """Create an unpartitioned table and append a delimited text file to it.
+
+    A line with another number of cells, or with a cell that its column's type can't hold,
+    goes to the table `rejects` (line, file), by default `{table}_rejects`. Empty lines are
+    left out. Returns how many rows were appended and how many lines rejected; the text is
+    read once.
+    """
+    rejects = rejects or f"{table}_rejects"
     create_table(spark, table, schema, partitions=())
-    spark.read.csv(path, schema=schema, sep=sep).write.insertInto(table)
+    create_table(spark, rejects, REJECTS, partitions=())
+    bad = "_rejected"
+    typed = T.StructType([*schema, T.StructField(bad, T.StringType())])
+    rows = spark.read.csv(path, schema=typed, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=bad)
+    counted = Observation()
+    # Staged, since the two tables are written one after the other.
+    held = stage(rows.select("*", F.col("_metadata.file_path").alias("_file")).observe(
+        counted, F.count(F.lit(1)).alias("lines"), F.count(bad).alias("rejected")))
+    held.where(F.col(bad).isNull()).select(*schema.names).write.insertInto(table)
+    held.where(F.col(bad).isNotNull()).select(F.col(bad), "_file").write.insertInto(rejects)
+    rejected = counted.get["rejected"]
+    return counted.get["lines"] - rejected, rejected
 
 
 def write_lines(lines: DataFrame, path: str) -> None:

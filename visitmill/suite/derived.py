@@ -7,6 +7,7 @@ test host and so on, so that every rule of the clean step meets rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DAY = "2024-01-10"
 AS_OF = "2024-01-05"
@@ -66,6 +67,14 @@ def zone_lines(spark: SparkSession, folder: str) -> DataFrame:
         "'([A-Z][a-z]{2} [A-Z][a-z]{2}) 0([0-9]) ', '$1 $2 ') as value")
 
 
+def impossible_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lines, some with days, hours and seconds that the calendar doesn't have."""
+    return _numbered(spark, folder).selectExpr(
+        "if(n % 3 = 0, replace(value, ' Jan ', ' Feb '), value) as value", "n").selectExpr(
+        "if(n % 5 = 0, regexp_replace(value, ':[0-5]([0-9]) CST', ':7$1 CST'), value) as value", "n").selectExpr(
+        "if(n % 7 = 0, regexp_replace(value, ' [01]([0-9]):([0-9][0-9]):', ' 2$1:$2:'), value) as value")
+
+
 def bad_time_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The raw lines, some with a zone that nobody knows."""
     return _numbered(spark, folder).selectExpr(
@@ -89,17 +98,46 @@ def channel_rules(spark: SparkSession) -> DataFrame:
 
 
 def ip_rules(spark: SparkSession) -> DataFrame:
-    """IP rules; city HY is in two provinces and one city is empty."""
+    """IP rules from one address to several /16 wide, with gaps; city HY is in two provinces and
+    one city is empty."""
     return spark.sql("""
         select * from values
-          (167772160L, 167837695L, 'GD', 'GZ', 'GZ-area', 'op1'),
-          (167837696L, 167903231L, 'GD', 'HY', 'HY-area', 'op2'),
+          (167772160L, 167804927L, 'GD', 'GZ', 'GZ-area', 'op1'),
+          (167804928L, 167805183L, 'GD', 'FS', 'FS-area', 'op2'),
+          (167805184L, 167805190L, 'GD', 'SZ', 'SZ-area', 'op1'),
+          (167805191L, 167805191L, 'GX', 'NN', 'NN-area', 'op3'),
+          (167805300L, 167808100L, 'GX', 'GL', 'GL-area', 'op1'),
+          (167820000L, 167903231L, 'GD', 'HY', 'HY-area', 'op2'),
           (167903232L, 167968767L, 'HN', 'HY', 'HY-area', 'op1'),
           (167968768L, 168034303L, 'SH', 'SH', 'SH-area', 'op2'),
-          (168099840L, 168165375L, 'BJ', '', 'BJ-area', 'op1')
+          (168099840L, 184549375L, 'BJ', '', 'BJ-area', 'op1')
         as t(startNum, endNum, province, city, area, operator)""")
 
 
+def skewed(source: DataFrame) -> DataFrame:
+    """Clean rows of which a third comes from one address with one channel code."""
+    hot = "int(substr(reqSerial, 2)) % 3 = 0"
+    return source.withColumns({
+        "ip": F.expr(f"if({hot}, '10.1.2.3', ip)"), "channelForm": F.expr(f"if({hot}, '01001002', channelForm)")})
+
+
+def people_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Comma-separated lines with a number, a name and a date; some don't fit their columns."""
+    return _events(spark, folder).selectExpr(
+        """event_id || ',"n,' || user_id || '",' || case when event_id % 13 = 0 then 'soon'
+            when event_id % 17 = 0 then '2024-02-30' else date_format(ts, 'yyyy-MM-dd') end
+            || if(event_id % 19 = 0, ',more', '') as value""")
+
+
+def json_lines(spark: SparkSession, folder: str, newer: bool) -> DataFrame:
+    """One JSON record per event as text; newer ones have other fields, and some are cut off."""
+    events = _events(spark, folder).where(f"event_id % 2 = {int(newer)}")
+    fields = "'kind', event_type, 'size', event_id / 2" if newer else "'kind', event_type, 'user', user_id"
+    return events.selectExpr(
+        f"to_json(named_struct('id', event_id, {fields}, 'at', named_struct('day', date_format(ts, 'yyyy-MM-dd')))) as j",
+        "event_id").selectExpr("if(event_id % 23 = 0, substr(j, 1, 12), j) as value")
+
+
 def broken_json_objects(spark: SparkSession, folder: str) -> DataFrame:
     """The JSON objects, some cut off and some with a number for a section."""
     return json_objects(spark, folder).selectExpr(

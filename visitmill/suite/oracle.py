@@ -73,6 +73,24 @@ lines as (select case when event_id % 17 = 0 then 'short' || chr(9) || 'line' ||
 cells as (select value, string_split(regexp_replace(value, '\\t+$', ''), chr(9)) as f from lines)
 """
 
+# Parts of a time as numbers, added to the first of its month.
+_CARRIED = "strftime(make_date({year}, {month}, 1) + to_days({day} - 1) + to_hours({hour}) " \
+           "+ to_minutes({minute}) + to_seconds({second}), '%Y-%m-%d-%H:%M:%S')".format(
+               year="cast(right({x}, 4) as integer)",
+               month="(instr('JanFebMarAprMayJunJulAugSepOctNovDec', substr({x}, 5, 3)) + 2) // 3",
+               **{part: f"cast(substr({{x}}, {at}, 2) as integer)"
+                  for part, at in (("day", 9), ("hour", 12), ("minute", 15), ("second", 18))})
+_IMPOSSIBLE = """
+events_of as (select value, coalesce(try_cast(regexp_extract(value, '^r([0-9]+)', 1) as bigint), 1) as n from lines),
+months_of as (select n, case when n % 3 = 0 then replace(value, ' Jan ', ' Feb ') else value end as value
+  from events_of),
+seconds_of as (select n, case when n % 5 = 0
+  then regexp_replace(value, ':[0-5]([0-9]) CST', ':7\\1 CST', 'g') else value end as value from months_of),
+hours_of as (select case when n % 7 = 0
+  then regexp_replace(value, ' [01]([0-9]):([0-9][0-9]):', ' 2\\1:\\2:', 'g') else value end as value from seconds_of),
+cells as (select value, string_split(regexp_replace(value, '\\t+$', ''), chr(9)) as f from hours_of)
+"""
+
 _TEST_HOST = "({c} like '%http://127.0.0.1%' or {c} like '%http://static.test.example%')"
 
 
@@ -90,12 +108,12 @@ def _reject(reference: bool) -> str:
     return "case " + " ".join(f"when {c} then '{n}'" for n, c in steps) + " else 'kept' end"
 
 
-def _source(reference: bool) -> str:
+def _source(reference: bool, new: str = _NEW) -> str:
     good = f"good as (select * from cells where {_reject(reference)} = 'kept')"
     if reference:
         timed = f"""timed as (select string_split(regexp_replace(
-            replace(replace(value, f[12], {_NEW.format(x='f[12]')}),
-                    f[13], {_NEW.format(x='f[13]')}), '\\t+$', ''), chr(9)) as f from good)"""
+            replace(replace(value, f[12], {new.format(x='f[12]')}),
+                    f[13], {new.format(x='f[13]')}), '\\t+$', ''), chr(9)) as f from good)"""
         value = [f"f[{i}]" for i in range(1, 31)]
     else:
         timed = "timed as (select f from good)"
@@ -127,11 +145,15 @@ def _area(reference: bool) -> str:
     city = "r.city" if reference else "case when r.city = '' then r.zone else r.city end"
     return f"""
 ranges(lo, hi, province, city, zone, carrier) as (values
-  (167772160, 167837695, 'GD', 'GZ', 'GZ-area', 'op1'),
-  (167837696, 167903231, 'GD', 'HY', 'HY-area', 'op2'),
+  (167772160, 167804927, 'GD', 'GZ', 'GZ-area', 'op1'),
+  (167804928, 167805183, 'GD', 'FS', 'FS-area', 'op2'),
+  (167805184, 167805190, 'GD', 'SZ', 'SZ-area', 'op1'),
+  (167805191, 167805191, 'GX', 'NN', 'NN-area', 'op3'),
+  (167805300, 167808100, 'GX', 'GL', 'GL-area', 'op1'),
+  (167820000, 167903231, 'GD', 'HY', 'HY-area', 'op2'),
   (167903232, 167968767, 'HN', 'HY', 'HY-area', 'op1'),
   (167968768, 168034303, 'SH', 'SH', 'SH-area', 'op2'),
-  (168099840, 168165375, 'BJ', '', 'BJ-area', 'op1')),
+  (168099840, 184549375, 'BJ', '', 'BJ-area', 'op1')),
 numbers as (select *, split_part(ip, '.', 1)::bigint * 16777216
     + split_part(ip, '.', 2)::bigint * 65536 + split_part(ip, '.', 3)::bigint * 256
     + split_part(ip, '.', 4)::bigint as n from platforms),
@@ -319,6 +341,31 @@ def oracles() -> dict[str, str]:
         f"{source} select day, count(*) as rows, count(distinct sessionId) as sessions "
         "from source group by day")
     found["table_hours"] = f"{source} select distinct day, cast(hour as int) as hour from source"
+    raw = _LINES[:_LINES.rindex("cells as")]
+    found["clean_logs_lenient_ref"] = f"with {raw}{_IMPOSSIBLE}, {_source(True, _CARRIED)} select * from source"
+    skewed = """skewed as (select * replace (
+        case when cast(substr(reqSerial, 2) as bigint) % 3 = 0 then '10.1.2.3' else ip end as ip,
+        case when cast(substr(reqSerial, 2) as bigint) % 3 = 0 then '01001002' else channelForm end as channelForm)
+      from source)"""
+    found["enriched_shuffled_skew"] = (
+        f"{_with(False, skewed, _PLATFORM.replace('from source s', 'from skewed s'), _area(False))} "
+        "select eventId as eventName, deviceNum, customerId, sessionId, "
+        "serverTime, platform, app_channel, traffic, ipProvince, ipCity, ipArea from areas")
+    found["text_table_loaded"] = """
+        select case when bad then cast(null as bigint) else event_id end as id,
+          case when not bad then 'n,' || user_id end as name,
+          case when not bad then cast(ts as date) end as day,
+          case when bad then event_id || ',"n,' || user_id || '",' || case when event_id % 13 = 0 then 'soon'
+            when event_id % 17 = 0 then '2024-02-30' else strftime(ts, '%Y-%m-%d') end
+            || case when event_id % 19 = 0 then ',more' else '' end end as line
+        from (select *, event_id % 13 = 0 or event_id % 17 = 0 or event_id % 19 = 0 as bad from events)"""
+    found["json_scan"] = """
+        select case when bad then null else event_id end as id, case when not bad then event_type end as kind,
+          case when not bad and event_id % 2 = 0 then user_id end as user,
+          case when not bad and event_id % 2 = 1 then event_id / 2 end as size,
+          case when not bad then strftime(ts, '%Y-%m-%d') end as day,
+          case when bad then substr('{"id":' || event_id || ',"kind":"' || event_type, 1, 12) end as bad_line
+        from (select *, event_id % 23 = 0 as bad from events)"""
     found["clean_twice"] = found["clean_logs"]
     found["table_rerun"] = found["table_history"]
     found["members_incremental"] = _metric("daily_members", METRICS["daily_members"], False)
@@ -342,6 +389,8 @@ def oracles() -> dict[str, str]:
         f"count(distinct customerId) filter (day = '{DAY}' and eventName = 'e_l') as uv_new, "
         f"count(distinct customerId) as uv_all, '{DAY}' as day from source "
         f"where customerId <> '-1' and (day <> '{AS_OF}' or right(reqSerial, 1) < '3')")
+    for name in ("area", "platform"):
+        found[f"{name}_grouping_sets"] = _metric_set(name)
     found["area_metric_set"] = _metric_set("area")
     found["platform_metric_set"] = _metric_set("platform")
     for name, metric in METRICS.items():

@@ -7,18 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitmill.operators import clean, keyvalue, metrics, region, sessions
 from visitmill.operators.channel import platform_table
 from visitmill.operators.hours import (
-    LOG_NINE_JOINT, SESSION_NINE_JOINT, source_hours, with_hour,
+    LOG_NINE_JOINT, SESSION_NINE_JOINT, with_hour,
 )
 from visitmill.plans import jobs
 from visitmill.plans.members import facts_with_known_members
 from visitmill.schema import INTENDED, REFERENCE, SOURCE_SCHEMA
 from visitmill.sinks.staging import shared_folder
-from visitmill.sinks.tables import create_table, insert_partitions, replace_day
-from visitmill.sources.logs import read_lines
+from visitmill.sinks.tables import create_table, insert_partitions, load_text_table, replace_day
+from visitmill.sources.logs import read_json, read_lines
 from visitmill.sources.rules import read_channel_rules, read_ip_rules
 from visitmill.sources.tables import partition_hours, read_day, read_history
 from visitmill.suite import derived
@@ -71,6 +72,11 @@ def _set_in_one_pass(table: str) -> Query:
     return query
 
 
+def _grouping_sets(table: str) -> Query:
+    """The same from one aggregate with grouping sets."""
+    return lambda spark, folder: metrics.metric_sets_at_once(INPUT[table](spark, folder), table, DAY)
+
+
 def _two_keys(name: str) -> tuple[str | None, str | None]:
     outs = [out for _, out in metrics.METRICS[name].keys]
     return (outs + [None, None])[0], (outs + [None, None])[1]
@@ -78,22 +84,26 @@ def _two_keys(name: str) -> tuple[str | None, str | None]:
 
 def _session_hours(semantics: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        logs = source(spark, folder, semantics)
+        logs, hours = _with_hours(spark, folder, semantics)
         return with_hour(sessions.session_summary(logs, semantics), "startTime", semantics,
-                         source_hours(logs), SESSION_NINE_JOINT)
+                         hours, SESSION_NINE_JOINT)
     return query
 
 
 def _log_hours(semantics: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        logs = source(spark, folder, semantics)
-        placed = with_hour(logs.select("reqSerial", "serverTime", "day"), "serverTime", semantics,
-                           source_hours(logs), LOG_NINE_JOINT)
-        return placed
+        logs, hours = _with_hours(spark, folder, semantics)
+        return with_hour(logs.select("reqSerial", "serverTime", "day"), "serverTime", semantics,
+                         hours, LOG_NINE_JOINT)
     return query
 
 
-_written: dict[tuple[str, str], str] = {}
+def _with_hours(spark: SparkSession, folder: str, semantics: str) -> tuple[DataFrame, DataFrame | None]:
+    """Clean rows and, where the reading needs them, the hours that they are in, from a table."""
+    if semantics == INTENDED:
+        return source(spark, folder), None
+    name = _source_table(spark, folder, semantics)
+    return read_history(spark, name), partition_hours(spark, name)
 
 
 def _new_table(spark: SparkSession, name: str | None = None) -> str:
@@ -102,14 +112,11 @@ def _new_table(spark: SparkSession, name: str | None = None) -> str:
     return name
 
 
-def _source_table(spark: SparkSession, folder: str) -> str:
-    """Clean logs in a partitioned table in the shared folder, written once per application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _written:
-        name = _new_table(spark)
-        insert_partitions(source(spark, folder), name)
-        _written[key] = name
-    return _written[key]
+def _source_table(spark: SparkSession, folder: str, semantics: str = INTENDED) -> str:
+    """Clean logs in a partitioned table of their own in the shared folder."""
+    name = _new_table(spark)
+    insert_partitions(source(spark, folder, semantics), name)
+    return name
 
 
 def _table_day(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,6 +237,36 @@ def _shuffled(spark: SparkSession, folder: str) -> DataFrame:
     return region.enriched_logs(source(spark, folder), derived.channel_rules(spark), index, broadcast_bytes=0)
 
 
+def _shuffled_skew(spark: SparkSession, folder: str) -> DataFrame:
+    """Both lookups without a broadcast, with a third of the rows on one address and one code."""
+    index = region.region_index(derived.ip_rules(spark), broadcast_bytes=0)
+    rows = derived.skewed(source(spark, folder))
+    return region.enriched_logs(rows, derived.channel_rules(spark), index, broadcast_bytes=0)
+
+
+def _lenient(spark: SparkSession, folder: str) -> DataFrame:
+    return clean.clean_logs(derived.impossible_lines(spark, folder), REFERENCE, derived.TEST_URLS)
+
+
+def _text_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A typed table loaded from text, together with the lines that didn't fit."""
+    at, name = f"{shared_folder(spark)}/visitmill/{uuid.uuid4().hex}", f"visitmill_people_{uuid.uuid4().hex}"
+    derived.people_lines(spark, folder).write.text(at)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                           T.StructField("day", T.DateType())])
+    load_text_table(spark, at, name, schema)
+    return spark.table(name).unionByName(spark.table(f"{name}_rejects").select("line"), allowMissingColumns=True)
+
+
+def _json_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON files with two sets of fields and broken lines, read with an inferred schema."""
+    at = f"{shared_folder(spark)}/visitmill/{uuid.uuid4().hex}"
+    for newer in (False, True):
+        derived.json_lines(spark, folder, newer).write.text(f"{at}/{int(newer)}")
+    return read_json(spark, f"{at}/*", bad_line="bad_line").select(
+        "id", "kind", "user", "size", F.col("at.day").alias("day"), "bad_line")
+
+
 def registered() -> dict[str, Query]:
     found: dict[str, Query] = {
         "clean_logs": source,
@@ -268,6 +305,12 @@ def registered() -> dict[str, Query]:
         "members_rerun": _members_rerun,
         "enriched_from_files": _from_files,
         "enriched_shuffled": _shuffled,
+        "enriched_shuffled_skew": _shuffled_skew,
+        "clean_logs_lenient_ref": _lenient,
+        "text_table_loaded": _text_table,
+        "json_scan": _json_scan,
+        "area_grouping_sets": _grouping_sets("area"),
+        "platform_grouping_sets": _grouping_sets("platform"),
         "clean_twice": _clean_twice,
         "table_rerun": _rerun,
         "table_day": _table_day,
