@@ -1,6 +1,8 @@
 """Line dedup against a plain version over all pairs of documents."""
 
 import difflib
+import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -24,7 +26,7 @@ def test_blocks_are_common_ordered_and_maximal(a, b):
     for i, j, n in blocks:
         assert a[i:i + n] == b[j:j + n] and n > 0 and i >= before[0] and j >= before[1]
         before = (i + n, j + n)
-    if len(set(a)) == len(a) and len(set(b)) == len(b):
+    if len(set(a)) == len(a) and len(set(b)) == len(b):  # all are anchors
         longest = sum(m.size for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
         assert sum(n for *_, n in blocks) >= longest
 
@@ -71,18 +73,89 @@ def test_blocks_in_another_order_and_second_copies(spark):
     assert texts(spark, rows) == [rows[0], (2, "\n".join(line(k) for k in (2, 3, 4)))]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.integers(0, 4), max_size=9), st.lists(st.integers(0, 4), max_size=9))
-def test_every_common_run_is_met_and_deleted(mine, theirs):
-    """Against all runs of lines, line k having k words; 0 is an empty line."""
+def common_lines(mine, theirs, words, least):
+    """Numbers of the lines in runs of at least `least` words that both have: all runs are tried."""
     common = set()
     for i in range(len(mine)):
         for j in range(i + 1, len(mine) + 1):
-            if sum(mine[i:j]) >= 5 and any(theirs[k:k + j - i] == mine[i:j] for k in range(len(theirs))):
+            if sum(words(x) for x in mine[i:j]) >= least and any(
+                theirs[k:k + j - i] == mine[i:j] for k in range(len(theirs))):
                 common |= set(range(i, j))
-    met = set(linededup.least_runs(mine, mine, 5)) & set(linededup.least_runs(theirs, theirs, 5))
-    assert bool(met) == bool(common)
-    assert set(linededup.repeated_in(mine, mine, theirs, 5)) <= common
+    return common
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=9), st.lists(st.integers(0, 4), max_size=9))
+def test_every_common_run_is_met_and_deleted(mine, theirs):
+    """Against all runs of lines, line k having k words; 0 is an empty line."""
+    common = common_lines(mine, theirs, int, 5)
+    first = {}
+    for name, begin, _ in linededup.least_runs(theirs, theirs, 5):
+        first.setdefault(name, begin)
+    shared = [("d", first[name], name) for name in {r[0] for r in linededup.least_runs(mine, mine, 5)} if name in first]
+    assert bool(shared) == bool(common)
+    gone = set(linededup.repeated_in(mine, mine, shared, 5))
+    assert gone <= common and {i for i in common if mine[i]} <= gone
+
+
+def plain_dedup(rows, least):
+    """(kept lines with words, lines that may stay or go) of each document, over all pairs."""
+    def words(line):
+        return len(line.split())
+    documents = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: r[0])
+    out = {}
+    for place, (doc_id, text) in enumerate(documents):
+        mine, common = [x.strip() for x in text.split("\n")], set()
+        for _, other in documents[:place]:
+            common |= common_lines(mine, [x.strip() for x in other.split("\n")], words, least)
+        out[doc_id] = [x for k, x in enumerate(mine) if x and k not in common]
+    return out
+
+
+def test_deletion_equals_all_pairs(spark):
+    """Documents of few kinds of lines, short and long, with blank ones and blocks of many holders."""
+    dice = random.Random(8)
+    short = [line(2000 + k, 1 + k % 7) for k in range(12)]
+    long = [line(2100 + k, 22) for k in range(6)]
+    blocks = [[dice.choice(short + [""]) for _ in range(8)] + [dice.choice(long)] + short[k:k + 3] for k in range(4)]
+    rows = []
+    for i in range(60):
+        mine = []
+        for _ in range(dice.randint(1, 4)):
+            kind = dice.random()
+            mine += (dice.choice(blocks)[dice.randint(0, 5):dice.randint(6, 12)] if kind < 0.6
+                     else [dice.choice(short + long + ["", "  "])] if kind < 0.9 else [line(3000 + i, 25)])
+        rows.append((i, "\n".join(mine)))
+    want = plain_dedup(rows, linededup.MIN_WORDS)
+    got = dict(texts(spark, rows))
+    assert {i: [x.strip() for x in t.split("\n") if x.strip()] for i, t in got.items()} == want
+    assert sum(len(v) for v in want.values()) < 0.7 * sum(len([x for x in t.split("\n") if x.strip()]) for _, t in rows)
+
+
+def test_a_long_first_holder_is_not_sent(spark):
+    """Many later documents share a line each with one of very many lines: only that travels."""
+    whole = [line(5000 + k % 40, 3) + f" {k}" for k in range(4000)] + [line(9000 + k, 25) for k in range(50)]
+    rows = [(0, "\n".join(whole))] + [(1 + k, line(9000 + k, 25) + f"\nown {k}") for k in range(50)]
+    runs = linededup.shared_runs(linededup.line_hashes(documents(spark, rows)))
+    assert runs.count() == 50
+    got = dict(texts(spark, rows))
+    assert got[0] == rows[0][1] and all(got[1 + k] == f"own {k}" for k in range(50))
+
+
+def test_alignment_of_lines_of_few_kinds_is_not_a_square():
+    dice = random.Random(1)
+    seconds = []
+    for n in (4_000, 32_000):
+        mine, theirs = ([dice.randint(1, 4) for _ in range(n)] for _ in range(2))
+        first = {}
+        for name, begin, _ in linededup.least_runs(theirs, theirs, 5):
+            first.setdefault(name, begin)
+        shared = [("d", first[r], r) for r in {r[0] for r in linededup.least_runs(mine, mine, 5)} if r in first]
+        begun = time.perf_counter()
+        assert linededup.repeated_in(mine, mine, shared, 5)
+        common_blocks(mine, theirs)
+        seconds.append(time.perf_counter() - begun)
+    assert seconds[1] < 30 * seconds[0]
 
 
 def test_copies_keep_an_empty_text(spark):
