@@ -45,15 +45,21 @@ def staged_files(spark: SparkSession) -> Iterator[None]:
         _held.reset(token)
 
 
+def scratch_path(spark: SparkSession, name: str = "") -> str:
+    """A new path in the shared folder, which goes with the files of the job around it."""
+    path = f"{shared_folder(spark)}/visitmill/{name}{uuid.uuid4().hex}"
+    held = _held.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
 def stage(frame: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and not a re-computation, and
     later readers of the columnar file read only the columns they use.
     """
-    path = f"{shared_folder(frame.sparkSession)}/visitmill/{uuid.uuid4().hex}"
-    held = _held.get()
-    if held is not None:
-        held.append(path)
+    path = scratch_path(frame.sparkSession)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
