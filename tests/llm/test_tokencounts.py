@@ -6,6 +6,7 @@ from llm_help import VOCABULARY, documents, prose
 from tokenizers import Tokenizer
 
 from visitmill.llm import tokencounts
+from visitmill.sinks import staging
 
 
 def plain(ids, end):
@@ -51,3 +52,48 @@ def test_documents(spark, odd):
     docs = [(i, prose(i, 50)) for i in range(50)]
     got = dict(map(tuple, tokencounts.document_counts(documents(spark, docs), VOCABULARY, block=100).collect()))
     assert got == {i: len(whole.encode(t, add_special_tokens=False).ids) for i, t in docs}
+
+
+def test_ids_of_four_bytes(spark, tmp_path):
+    ids = np.random.default_rng(2).integers(0, 200_000, 900)
+    ids[::7] = 150_000
+    (tmp_path / "wide").write_bytes(ids.astype("<u4").tobytes())
+    frame = spark.createDataFrame([(str(tmp_path / "wide"),)], "file string")
+    got = sorted((r["ordinal"], r["first"], r["n_tokens"], r["closed"])
+                 for r in tokencounts.counted(spark, frame, end=150_000, block=64, width=4).collect())
+    assert got == [(k, *row) for k, row in enumerate(plain(ids.tolist(), 150_000))]
+    docs = documents(spark, [(1, prose(1)), (2, None)])
+    wide = tokencounts.document_counts(docs, VOCABULARY, end=1_000_000, width=4).collect()
+    assert sorted(map(tuple, wide)) == sorted(map(tuple, tokencounts.document_counts(docs, VOCABULARY).collect()))
+
+
+def test_ids_that_do_not_fit_stop_the_job(spark):
+    docs = documents(spark, [(1, prose(1))])
+    with pytest.raises(ValueError, match="don't hold the end mark"):
+        tokencounts.document_counts(docs, VOCABULARY, end=70_000)
+    with pytest.raises(Exception, match="that 1 bytes don't hold"):
+        tokencounts.document_counts(docs, VOCABULARY, end=255, width=1).collect()
+    first = Tokenizer.from_file(VOCABULARY).encode(prose(1), add_special_tokens=False).ids[0]
+    with pytest.raises(Exception, match=f"or the end mark {first}"):
+        tokencounts.document_counts(docs, VOCABULARY, end=first).collect()
+
+
+def test_folders_are_those_that_spark_means(spark, tmp_path):
+    assert tokencounts.qualified(spark, f"file:{tmp_path}/a") == f"{tmp_path}/a" == tokencounts.qualified(
+        spark, f"{tmp_path}/a")
+    before = spark._jsc.hadoopConfiguration().get("fs.defaultFS")
+    spark._jsc.hadoopConfiguration().set("fs.defaultFS", "viewfs://elsewhere/")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.elsewhere.link./x", f"file:{tmp_path}")
+    try:
+        with pytest.raises(ValueError, match="can't be kept at viewfs://elsewhere/x/a"):
+            tokencounts.qualified(spark, "/x/a")
+    finally:
+        spark._jsc.hadoopConfiguration().set("fs.defaultFS", before)
+
+
+def test_files_go_with_the_job(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    with staging.staged_files(spark):
+        assert tokencounts.document_counts(documents(spark, [(1, "a b")]), VOCABULARY).count() == 1
+        assert list((tmp_path / "visitmill").glob("tokens-*/*.u16"))
+    assert not list((tmp_path / "visitmill").iterdir())

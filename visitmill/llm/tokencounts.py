@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitmill.llm.tokens import encoder
-from visitmill.sinks.staging import shared_folder, stage
+from visitmill.sinks.staging import scratch_path, stage
 
-# Files hold unsigned little-endian 16-bit ids; the end of a document is an id that the
-# vocabulary doesn't have.
+# Files hold unsigned little-endian ids of WIDTH bytes; the end of a document is an id that
+# the vocabulary doesn't have.
 WIDTH = 2
 END = 65_535
 # Bytes of a file that a task reads at once, and blocks whose sums are added up together.
@@ -23,29 +23,57 @@ BLOCK = 4 << 20
 GROUP = 1024
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as tasks open it, on the file system that Spark means by it.
+
+    Spark takes a path without a scheme for one of its default file system, where tasks, which
+    open token files by byte ranges, would take it for a local one. A file system that they
+    can't open is refused.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    scheme, _, rest = system.makeQualified(path).toString().partition(":")
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    # One store under the name that Spark's connector has for it.
+    uri = f"{scheme.replace('s3a', 's3')}:{rest}"
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (ValueError, OSError) as problem:
+        raise ValueError(f"token files can't be kept at {uri}: {problem}") from problem
+    return uri
+
+
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI and the path there."""
     return fs.FileSystem.from_uri(path)
 
 
-def written(docs: DataFrame, vocabulary: str, folder: str, end: int = END) -> DataFrame:
+def written(docs: DataFrame, vocabulary: str, folder: str, end: int = END, width: int = WIDTH) -> DataFrame:
     """Write the ids of each row's text and `end` behind it: (file, ordinal, doc_id).
 
     Each task writes one flat file under a name of its own, which no other attempt has, and
-    the result names the files of the attempts that count. A null text is empty.
+    the result names the files of the attempts that count. A null text is empty. An id that
+    `width` bytes don't hold, or that is the end mark, stops the job.
     """
-    mark = np.array([end], "<u2").tobytes()
+    kind = f"<u{width}"
+    if not 0 <= end < 1 << 8 * width:
+        raise ValueError(f"{width} bytes don't hold the end mark {end}")
+    mark = np.array([end], kind).tobytes()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = encoder(vocabulary)
         system, root = opened(folder)
         system.create_dir(root, recursive=True)
-        name = f"{uuid.uuid4().hex}.u16"
+        name = f"{uuid.uuid4().hex}.u{8 * width}"
         ordinal = 0
         with system.open_output_stream(f"{root}/{name}") as out:
             for batch in batches:
                 for texts in vocab.encode(batch.column(1)):
-                    out.write(b"".join(part for ids in texts for part in (ids.astype("<u2").tobytes(), mark)))
+                    for ids in texts:
+                        if len(ids) and (ids.max() >= 1 << 8 * width or (ids == end).any()):
+                            raise ValueError(f"a text has an id that {width} bytes don't hold, or the end mark {end}")
+                        out.write(ids.astype(kind).tobytes() + mark)
                 rows = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f"{folder}/{name}"] * rows, pa.string()),
@@ -57,7 +85,7 @@ def written(docs: DataFrame, vocabulary: str, folder: str, end: int = END) -> Da
         each, "file string, ordinal long, doc_id long")
 
 
-def blocks(files: DataFrame, block: int = BLOCK) -> DataFrame:
+def blocks(files: DataFrame, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
     """(file, block, first, length, size): the byte ranges of all files of a frame (file)."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +93,7 @@ def blocks(files: DataFrame, block: int = BLOCK) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 system, place = opened(path)
                 sizes.append(system.get_file_info(place).size)
-            if any(s is None or s % WIDTH for s in sizes):
+            if any(s is None or s % width for s in sizes):
                 raise ValueError("a token file is missing or ends within a token")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64())], ["file", "size"])
@@ -77,7 +105,7 @@ def blocks(files: DataFrame, block: int = BLOCK) -> DataFrame:
              F.least(F.lit(block), F.col("size") - F.col("block") * block).alias("length"), "size")
 
 
-def separators(ranges: DataFrame, end: int = END) -> DataFrame:
+def separators(ranges: DataFrame, end: int = END, width: int = WIDTH) -> DataFrame:
     """(file, block, ends, closed): places of `end` in each byte range, in tokens from the file's start.
 
     The last range of a file whose last token is something else gets the file's end as one
@@ -90,11 +118,11 @@ def separators(ranges: DataFrame, end: int = END) -> DataFrame:
                 system, place = opened(row["file"])
                 with system.open_input_file(place) as source:
                     source.seek(row["first"])
-                    ids = np.frombuffer(source.read(row["length"]), "<u2")
-                places = np.flatnonzero(ids == end) + row["first"] // WIDTH
+                    ids = np.frombuffer(source.read(row["length"]), f"<u{width}")
+                places = np.flatnonzero(ids == end) + row["first"] // width
                 last = row["first"] + row["length"] == row["size"]
                 whole = not last or ids[-1] == end
-                found.append(places if whole else np.append(places, row["size"] // WIDTH))
+                found.append(places if whole else np.append(places, row["size"] // width))
                 closed.append(whole)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())),
@@ -103,7 +131,9 @@ def separators(ranges: DataFrame, end: int = END) -> DataFrame:
     return ranges.mapInArrow(each, "file string, block long, ends array<long>, closed boolean")
 
 
-def counted(spark: SparkSession, files: DataFrame, end: int = END, block: int = BLOCK) -> DataFrame:
+def counted(
+    spark: SparkSession, files: DataFrame, end: int = END, block: int = BLOCK, width: int = WIDTH
+) -> DataFrame:
     """(file, ordinal, first, n_tokens, closed) of every document in flat token files.
 
     Each block is searched alone. What a block needs from those before it, the number of
@@ -113,9 +143,11 @@ def counted(spark: SparkSession, files: DataFrame, end: int = END, block: int =
     documents; tokens behind the last one are a document that isn't closed. An empty file
     has none. The blocks are dealt evenly, whatever file they are of.
     """
-    ranges = stage(blocks(files, block))
+    if block % width:
+        raise ValueError("a block holds whole ids")
+    ranges = stage(blocks(files, block, width))
     tasks = max(1, min(ranges.count(), spark.sparkContext.defaultParallelism * 16))
-    found = stage(separators(ranges.repartition(tasks), end))
+    found = stage(separators(ranges.repartition(tasks), end, width))
     sums = found.select(
         "file", "block", F.floor(F.col("block") / GROUP).alias("part"), F.size("ends").alias("n"),
         F.array_max("ends").alias("last"))
@@ -140,16 +172,19 @@ def counted(spark: SparkSession, files: DataFrame, end: int = END, block: int =
         (F.col("closed") | (F.col("k") < F.size("ends") - 1)).alias("closed"))
 
 
-def document_counts(docs: DataFrame, vocabulary: str, end: int = END, block: int = BLOCK) -> DataFrame:
+def document_counts(
+    docs: DataFrame, vocabulary: str, end: int = END, block: int = BLOCK, width: int = WIDTH
+) -> DataFrame:
     """(doc_id, n_tokens) of each row of documents, by way of flat token files.
 
     The texts are written to files in the shared folder, as a tokenizing job would leave
     them, and counted from there; only the order within a file says which document it is.
-    Rows with a null text have no tokens; repeated rows and null ids each give a row.
+    Rows with a null text have no tokens; repeated rows and null ids each give a row. The
+    files go with those of the job around it (`staged_files`).
     """
     spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/visitmill/tokens-{uuid.uuid4().hex}"
-    listed = stage(written(docs, vocabulary, folder, end))
+    folder = qualified(spark, scratch_path(spark, "tokens-"))
+    listed = stage(written(docs, vocabulary, folder, end, width))
     return (
-        listed.join(counted(spark, listed.select("file"), end, block), ["file", "ordinal"], "left")
+        listed.join(counted(spark, listed.select("file"), end, block, width), ["file", "ordinal"], "left")
         .select("doc_id", "n_tokens"))
