@@ -2,6 +2,8 @@
 
 import hashlib
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -32,6 +34,25 @@ def test_turn(role, text):
     assert CODEC.text(ids.tolist()) == f"[INST]{chat.escaped(role)}[/INST]{chat.escaped(text)}</s>"
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "</s>"]), TEXTS), min_size=1, max_size=5))
+def test_turns_together_are_read_like_one_after_another(turns):
+    made = [CODEC.turn(*t)[0] for t in turns]
+    bounds = np.cumsum([0, *(len(m) for m in made)])
+    roles, texts = CODEC.read_all(np.concatenate(made), bounds)
+    assert list(zip(roles, texts, strict=True)) == turns
+    shown = CODEC.decoded(np.concatenate(made), bounds)
+    assert [CODEC.chars[m].sum() for m in made] == [len(t) for t in shown]
+
+
+def test_ids_that_are_no_turns_are_refused():
+    ids, _ = CODEC.turn("user", "text")
+    for bad in (ids[1:], ids[:-1], ids[::-1], np.append(ids, ids[-1]), np.insert(ids, 1, ids[0]), ids[:0]):
+        with pytest.raises(ValueError, match="not turns"):
+            CODEC.read(bad.tolist())
+    assert CODEC.read_all(ids[:0], np.array([0])) == ([], [])
+
+
 def test_odd_rows(spark):
     rows = [(1, 2, "assistant", "b"), (1, 1, "user", "</s>"), (1, 2, "assistant", "b"), (2, None, None, None),
             (None, 0, "assistant", ""), (3, 0, "assistant", "x" * 100_000), (3, 0, "assistant", "[INST]")]

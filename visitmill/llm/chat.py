@@ -32,7 +32,7 @@ def escaped(text: str) -> str:
 
 
 def unescaped(text: str) -> str:
-    return _ESCAPED.sub(lambda m: f"{m[1] or m[3]}{m[2] or m[4]}", text)
+    return _ESCAPED.sub(lambda m: f"{m[1] or m[3]}{m[2] or m[4]}", text) if "\\" in text else text
 
 
 class Codec:
@@ -45,6 +45,15 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.reserved = max(ranks.values()) + 1
+        shown = [b""] * self.reserved + [c.encode() for c in CONTROLS]
+        for token, rank in ranks.items():
+            shown[rank] = token
+        #: The bytes of each id, and how many characters begin in them.
+        self.sizes = np.array([len(t) for t in shown], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(shown), np.uint8)
+        begun = np.concatenate(([0], np.cumsum((self.bytes & 0xC0) != 0x80)))
+        self.chars = begun[self.starts + self.sizes] - begun[self.starts]
 
     def turn(self, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids and loss mask of one turn: [INST] role [/INST] text </s>.
@@ -60,25 +69,37 @@ class Codec:
         mask = (place >= ends[2]) & (place < ends[3]) & (role == TRAINED)
         return np.array([i for s in segments for i in s], dtype=np.int32), mask
 
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The formatted texts of spans of ids, decoded together."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - ends + sizes, sizes)
+        raw = self.bytes[at + np.arange(len(at))].tobytes()
+        cuts = np.append(0, ends)[bounds].tolist()
+        return [raw[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
     def text(self, ids: list[int]) -> str:
         """The formatted text of ids."""
-        out, plain = [], []
-        for i in [*ids, None]:
-            if i is None or i >= self.reserved:
-                out.append(self.encoding.decode_bytes(plain).decode())
-                plain = []
-                out.append("" if i is None else CONTROLS[i - self.reserved])
-            else:
-                plain.append(i)
-        return "".join(out)
+        return self.decoded(np.array(ids, dtype=np.int64), np.array([0, len(ids)]))[0]
+
+    def read_all(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[list[str], list[str]]:
+        """Roles and texts of the ids of turns, one turn after another."""
+        marks = np.flatnonzero(ids >= self.reserved)
+        places = marks.reshape(-1, 3) if len(marks) == 3 * (len(bounds) - 1) else np.zeros((0, 3), np.int64)
+        kinds = ids[places] - self.reserved
+        if len(places) != len(bounds) - 1 or (kinds != [ROLE, TEXT, END]).any() or (
+                places[:, 0] != bounds[:-1]).any() or (places[:, 2] != bounds[1:] - 1).any():
+            raise ValueError("these ids are not turns")
+        # Spans from each mark to the next: mark and role, mark and text, mark alone.
+        spans = np.append(places.reshape(-1), bounds[-1])
+        shown = self.decoded(ids, spans)
+        role, text = len(CONTROLS[ROLE]), len(CONTROLS[TEXT])
+        return [unescaped(t[role:]) for t in shown[0::3]], [unescaped(t[text:]) for t in shown[1::3]]
 
     def read(self, ids: list[int]) -> tuple[str, str]:
         """Role and text of a turn's ids."""
-        marks = [k for k, i in enumerate(ids) if i >= self.reserved]
-        if [ids[k] - self.reserved for k in marks] != [ROLE, TEXT, END] or marks[0] or marks[-1] != len(ids) - 1:
-            raise ValueError("these ids are not one turn")
-        spans = ids[1:marks[1]], ids[marks[1] + 1:-1]
-        return tuple(unescaped(self.encoding.decode_bytes(s).decode()) for s in spans)
+        roles, texts = self.read_all(np.array(ids, dtype=np.int64), np.array([0, len(ids)]))
+        return roles[0], texts[0]
 
 
 @cache
@@ -97,10 +118,11 @@ def assembled(turns: DataFrame, path: str, pattern: str) -> DataFrame:
         own = codec(path, pattern)
         for batch in batches:
             made = [own.turn(r, t) for r, t in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True)]
+            bounds = pa.array(np.cumsum([0, *(len(ids) for ids, _ in made)]), pa.int32())
+            ids, loss = (np.concatenate(c) for c in zip(*made, strict=True)) if made else ([], [])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(4)),
-                 pa.array([ids for ids, _ in made], pa.list_(pa.int32())),
-                 pa.array([mask for _, mask in made], pa.list_(pa.bool_()))],
+                [*(batch.column(k) for k in range(4)), pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32())),
+                 pa.ListArray.from_arrays(bounds, pa.array(loss, pa.bool_()))],
                 ["conv_id", "turn", "rank_role", "rank_text", "ids", "loss"])
 
     return turns.select(
@@ -112,7 +134,7 @@ def assembled(turns: DataFrame, path: str, pattern: str) -> DataFrame:
 def digests(assembly: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per conversation, read back from ids and masks alone.
 
-    Ids are decoded row by row where they lie. Only the digests need a conversation's turns
+    Ids are decoded where they lie, a batch of rows at a time. Only the digests need a conversation's turns
     in order and one after another; its rows stream through one task sorted, and nothing but
     the running digests is held, however long it is. (SHA-256 of a whole can't be put
     together from parts.)
@@ -120,15 +142,17 @@ def digests(assembly: DataFrame, path: str, pattern: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            ids = batch.column(4).to_pylist()
-            masks = batch.column(5).to_pylist()
-            back = [own.read(i) for i in ids]
-            trained = [unescaped(own.text([i for i, m in zip(row, mask, strict=True) if m]))
-                       for row, mask in zip(ids, masks, strict=True)]
+            bounds = batch.column(4).offsets.to_numpy().astype(np.int64)
+            bounds -= bounds[0]
+            ids = batch.column(4).flatten().to_numpy()
+            mask = batch.column(5).flatten().to_numpy(zero_copy_only=False).astype(bool)
+            roles, texts = own.read_all(ids, bounds)
+            kept = np.append(0, np.cumsum(mask))[bounds]
+            trained = [unescaped(t) for t in own.decoded(ids[mask], kept)]
+            chars = np.diff(np.append(0, np.cumsum(own.chars[ids]))[bounds])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([b[0] for b in back], pa.string()),
-                 pa.array([b[1] for b in back], pa.string()), pa.array(trained, pa.string()),
-                 pa.array([len(own.text(i)) for i in ids], pa.int64())],
+                [batch.column(0), batch.column(1), pa.array(roles, pa.string()), pa.array(texts, pa.string()),
+                 pa.array(trained, pa.string()), pa.array(chars, pa.int64())],
                 ["conv_id", "turn", "role", "text", "trained", "chars"])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
