@@ -21,6 +21,10 @@ def prose(seed, words=80):
     return "".join(out).strip()
 
 
+def line_of(seed, words):
+    return prose(seed, words).replace("\n", " ")
+
+
 def documents(spark, rows):
     """A table of documents of (doc_id, text) pairs, with columns of clashing names."""
     return spark.createDataFrame(

@@ -1,5 +1,7 @@
 """Language codes, and accuracy on held-out documents."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -27,6 +29,31 @@ def test_histograms_do_not_cross_texts():
     assert (whole[4] == np.concatenate(list(language.histograms(pa.array(["é"])))))[0].all()
 
 
+def test_decoding_equals_a_plain_version():
+    """Every codeword's loss, bit by bit, and the least of them."""
+    random = np.random.default_rng(3)
+    for n in (2, 3, 5, 9):
+        code = language.codewords(n)
+        bits = code.shape[1]
+        model = language.Model([str(k) for k in range(n)], code, random.normal(size=(language.BUCKETS, bits)) / 5,
+                               random.uniform(0.2, 2, bits))
+        counts = random.integers(0, 2, (6, language.BUCKETS)) * (random.random((6, language.BUCKETS)) < 0.01)
+        counts[0] = 0
+        best, share = model.predict(counts)
+        for row in range(6):
+            grams = np.flatnonzero(counts[row])
+            losses = []
+            for word in code:
+                loss = 0.0
+                for bit in range(bits):
+                    margin = language.SCALE * sum(
+                        counts[row, g] * model.weights[g, bit] for g in grams) / max(counts[row].sum(), 1)
+                    loss += model.trust[bit] * math.log1p(math.exp(-margin * word[bit]))
+                losses.append(loss)
+            assert best[row] == int(np.argmin(losses))
+            assert share[row] == pytest.approx(math.exp(-min(losses)) / sum(math.exp(-x) for x in losses))
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     held = language.held_out(docs["doc_id"])

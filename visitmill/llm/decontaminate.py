@@ -219,7 +219,11 @@ def contamination(
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that share no window with the benchmark, with all their columns."""
+    """The rows of `docs` that share no window with the benchmark, with all their columns.
+
+    Null and empty texts stay. Rows of equal id and text go or stay together; a null id is an
+    id. An empty benchmark, or one of null texts, keeps all rows.
+    """
     hit = (
         benchmark_hits(docs, items, **options)[1].select("doc_id", "text_key").distinct()
         .withColumn("hit", F.lit(True)))
