@@ -1,11 +1,14 @@
 """Cross-entropy difference against a plain model."""
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_help import documents, prose
+from pyspark.sql import functions as F
 
 from visitmill.llm import lmscore
 
@@ -15,71 +18,133 @@ def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
 
 
-def brute(docs, good, size):
-    """Per document (words, target loss, background loss)."""
-    counts = Counter(w for _, t in docs for w in words_of(t))
-    border = sorted(counts.values(), reverse=True)[size - 1]
-    vocabulary = {w for w, n in counts.items() if n > border}
-    assert len(vocabulary) == size - 1, "the test needs a vocabulary without ties"
-
-    def coded(text):
-        return [w if w in vocabulary else None for w in words_of(text)]
-
+def brute(docs, target):
+    """Per document, in order: (id, words, target loss, background loss)."""
     def model(texts):
-        grams = Counter(g for t in texts for g in zip([None, *coded(t)], coded(t), strict=False))
-        return grams, sum(grams.values())
-
-    def loss(grams, before, word, scale):
-        total = scale * sum(grams.values())
-        single = (scale * sum(n for (_, w), n in grams.items() if w == word) + lmscore.PRIOR) / (
-            total + lmscore.PRIOR * lmscore.VOCABULARY)
-        history = scale * sum(n for (v, _), n in grams.items() if v == before)
-        return -math.log((scale * grams[before, word] + lmscore.BACKOFF * single) / (history + lmscore.BACKOFF))
-
-    mine, n = model([t for i, t in docs if i in good])
-    other, m = model([t for _, t in docs])
-    out = {}
+        grams, words = Counter(), 0
+        for text in texts:
+            own = words_of(text)
+            grams.update(zip([None, *own], own, strict=False))
+            words += len(own)
+        before = Counter()
+        for (v, _), n in grams.items():
+            before[v] += n
+        return grams, before, words
+
+    vocabulary = len({w for _, t in docs for w in words_of(t)})
+    mine, other = model(target), model([t for _, t in docs])
+    out = []
     for i, text in docs:
-        pairs = list(zip([None, *coded(text)], coded(text), strict=False))
-        out[i] = (len(pairs), *(sum(loss(g, *p, s) for p in pairs) / len(pairs) if pairs else None
-                                for g, s in ((mine, 1), (other, n / m))))
+        own = words_of(text)
+        losses = []
+        for (grams, before, _), scale in ((mine, 1), (other, mine[2] / max(1, other[2]))):
+            losses.append(sum(
+                math.log(scale * before[v] + lmscore.PRIOR * vocabulary) - math.log(scale * grams[v, w] + lmscore.PRIOR)
+                for v, w in zip([None, *own], own, strict=False)) / len(own) if own else None)
+        out.append((i, len(own), *losses))
     return out
 
 
-def test_scores_equal_a_plain_model(spark):
-    common = "alpha beta beta gamma gamma gamma delta delta delta delta".split()
-    docs = [(i, " ".join(common[(i * k) % 10] + (" rare%d" % (i * k) if k % 5 == 0 else "")
-                         for k in range(1, 40))) for i in range(12)]
-    docs += [(20, ""), (21, None), (22, "Delta, DELTA! gamma")]
-    good = {1, 2, 3}
-    frame = documents(spark, docs)
-    labels = spark.createDataFrame([(i, 1) for i in good] + [(1, 1), (4, 0), (None, 1)], "doc_id long, quality int")
-    models = lmscore.fit(frame, lmscore.labelled_target(frame, labels), vocabulary=3)
-    got = {r["doc_id"]: r for r in lmscore.scored(frame, models).collect()}
-    for i, (n, mine, other) in brute(docs, good, 3).items():
-        assert got[i]["n_words"] == n
+def check(found, want):
+    got = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert len(got) == len(want)
+    for (i, n, mine, other, difference), (j, m, t, b) in zip(got, sorted(want, key=lambda r: repr((*r[:2],))), strict=True):
+        assert (i, n) == (j, m)
         if n:
-            assert got[i]["target_loss"] == pytest.approx(mine, rel=1e-5)
-            assert got[i]["background_loss"] == pytest.approx(other, rel=1e-5)
-            assert got[i]["difference"] == pytest.approx(mine - other, abs=1e-4)
+            assert (mine, other, difference) == pytest.approx((t, b, t - b), abs=1e-9)
         else:
-            assert got[i]["difference"] is None
+            assert mine is other is difference is None
+
+
+def corpus(count=60):
+    dice = random.Random(6)
+    words = [f"w{k}" for k in range(40)] + ["Alpha", "É", "日本", "x1"]
+    docs = [(i, dice.choice([" ", "-", "\n"]).join(dice.choices(words, k=dice.randint(0, 80)))) for i in range(count)]
+    return docs + [(100, ""), (101, None), (102, docs[5][1]), (103, prose(9, 300)), (104, "lone")]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_scores_equal_a_plain_model(spark, parts):
+    docs = corpus()
+    good = {3, 5, 8, 13, 21, 103}
+    labels = spark.createDataFrame(
+        [(i, 1) for i in good] + [(3, 1), (4, 0), (5, 0), (None, 1), (999, 1)], "doc_id long, quality int")
+    frame = documents(spark, docs).repartition(parts, "doc_id").sortWithinPartitions("doc_id")
+    target = lmscore.labelled_target(frame, labels)
+    assert sorted(r["doc_id"] for r in target.collect()) == sorted(good)
+    check(lmscore.scored(frame, target), brute(docs, [t for i, t in docs if i in good]))
+
+
+def test_blocks_of_few_documents_and_small_tasks(spark, monkeypatch, tmp_path):
+    """Rows that are equal, many blocks and many tasks, in files that are read twice."""
+    docs = corpus(30) + [(5, "same text")] * 7 + [(7, None)] * 3
+    frame = documents(spark, docs)
+    frame.write.parquet(str(tmp_path / "docs"))
+    frame = spark.read.parquet(str(tmp_path / "docs"))
+    monkeypatch.setattr(lmscore, "TASK_WORDS", 100)
+    target = spark.createDataFrame([("w1 w2 w3",), ("other words",), (None,)], "text string")
+    check(lmscore.scored(frame, target), brute(docs, ["w1 w2 w3", "other words"]))
+
+
+def test_blocks(monkeypatch):
+    """Documents keep their places whatever the sizes of blocks and slices."""
+    import pyarrow as pa
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 4
+    monkeypatch.setattr(lmscore, "TaskContext", Context)
+    texts = [None if k % 7 == 0 else f"a{k} b" * (k % 5) for k in range(100)]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(range(a, a + 25)), pa.array(texts[a:a + 25], pa.string())], ["doc_id", "text"]) for a in (0, 25, 50, 75)]
+    for size, docs in ((1 << 25, 1 << 16), (20, 1 << 16), (1 << 25, 7), (1, 1)):
+        monkeypatch.setattr(lmscore, "BLOCK_BYTES", size)
+        monkeypatch.setattr(lmscore, "BLOCK_DOCS", docs)
+        seen, names = [], []
+        for number, ids, row, word in lmscore._blocks(iter(batches)):
+            assert len(ids) <= docs and len(row) == len(word) and (not len(row) or row.max() < len(ids))
+            names.append(number)
+            seen += zip(ids.to_pylist(), np.bincount(row, minlength=len(ids)).tolist(), strict=True)
+        assert seen == [(k, len(words_of(t))) for k, t in enumerate(texts)]
+        assert len(set(names)) == len(names) and min(names) >> 32 == 5
+
+
+def test_documents_in_another_order_stop_the_query(spark, monkeypatch):
+    frame = documents(spark, [(i, prose(i, 3 + i)) for i in range(30)]).coalesce(1)
+    other = frame.orderBy(F.desc("doc_id")).coalesce(1).select("doc_id", "text")
+    made = lmscore.places
+    monkeypatch.setattr(lmscore, "places", lambda _: made(other))
+    with pytest.raises(Exception, match="in another order"):
+        lmscore.scored(frame, frame).collect()
 
 
 def test_target_like_documents_score_lower(spark):
     docs = [(i, prose(i % 4 if i % 2 else i, 60)) for i in range(60)]
     frame = documents(spark, docs)
     labels = spark.createDataFrame([(i, 1) for i in range(1, 30, 2)], "doc_id long, quality int")
-    models = lmscore.fit(frame, lmscore.labelled_target(frame, labels))
-    got = {r["doc_id"]: r["difference"] for r in lmscore.scored(frame, models).collect()}
+    found = lmscore.scored(frame, lmscore.labelled_target(frame, labels))
+    got = {r["doc_id"]: r["difference"] for r in found.collect()}
     assert max(got[i] for i in range(31, 60, 2)) < min(got[i] for i in range(30, 60, 2))
 
 
+def test_documents_that_occur_twice_are_scored_apart(spark):
+    """However rare their words are: no word is outside the vocabulary."""
+    docs = [(i, prose(i, 60)) for i in range(100)] + [(200 + i, prose(i, 60)) for i in range(20)]
+    frame = documents(spark, docs)
+    target = spark.createDataFrame([(prose(k, 60),) for k in range(500, 540)], "text string")
+    got = {r["doc_id"]: r["background_loss"] for r in lmscore.scored(frame, target).collect()}
+    twice = {i for i in got if i < 20 or i >= 200}
+    assert max(got[i] for i in twice) < min(got[i] for i in set(got) - twice)
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(4, 1)], "doc_id long, quality int")
-    models = lmscore.fit(odd.docs, lmscore.labelled_target(odd.docs, labels))
-    got = lmscore.scored(odd.docs, models).collect()
-    assert len(got) == len(odd.rows)
-    assert all((r["difference"] is None) == (r["n_words"] == 0) for r in got)
-    empty = lmscore.fit(odd.none, odd.none)
-    assert lmscore.scored(odd.none, empty).count() == 0 and lmscore.scored(odd.docs, empty).count() == len(odd.rows)
+    target = lmscore.labelled_target(odd.docs, labels)
+    check(lmscore.scored(odd.docs, target), brute(odd.rows, [t for i, t in odd.rows if i == 4]))
+    check(lmscore.scored(odd.docs, odd.none), brute(odd.rows, []))
+    assert lmscore.scored(odd.none, odd.none).count() == 0 and lmscore.scored(odd.none, odd.docs).count() == 0

@@ -1,164 +1,265 @@
-"""Language-model scoring by cross-entropy difference."""
+"""Language-model scoring by cross-entropy difference.
+
+Two bigram models, of the target and of all documents as the background, have the same
+vocabulary, order and smoothing: every word of the corpus is in it, and
+p(word | before) = (count of the pair + PRIOR) / (count of the word before + PRIOR * words).
+So a word's loss is a term of its pair and a term of the word before it, and each term needs
+the counts of one n-gram. Those never come together anywhere: every block of documents sends
+its n-grams, with the places of the documents that hold them, to where the n-gram's counts
+are summed, and from there each document gets its terms back as sums.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.words import ALPHANUMERIC, row_slices, text_bytes, word_hashes, word_spans
+from visitmill.llm.words import (
+    ALPHANUMERIC, gram_hashes, mixed, row_slices, text_bytes, word_hashes, word_spans)
+
+# Count that every pair of words has besides its own.
+PRIOR = 0.05
+# Bytes of text, and documents, of a block; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 25
+BLOCK_DOCS = 1 << 16
+# Words whose n-grams are summed by one task, about.
+TASK_WORDS = 1 << 21
+# Buckets of ids by which most documents are told from those with a label; they are broadcast.
+BUCKETS = 1 << 18
+
+#: Stands before the first word of a text.
+BEGIN = np.uint64(0x5851F42D4C957F2D)
+_HISTORY = np.uint64(0x2545F4914F6CDD1D)
+# Block numbers start above this one, which the target's n-grams have.
+TARGET = 0
 
-# Words of the shared vocabulary with the unknown word; bounds the models to its square.
-VOCABULARY = 2048
-UNKNOWN = 0
-# Weight of the unigram distribution behind each bigram history, and of the uniform one.
-BACKOFF = 20.0
-PRIOR = 0.5
+GRAMS = "gram long, block long, docs binary"
+PLACES = "block long, place int, doc_id long, n_words long"
+SUMS = "block long, place int, target double, background double, n long"
 
 
-def coded(
-    texts: pa.Array, vocabulary: np.ndarray
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(texts, text number of each word, word number), some texts at a time.
+def words_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(texts, bytes, text number of each word, hash of each word), some texts at a time.
 
-    Words are runs of ASCII letters and digits and of what isn't ASCII, A-Z lower-cased; one
-    that isn't in the vocabulary (sorted hashes) is UNKNOWN.
+    Words are runs of ASCII letters and digits and of what isn't ASCII, A-Z lower-cased.
     """
     data, offsets = text_bytes(texts)
     for first, last in row_slices(offsets):
         part = data[offsets[first]:offsets[last]]
         starts, ends, row = word_spans(part, offsets[first:last + 1] - offsets[first], ALPHANUMERIC)
-        hashes = word_hashes(part, starts, ends)
-        if not len(vocabulary):
-            yield last - first, row, np.zeros(len(hashes), np.int64)
-            continue
-        place = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-        yield last - first, row, np.where(vocabulary[place] == hashes, place + 1, UNKNOWN)
+        yield last - first, len(part), row, word_hashes(part, starts, ends)
 
 
-def pairs(row: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The cell of each word with the one before it; a text begins behind an unknown word."""
-    before = np.concatenate(([UNKNOWN], word[:-1]))
-    before[np.concatenate(([True], row[1:] != row[:-1]))[:len(row)]] = UNKNOWN
-    return before[:len(word)] * VOCABULARY + word
+def grams(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pair that ends at each word, and the word before it, as hashes; the last bit says which."""
+    before = np.concatenate(([BEGIN], word[:-1]))[:len(word)]
+    if len(row):
+        before[np.concatenate(([True], row[1:] != row[:-1]))] = BEGIN
+    both = np.empty(2 * len(word), dtype=np.uint64)
+    both[0::2], both[1::2] = before, word
+    pair = gram_hashes(both, 2)[::2] if len(word) else word
+    return pair & ~np.uint64(1), mixed(before ^ _HISTORY) | np.uint64(1)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): how often each word, by its hash, occurs in all texts."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            hashes = [np.zeros(0, np.uint64)]
-            for first, last in row_slices(offsets):
-                part = data[offsets[first]:offsets[last]]
-                starts, ends, _ = word_spans(part, offsets[first:last + 1] - offsets[first], ALPHANUMERIC)
-                hashes.append(word_hashes(part, starts, ends))
+            hashes = [np.zeros(0, np.uint64), *(word for _, _, _, word in words_of(batch.column(0)))]
             words, counts = np.unique(np.concatenate(hashes), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
 
     return (
-        docs.select("text").mapInArrow(each, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+        docs.select(F.col("text").cast("string")).mapInArrow(each, "word long, n long")
+        .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def pair_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
-    """Counts of all word pairs of all texts (VOCABULARY by VOCABULARY).
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """The documents (doc_id, text) of a task in blocks: number, ids, place of each word, words.
 
-    A task adds up its own texts; the sums meet by pair, and the driver gets at most the
-    square of the vocabulary.
+    A block is named by the task's partition and its own number there.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    number, held, docs, size = TaskContext.get().partitionId() + 1, [], 0, 0
+    made = 0
+
+    def block():
+        ids = pa.concat_arrays([h[0] for h in held])
+        counts = np.cumsum([0, *(len(h[0]) for h in held)])
+        row = np.concatenate([h[1] + c for h, c in zip(held, counts[:-1], strict=True)])
+        return (number << 32) + made, ids, row, np.concatenate([h[2] for h in held])
+
+    for batch in batches:
+        done = 0
+        for rows, length, row, word in words_of(batch.column(1)):
+            if held and (size + length > BLOCK_BYTES or docs + rows > BLOCK_DOCS):
+                yield block()
+                made, held, docs, size = made + 1, [], 0, 0
+            # A slice of empty texts may hold more documents than a block has places.
+            for first in range(0, rows, BLOCK_DOCS):
+                part = (row >= first) & (row < first + BLOCK_DOCS) if rows > BLOCK_DOCS else slice(None)
+                if held and docs + min(rows - first, BLOCK_DOCS) > BLOCK_DOCS:
+                    yield block()
+                    made, held, docs, size = made + 1, [], 0, 0
+                ids = batch.column(0).slice(done + first, min(rows - first, BLOCK_DOCS))
+                held.append((ids, row[part] - first, word[part]))
+                docs += len(ids)
+            done, size = done + rows, size + length
+    if held:
+        yield block()
+
+
+def _sent(gram: np.ndarray, place: np.ndarray) -> tuple[pa.Array, pa.BinaryArray]:
+    """Distinct n-grams, and for each the places of the words that have it, two bytes each."""
+    order = np.argsort(gram, kind="stable")
+    gram = gram[order]
+    first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))[:len(gram)])
+    bounds = (2 * np.append(first, len(gram))).astype(np.int32)
+    held = place[order].astype("<u2")
+    return pa.array(gram[first].view(np.int64)), pa.BinaryArray.from_buffers(
+        pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(held)])
+
+
+def block_grams(docs: DataFrame) -> DataFrame:
+    """(gram, block, docs): the n-grams of each block of documents, with the places that have them."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, _, row, word in _blocks(batches):
+            for gram in grams(row, word):
+                found, places = _sent(gram, row)
+                yield pa.RecordBatch.from_arrays(
+                    [found, pa.array(np.full(len(found), number)), places], ["gram", "block", "docs"])
+
+    return docs.mapInArrow(each, GRAMS)
 
+
+def places(docs: DataFrame) -> DataFrame:
+    """(block, place, doc_id, n_words) of each row, named as `block_grams` names them."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(VOCABULARY * VOCABULARY, dtype=np.int32)
-        for batch in batches:
-            for _, row, word in coded(batch.column(0), sent.value):
-                cells, counts = np.unique(pairs(row, word), return_counts=True)
-                total[cells] += counts.astype(np.int32)
-        cells = np.flatnonzero(total)
-        for begin in range(0, len(cells), 1 << 16):
-            part = cells[begin:begin + (1 << 16)]
+        for number, ids, row, _ in _blocks(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], ["cell", "n"])
-
-    sums = (
-        docs.select("text").mapInArrow(each, "cell int, n long")
-        .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
-    out = np.zeros(VOCABULARY * VOCABULARY)
-    out[sums["cell"].to_numpy()] = sums["n"].to_numpy()
-    return out.reshape(VOCABULARY, VOCABULARY)
+                [pa.array(np.full(len(ids), number)), pa.array(np.arange(len(ids), dtype=np.int32)), ids,
+                 pa.array(np.bincount(row, minlength=len(ids)).astype(np.int64))],
+                ["block", "place", "doc_id", "n_words"])
 
+    return docs.mapInArrow(each, PLACES)
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """-log p(word | word before): bigrams backed by unigrams, those by the uniform distribution."""
-    words = counts.sum(axis=0)
-    single = (words + PRIOR) / (words.sum() + PRIOR * len(words))
-    history = counts.sum(axis=1, keepdims=True)
-    return -np.log((counts + BACKOFF * single) / (history + BACKOFF)).astype(np.float32)
 
+def target_grams(target: DataFrame) -> DataFrame:
+    """(gram, block, docs) of the target's texts: counts of four bytes in place of documents."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, row, word in words_of(batch.column(0)):
+                for gram in grams(row, word):
+                    found, counts = np.unique(gram, return_counts=True)
+                    bounds = np.arange(0, 4 * len(found) + 1, 4, dtype=np.int32)
+                    held = pa.BinaryArray.from_buffers(
+                        pa.binary(), len(found), [None, pa.py_buffer(bounds), pa.py_buffer(counts.astype("<u4"))])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.view(np.int64)), pa.array(np.full(len(found), TARGET)), held],
+                        ["gram", "block", "docs"])
 
-@dataclass(frozen=True)
-class Models:
-    vocabulary: np.ndarray
-    target: np.ndarray
-    background: np.ndarray
+    return target.select(F.col("text").cast("string")).mapInArrow(each, GRAMS)
 
 
-def fit(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY) -> Models:
-    """Models of `target` and of all `docs` (text), of one vocabulary, order and weight.
+def summed(sent: DataFrame, vocabulary: int, scale: float, prior: float, parts: int) -> DataFrame:
+    """(block, place, target, background, n): the terms of the losses of documents, summed.
 
-    The vocabulary has the most frequent words of `docs`. Both sets are counted whole; the
-    background's counts are then scaled to the target's number of words, so that the
-    smoothing, which goes by counts, treats both alike.
+    All rows of an n-gram meet in one task, at most one of each block and each slice of the
+    target; a task holds the n-grams of about TASK_WORDS words. `n` counts the words.
     """
-    if vocabulary > VOCABULARY:
-        raise ValueError(f"at most {VOCABULARY} words")
-    common = word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary - 1).select("word").collect()
-    words = np.sort(np.array([r[0] for r in common], dtype=np.int64).view(np.uint64))
-    mine, all_of_it = pair_counts(target, words), pair_counts(docs, words)
-    scale = mine.sum() / max(all_of_it.sum(), 1)
-    return Models(words, losses(mine), losses(all_of_it * scale))
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, schema=pa.schema(
+            [("gram", pa.int64()), ("block", pa.int64()), ("docs", pa.large_binary())])
+        ) if (batches := [b.set_column(2, "docs", b.column(2).cast(pa.large_binary())) for b in batches]) else None
+        if table is None or not table.num_rows:
+            return
+        gram, block = table["gram"].to_numpy(), table["block"].to_numpy()
+        docs = table["docs"].combine_chunks()
+        bounds = np.frombuffer(docs.buffers()[1], np.int64)[docs.offset:docs.offset + len(docs) + 1]
+        data = np.frombuffer(docs.buffers()[2], np.uint8)
+        order = np.argsort(gram, kind="stable")
+        group = np.empty(len(gram), dtype=np.int64)
+        group[order] = np.cumsum(np.concatenate(([0], gram[order][1:] != gram[order][:-1])))
+        size = np.diff(bounds)
+        mine = block == TARGET
+        groups = int(group.max()) + 1
+        counts = data[bounds[:-1][mine, None] + np.arange(4)].copy().view("<u4")[:, 0] if mine.any() else size[mine]
+        in_target = np.bincount(group[mine], weights=counts, minlength=groups)
+        in_all = np.bincount(group[~mine], weights=size[~mine] // 2, minlength=groups)
+        history = np.zeros(groups, dtype=bool)
+        history[group] = gram & 1 == 1
+        terms = []
+        for n in (in_target, in_all * scale):
+            terms.append(np.where(history, np.log(n + prior * vocabulary), -np.log(n + prior)))
+        # Each place of a document gets its n-gram's terms.
+        held = np.flatnonzero(~mine)
+        sizes = size[held] // 2
+        ends = np.cumsum(sizes)
+        at = np.repeat(bounds[:-1][held] - 2 * (ends - sizes), sizes) + 2 * np.arange(ends[-1] if len(ends) else 0)
+        place = data[at].astype(np.int64) | data[at + 1].astype(np.int64) << 8
+        numbers, code = np.unique(block[held], return_inverse=True)
+        whose, own = np.unique(np.repeat(code, sizes) << 16 | place, return_inverse=True)
+        of = np.repeat(group[held], sizes)
+        sums = [np.bincount(own, weights=t[of], minlength=len(whose)) for t in terms]
+        n = np.bincount(own, weights=~history[of], minlength=len(whose))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers[whose >> 16] if len(whose) else np.zeros(0, np.int64)),
+             pa.array((whose & 0xFFFF).astype(np.int32)), *map(pa.array, sums), pa.array(n.astype(np.int64))],
+            ["block", "place", "target", "background", "n"])
+
+    return (
+        sent.repartition(parts, "gram").mapInArrow(each, SUMS)
+        .groupBy("block", "place").agg(*[F.sum(c).alias(c) for c in ("target", "background", "n")]))
 
 
-def scored(docs: DataFrame, models: Models) -> DataFrame:
+def scored(docs: DataFrame, target: DataFrame, prior: float = PRIOR) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, difference) of each row of documents.
 
-    Losses are means over the words of a text in nats; difference is the target's minus the
-    background's, so the lowest are most like the target. A text without a word, null or
-    empty, has null losses. Repeated rows each give a row; other columns are ignored.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    The background model is that of all `docs` (doc_id, text), the target's that of all texts
+    of `target` (text). Counts of the background are scaled to the target's number of words,
+    so that the smoothing, which goes by counts, treats both alike. Losses are means over the
+    words of a text in nats; difference is the target's minus the background's, so the lowest
+    are most like the target. A text without a word, null or empty, has null losses. Repeated
+    rows each give a row; other columns are ignored. Without a target all n-grams have the
+    smoothing alone.
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = sent.value
-        target, background = models.target.ravel(), models.background.ravel()
-        for batch in batches:
-            columns: tuple[list, ...] = ([], [], [])
-            for rows, row, word in coded(batch.column(1), models.vocabulary):
-                cells = pairs(row, word)
-                columns[0].append(np.bincount(row, minlength=rows))
-                for k, table in ((1, target), (2, background)):
-                    columns[k].append(np.bincount(row, weights=table[cells], minlength=rows))
-            n, mine, other = (np.concatenate([np.zeros(0), *c]) for c in columns)
-            none = n == 0
-            with np.errstate(invalid="ignore", divide="ignore"):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n.astype(np.int64)), pa.array(mine / n, mask=none),
-                     pa.array(other / n, mask=none), pa.array((mine - other) / n, mask=none)],
-                    ["doc_id", "n_words", "target_loss", "background_loss", "difference"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        each, "doc_id long, n_words long, target_loss double, background_loss double, difference double")
+    The documents are read twice, and must come in the same partitions and order both times,
+    as files do; if they don't, the query stops.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    vocabulary, n_all = word_counts(texts).agg(F.count(F.lit(1)), total).first()
+    n_target = word_counts(target).agg(total).first()[0]
+    parts = max(1, -(-n_all // TASK_WORDS))
+    sums = summed(
+        block_grams(texts).unionByName(target_grams(target)), max(1, vocabulary), n_target / max(1, n_all), prior, parts)
+    lost = F.raise_error(F.lit("the documents came in another order the second time"))
+    joined = places(texts).join(sums, ["block", "place"], "left")
+    words = F.when(F.col("n_words") != F.coalesce("n", F.lit(0)), lost.cast("long")).otherwise(F.col("n_words"))
+    mean = {c: F.col(c) / F.col("n_words") for c in ("target", "background")}
+    return joined.select(
+        "doc_id", words.alias("n_words"), mean["target"].alias("target_loss"),
+        mean["background"].alias("background_loss"), (mean["target"] - mean["background"]).alias("difference"))
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that some label calls good; all of them, each row once.
 
-    Labels grow with the documents, so they meet in a shuffle at any size.
+    Labels grow with the documents, so the two meet in a shuffle. Only documents that fall
+    into a bucket of some good id are shuffled; the buckets, at most BUCKETS numbers, are
+    broadcast.
     """
-    good = labels.where("quality > 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        good.hint("shuffle_merge"), "doc_id", "left_semi")
+    good = labels.where("quality > 0 and doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id")).distinct()
+
+    def bucket(column: str) -> F.Column:
+        return F.pmod(F.xxhash64(column), F.lit(BUCKETS))
+
+    buckets = good.select(bucket("doc_id").alias("_bucket")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    near = texts.join(F.broadcast(buckets), bucket("doc_id") == F.col("_bucket"), "left_semi")
+    return near.join(good.hint("shuffle_merge"), "doc_id", "left_semi")

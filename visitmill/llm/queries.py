@@ -34,8 +34,7 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    target = lmscore.labelled_target(docs, table(spark, folder, "labels"))
-    return lmscore.scored(docs, lmscore.fit(docs, target))
+    return lmscore.scored(docs, lmscore.labelled_target(docs, table(spark, folder, "labels")))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
