@@ -86,3 +86,19 @@ def test_extension_is_the_longest_equal_run(mine, theirs, data):
     assert first <= at and end >= at + 3 and mine[first:end] == theirs[first + shift:end + shift]
     assert not (first and first + shift and mine[first - 1] == theirs[first + shift - 1])
     assert not (end < len(mine) and end + shift < len(theirs) and mine[end] == theirs[end + shift])
+
+
+def test_a_passage_of_many_items_is_compared_once(spark):
+    prompt = prose(7000, 14)
+    items = [(k, prompt + " " + prose(7100 + k, 12)) for k in range(40)]
+    docs = [(i, prose(7200 + i, 30) + " " + prompt + " " + prose(7300 + i, 30)) for i in range(10)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    _, hits, owners = decontaminate.benchmark_hits(documents(spark, docs), bench)
+    # Of the words behind the prompt the items differ, so some passages have one owner each.
+    shared = owners.groupBy("passage").count().where("count = 40").select("passage")
+    assert shared.count() >= 1
+    alike = hits.join(shared, "passage").groupBy("doc_id", "passage").count()
+    assert alike.where("count > 1").count() == 0
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], list(r["item_ids"]))
+           for r in decontaminate.contamination(documents(spark, docs), bench).collect()]
+    assert sorted(got, key=repr) == sorted(brute(docs, items), key=repr) and len(got[0][3]) == 40

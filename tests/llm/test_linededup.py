@@ -7,6 +7,7 @@ import time
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_help import documents, prose
+from pyspark.sql import functions as F
 
 from visitmill.llm import linededup
 from visitmill.llm.linededup import common_blocks
@@ -178,3 +179,22 @@ def test_odd_rows(odd):
     assert by_id[1] is None and by_id[2] == "" and by_id[3] == " \n \t " and by_id[-3] == prose(4) + " end"
     assert [r["text"] for r in got if r["doc_id"] == 4].count("") == 0 and by_id[5] != prose(4)
     assert linededup.without_repeats(odd.none).count() == 0
+
+
+def test_rows_that_are_not_found_are_not_shuffled(spark, capsys):
+    """Found rows, rows of their buckets, null ids and repeated rows; texts of others stay where they are."""
+    rows = [(i, f"t{i % 50}") for i in range(100)] + [(None, "n"), (None, None), (3, "t3"), (3, "other")]
+    docs = documents(spark, rows)
+    found = linededup.keyed(docs.where("doc_id % 10 = 3 or doc_id is null"), "text").dropDuplicates(
+        ["doc_id", "text_key"]).select("doc_id", "text_key", F.concat("text", F.lit("!")).alias("lines"))
+    joined, name = linededup.with_found(docs, found, "lines")
+    got = [(r["doc_id"], r["text"], r[name]) for r in joined.collect()]
+    hit = {(i, t) for i, t in rows if i is None or i % 10 == 3}
+    assert sorted(got, key=repr) == sorted(
+        [(i, t, t + "!" if (i, t) in hit and t is not None else None) for i, t in rows], key=repr)
+    kept, _ = linededup.with_found(docs, found, "lines", "left_anti")
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [r for r in rows if r not in hit], key=repr)
+    assert kept.drop(name).columns == docs.columns
+    joined.explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out

@@ -124,11 +124,13 @@ def extended(mine: list[str], at: int, theirs: list[str], there: int, size: int)
 
 def benchmark_hits(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All runs of words that documents share with benchmark items, and the documents' counts.
 
-    Returns ((doc_id, text_key, n_words) of each row, and (doc_id, text_key, item_id, first,
-    end) with word numbers of each run of at least one window). Every span of `window` shared
+    Returns (doc_id, text_key, n_words) of each row, (doc_id, text_key, passage, first, end)
+    with word numbers of each run of at least one window, and (passage, item_id): the
+    items that hold a passage. A passage that many items have is compared with a document
+    once. Every span of `window` shared
     words has a fingerprint that both sides choose, so none is missed; hits are extended over
     the words themselves, so none is a chance equality of hashes. A benchmark item shorter
     than a window, but not empty, is searched for as a whole.
@@ -143,6 +145,10 @@ def benchmark_hits(
         .select("item_id", "p.span", "p.print", F.col("p.context").alias("item_context"),
                 F.col("p.at").alias("item_at")).distinct())
     passing, spans = _filter(bench, window)
+    # Fingerprints with all words around them; the hash names what is compared below.
+    named = bench.withColumn("passage", F.xxhash64("span", "print", "item_at", "item_context"))
+    owners = named.select("passage", "item_id").distinct()
+    passages = named.drop("item_id").distinct()
     marked = stage(signed(
         keyed(docs, "text").withColumnRenamed("doc_id", "row_id"), spans,
         docs.sparkSession.sparkContext.broadcast(passing), window, gram))
@@ -150,7 +156,7 @@ def benchmark_hits(
     prints = (
         marked.select(F.col("row_id").alias("doc_id"), "text_key", F.explode("prints").alias("p"))
         .select("doc_id", "text_key", "p.*"))
-    met = prints.join(bench, ["span", "print"])
+    met = prints.join(passages, ["span", "print"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,17 +166,17 @@ def benchmark_hits(
                 size = gram if row["span"] == window else row["span"]
                 first, end = extended(mine, row["at"], theirs, row["item_at"], size)
                 if end - first >= row["span"]:
-                    out += [(row["doc_id"], row["text_key"], row["item_id"], place + first - row["at"],
+                    out += [(row["doc_id"], row["text_key"], row["passage"], place + first - row["at"],
                              place + end - row["at"]) for place in row["places"]]
-            names, kinds = ("doc_id", "text_key", "item_id", "first", "end"), [pa.int64()] * 5
+            names, kinds = ("doc_id", "text_key", "passage", "first", "end"), [pa.int64()] * 5
             columns = zip(*out, strict=True) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(names))
 
     hits = met.select(
-        "doc_id", "text_key", "item_id", "span", "at", "context", "places", "item_at", "item_context"
-    ).mapInArrow(each, "doc_id long, text_key long, item_id long, first long, end long")
-    return counts, hits
+        "doc_id", "text_key", "passage", "span", "at", "context", "places", "item_at", "item_context"
+    ).mapInArrow(each, "doc_id long, text_key long, passage long, first long, end long")
+    return counts, hits, owners
 
 
 def _filter(bench: DataFrame, window: int) -> tuple[bytes, list[int]]:
@@ -198,19 +204,22 @@ def contamination(
     sorted strings (a null id: empty). Null and empty texts have no words, and neither a null
     item nor an empty benchmark hits. Rows with equal id and text are counted alike.
     """
-    counts, hits = benchmark_hits(docs, items, window, gram)
+    counts, hits, owners = benchmark_hits(docs, items, window, gram)
+    hits = stage(hits)
     merged = F.aggregate(
         F.sort_array("runs"), F.expr("struct(0L as n, -1L as until)"),
         lambda done, run: F.struct(
             (done["n"] + F.greatest(F.lit(0), run["end"] - F.greatest(run["first"], done["until"]))).alias("n"),
             F.greatest(done["until"], run["end"]).alias("until")),
         lambda done: done["n"])
-    found = (
-        hits.groupBy("doc_id", "text_key").agg(
-            F.collect_set(F.struct("first", "end")).alias("runs"),
-            F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("ids"))
-        .select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"),
-                merged.alias("n_hit"), F.sort_array("ids").alias("ids")))
+    runs = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "end")).alias("runs"))
+    ids = (
+        hits.select("doc_id", "text_key", "passage").distinct().join(owners, "passage")
+        .groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+        .agg(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("ids")))
+    found = runs.join(ids, runs["doc_id"].eqNullSafe(ids["id"]) & (runs["text_key"] == ids["key"])).select(
+        F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), merged.alias("n_hit"),
+        F.sort_array("ids").alias("ids"))
     joined = counts.join(
         found, counts["doc_id"].eqNullSafe(found["hit_id"]) & (counts["text_key"] == found["hit_key"]), "left")
     return joined.select(

@@ -8,6 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitmill.sinks.staging import stage
+
+# Buckets of keys by which rows that aren't looked for are told from the others.
+BUCKETS = 1 << 20
+
 
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """(doc_id, text_key, *columns) of documents."""
@@ -30,13 +35,29 @@ def fresh(frame: DataFrame, stem: str) -> str:
 def with_found(docs: DataFrame, found: DataFrame, column: str, how: str = "left") -> tuple[DataFrame, str]:
     """Join `found` (doc_id, text_key, column), unique in its key, to the rows of `docs`.
 
-    Returns the joined frame, with the columns of `docs` and the new one, and its name.
+    Returns the joined frame, with the columns of `docs` and the new one, and its name. `how`
+    is left, or left_anti for the rows of `docs` that aren't found (without the new column).
+
+    Only rows of `docs` whose key falls into the bucket of some found one are shuffled. The
+    buckets, at most BUCKETS numbers, are broadcast; the other rows stay where they are.
     """
-    key, name, found_id, found_key = (
-        fresh(docs, s) for s in ("_text_key", f"_{column}", "_found_id", "_found_key"))
+    found = stage(found)
+    key, name, found_id, found_key, bucket = (
+        fresh(docs, s) for s in ("_text_key", f"_{column}", "_found_id", "_found_key", "_bucket"))
     right = found.select(
         F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key), F.col(column).alias(name))
+
+    def dealt(doc_id: Column, text: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_id.cast("long"), text), F.lit(BUCKETS))
+
+    buckets = F.broadcast(
+        right.select(dealt(F.col(found_id), F.col(found_key)).alias(bucket)).distinct())
     left = docs.withColumn(key, text_key())
-    joined = left.join(
-        right, left["doc_id"].eqNullSafe(right[found_id]) & left[key].eqNullSafe(right[found_key]), how)
-    return joined.drop(key, found_id, found_key), name
+    in_bucket = dealt(left["doc_id"], left[key]) == buckets[bucket]
+    near, far = (left.join(buckets, in_bucket, kind) for kind in ("left_semi", "left_anti"))
+    joined = near.join(
+        right, near["doc_id"].eqNullSafe(right[found_id]) & near[key].eqNullSafe(right[found_key]), how)
+    kind = found.schema[column].dataType
+    if how == "left":
+        far = far.withColumn(name, F.lit(None).cast(kind))
+    return joined.drop(found_id, found_key).unionByName(far).drop(key), name
