@@ -59,7 +59,6 @@ def written(docs: DataFrame, vocabulary: str, folder: str, end: int = END, width
     kind = f"<u{width}"
     if not 0 <= end < 1 << 8 * width:
         raise ValueError(f"{width} bytes don't hold the end mark {end}")
-    mark = np.array([end], kind).tobytes()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = encoder(vocabulary)
@@ -70,10 +69,15 @@ def written(docs: DataFrame, vocabulary: str, folder: str, end: int = END, width
         with system.open_output_stream(f"{root}/{name}") as out:
             for batch in batches:
                 for texts in vocab.encode(batch.column(1)):
-                    for ids in texts:
-                        if len(ids) and (ids.max() >= 1 << 8 * width or (ids == end).any()):
-                            raise ValueError(f"a text has an id that {width} bytes don't hold, or the end mark {end}")
-                        out.write(ids.astype(kind).tobytes() + mark)
+                    whole = np.concatenate(texts)
+                    if len(whole) and (whole.max() >= 1 << 8 * width or (whole == end).any()):
+                        raise ValueError(f"a text has an id that {width} bytes don't hold, or the end mark {end}")
+                    closed = np.full(len(whole) + len(texts), end, dtype=kind)
+                    ends = np.cumsum([len(ids) for ids in texts])
+                    place = np.ones(len(closed), dtype=bool)
+                    place[ends + np.arange(len(texts))] = False
+                    closed[place] = whole
+                    out.write(closed)
                 rows = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f"{folder}/{name}"] * rows, pa.string()),
