@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from visitmill.llm.words import row_slices, text_bytes
 
 # Parts of one generation of the memory of encoded parts; two generations are held.
-CACHED = 250_000
+CACHED = 150_000
 # Bytes of text that are encoded together.
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 #: How a vocabulary writes a space. Here both are the byte of a space.
 SPACE_MARK = "▁"
