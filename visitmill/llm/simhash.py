@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitmill.llm.components import connected_components
+from visitmill.llm.rows import without_ids
 from visitmill.sinks.staging import stage
 
 SHINGLE = 3
@@ -126,8 +127,5 @@ def first_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows without a doc_id can't be told apart and stay. Rows that repeat the smallest id
     with the same doc_id are the same document and stay together.
     """
-    firsts = (
-        near_duplicates(docs, **options).where("doc_id = component_id")
-        .select(F.col("doc_id").alias("_first")).distinct())
-    return docs.join(firsts, docs["doc_id"] == firsts["_first"], "left_semi").unionByName(
-        docs.where(docs["doc_id"].isNull()))
+    others = near_duplicates(docs, **options).where("doc_id <> component_id").select("doc_id")
+    return without_ids(docs, others)
