@@ -99,19 +99,31 @@ def test_blocks(monkeypatch):
         def partitionId():
             return 4
     monkeypatch.setattr(lmscore, "TaskContext", Context)
-    texts = [None if k % 7 == 0 else f"a{k} b" * (k % 5) for k in range(100)]
+    lengths = [0 if k % 7 == 0 else k % 5 * 6 for k in range(100)]
     batches = [pa.RecordBatch.from_arrays(
-        [pa.array(range(a, a + 25)), pa.array(texts[a:a + 25], pa.string())], ["doc_id", "text"]) for a in (0, 25, 50, 75)]
-    for size, docs in ((1 << 25, 1 << 16), (20, 1 << 16), (1 << 25, 7), (1, 1)):
+        [pa.array(range(a, a + 25)), pa.array(lengths[a:a + 25])], ["doc_id", "length"]) for a in (0, 25, 50, 75)]
+
+    def offsets_of(batch):
+        return np.concatenate(([0], np.cumsum(batch.column(1).to_numpy())))
+
+    def take(batch, first, last, docs):
+        return docs, batch.column(0).slice(first, last - first).to_pylist()
+    for size, most in ((1 << 25, 1 << 16), (20, 1 << 16), (1 << 25, 7), (1, 1)):
         monkeypatch.setattr(lmscore, "BLOCK_BYTES", size)
-        monkeypatch.setattr(lmscore, "BLOCK_DOCS", docs)
+        monkeypatch.setattr(lmscore, "BLOCK_DOCS", most)
         seen, names = [], []
-        for number, ids, row, word in lmscore._blocks(iter(batches)):
-            assert len(ids) <= docs and len(row) == len(word) and (not len(row) or row.max() < len(ids))
+        for number, parts in lmscore._blocks(iter(batches), offsets_of, take):
+            at = 0
+            for docs, ids in parts:
+                assert docs == at
+                at += len(ids)
+                seen += ids
+            assert at <= most
             names.append(number)
-            seen += zip(ids.to_pylist(), np.bincount(row, minlength=len(ids)).tolist(), strict=True)
-        assert seen == [(k, len(words_of(t))) for k, t in enumerate(texts)]
-        assert len(set(names)) == len(names) and min(names) >> 32 == 5
+        assert seen == list(range(100)) and len(set(names)) == len(names) and min(names) > 0
+        again = [n for n, _ in lmscore._blocks(iter(batches), offsets_of, take)]
+        other = [n for n, _ in lmscore._blocks(iter(batches[::-1]), offsets_of, take)]
+        assert again == names and not set(other[:1]) & set(names[:1])
 
 
 def test_documents_in_another_order_stop_the_query(spark, monkeypatch):

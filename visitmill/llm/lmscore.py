@@ -11,21 +11,21 @@ are summed, and from there each document gets its terms back as sums.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmill.llm.words import (
-    ALPHANUMERIC, gram_hashes, mixed, row_slices, text_bytes, word_hashes, word_spans)
+from visitmill.llm.words import ALPHANUMERIC, STEP, mixed, row_slices, text_bytes, word_hashes, word_spans
 
 # Count that every pair of words has besides its own.
 PRIOR = 0.05
 # Bytes of text, and documents, of a block; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 24
 BLOCK_DOCS = 1 << 16
 # Words whose n-grams are summed by one task, about.
 TASK_WORDS = 1 << 21
@@ -35,42 +35,45 @@ BUCKETS = 1 << 18
 #: Stands before the first word of a text.
 BEGIN = np.uint64(0x5851F42D4C957F2D)
 _HISTORY = np.uint64(0x2545F4914F6CDD1D)
-# Block numbers start above this one, which the target's n-grams have.
+# The block number of the target's n-grams, which no block of documents has.
 TARGET = 0
 
 GRAMS = "gram long, block long, docs binary"
-PLACES = "block long, place int, doc_id long, n_words long"
+PLACES = "block long, place int, doc_id long"
 SUMS = "block long, place int, target double, background double, n long"
 
 
-def words_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(texts, bytes, text number of each word, hash of each word), some texts at a time.
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of each word of some texts.
 
     Words are runs of ASCII letters and digits and of what isn't ASCII, A-Z lower-cased.
     """
+    starts, ends, row = word_spans(data, offsets, ALPHANUMERIC)
+    return row.astype(np.int32), word_hashes(data, starts, ends)
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """`words_of` some texts at a time."""
     data, offsets = text_bytes(texts)
     for first, last in row_slices(offsets):
-        part = data[offsets[first]:offsets[last]]
-        starts, ends, row = word_spans(part, offsets[first:last + 1] - offsets[first], ALPHANUMERIC)
-        yield last - first, len(part), row, word_hashes(part, starts, ends)
+        yield words_of(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
 
 
-def grams(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pair that ends at each word, and the word before it, as hashes; the last bit says which."""
+def grams(row: np.ndarray, word: np.ndarray) -> Iterator[np.ndarray]:
+    """The pair that ends at each word, then the word before each, as hashes; the last bit says which."""
     before = np.concatenate(([BEGIN], word[:-1]))[:len(word)]
     if len(row):
         before[np.concatenate(([True], row[1:] != row[:-1]))] = BEGIN
-    both = np.empty(2 * len(word), dtype=np.uint64)
-    both[0::2], both[1::2] = before, word
-    pair = gram_hashes(both, 2)[::2] if len(word) else word
-    return pair & ~np.uint64(1), mixed(before ^ _HISTORY) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        yield mixed(before * np.uint64(STEP) + word) & ~np.uint64(1)
+    yield mixed(before ^ _HISTORY) | np.uint64(1)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): how often each word, by its hash, occurs in all texts."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [np.zeros(0, np.uint64), *(word for _, _, _, word in words_of(batch.column(0)))]
+            hashes = [np.zeros(0, np.uint64), *(word for _, word in slices(batch.column(0)))]
             words, counts = np.unique(np.concatenate(hashes), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
 
@@ -79,38 +82,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
         .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
-    """The documents (doc_id, text) of a task in blocks: number, ids, place of each word, words.
+def _blocks(
+    batches: Iterator[pa.RecordBatch], offsets_of: Callable[[pa.RecordBatch], np.ndarray], take: Callable
+) -> Iterator[tuple[int, list]]:
+    """The documents (doc_id, ...) of a task in blocks: a number, and what `take` made of each slice.
 
-    A block is named by the task's partition and its own number there.
+    Blocks go by the lengths of the texts alone. The number is a hash of the task's partition,
+    the block's place there, the ids and the lengths, so other documents have other numbers.
     """
-    number, held, docs, size = TaskContext.get().partitionId() + 1, [], 0, 0
-    made = 0
+    partition, made, held, seen, docs, size = TaskContext.get().partitionId(), 0, [], [], 0, 0
 
-    def block():
-        ids = pa.concat_arrays([h[0] for h in held])
-        counts = np.cumsum([0, *(len(h[0]) for h in held)])
-        row = np.concatenate([h[1] + c for h, c in zip(held, counts[:-1], strict=True)])
-        return (number << 32) + made, ids, row, np.concatenate([h[2] for h in held])
+    def number() -> int:
+        named = np.concatenate([[partition, made], *seen]).astype("<i8").tobytes()
+        return xxhash.xxh64_intdigest(named) >> 1 | 1
 
     for batch in batches:
-        done = 0
-        for rows, length, row, word in words_of(batch.column(1)):
-            if held and (size + length > BLOCK_BYTES or docs + rows > BLOCK_DOCS):
-                yield block()
-                made, held, docs, size = made + 1, [], 0, 0
-            # A slice of empty texts may hold more documents than a block has places.
-            for first in range(0, rows, BLOCK_DOCS):
-                part = (row >= first) & (row < first + BLOCK_DOCS) if rows > BLOCK_DOCS else slice(None)
-                if held and docs + min(rows - first, BLOCK_DOCS) > BLOCK_DOCS:
-                    yield block()
-                    made, held, docs, size = made + 1, [], 0, 0
-                ids = batch.column(0).slice(done + first, min(rows - first, BLOCK_DOCS))
-                held.append((ids, row[part] - first, word[part]))
-                docs += len(ids)
-            done, size = done + rows, size + length
+        offsets, ids = offsets_of(batch), batch.column(0).fill_null(-1).to_numpy()
+        for begin, end in row_slices(offsets):
+            for first in range(begin, end, BLOCK_DOCS):
+                last = min(end, first + BLOCK_DOCS)
+                length = int(offsets[last] - offsets[first])
+                if held and (size + length > BLOCK_BYTES or docs + last - first > BLOCK_DOCS):
+                    yield number(), held
+                    made, held, seen, docs, size = made + 1, [], [], 0, 0
+                held.append(take(batch, first, last, docs))
+                seen += [np.diff(offsets[first:last + 1]), ids[first:last]]
+                docs, size = docs + last - first, size + length
     if held:
-        yield block()
+        yield number(), held
 
 
 def _sent(gram: np.ndarray, place: np.ndarray) -> tuple[pa.Array, pa.BinaryArray]:
@@ -124,35 +123,54 @@ def _sent(gram: np.ndarray, place: np.ndarray) -> tuple[pa.Array, pa.BinaryArray
         pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(held)])
 
 
-def block_grams(docs: DataFrame) -> DataFrame:
-    """(gram, block, docs): the n-grams of each block of documents, with the places that have them."""
+def block_grams(texts: DataFrame) -> DataFrame:
+    """(gram, block, docs): the n-grams of each block of texts, with the places that have them."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, row, word in _blocks(batches):
+        held: dict = {}
+
+        def offsets_of(batch: pa.RecordBatch) -> np.ndarray:
+            held["data"], held["offsets"] = text_bytes(batch.column(1))
+            return held["offsets"]
+
+        def take(_, first: int, last: int, docs: int) -> tuple[np.ndarray, np.ndarray]:
+            offsets = held["offsets"][first:last + 1]
+            row, word = words_of(held["data"][offsets[0]:offsets[-1]], offsets - offsets[0])
+            return row + np.int32(docs), word
+
+        for number, parts in _blocks(batches, offsets_of, take):
+            row, word = (np.concatenate(c) for c in zip(*parts, strict=True))
             for gram in grams(row, word):
                 found, places = _sent(gram, row)
                 yield pa.RecordBatch.from_arrays(
                     [found, pa.array(np.full(len(found), number)), places], ["gram", "block", "docs"])
 
-    return docs.mapInArrow(each, GRAMS)
+    return texts.select("doc_id", "text").mapInArrow(each, GRAMS)
 
 
-def places(docs: DataFrame) -> DataFrame:
-    """(block, place, doc_id, n_words) of each row, named as `block_grams` names them."""
+def places(texts: DataFrame) -> DataFrame:
+    """(block, place, doc_id) of each row, as `block_grams` names them; no text is handed to Python."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, row, _ in _blocks(batches):
+        def offsets_of(batch: pa.RecordBatch) -> np.ndarray:
+            return np.concatenate(([0], np.cumsum(batch.column(1).to_numpy())))
+
+        def take(batch: pa.RecordBatch, first: int, last: int, _) -> pa.Array:
+            return batch.column(0).slice(first, last - first)
+
+        for number, parts in _blocks(batches, offsets_of, take):
+            ids = pa.concat_arrays(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), number)), pa.array(np.arange(len(ids), dtype=np.int32)), ids,
-                 pa.array(np.bincount(row, minlength=len(ids)).astype(np.int64))],
-                ["block", "place", "doc_id", "n_words"])
+                [pa.array(np.full(len(ids), number)), pa.array(np.arange(len(ids), dtype=np.int32)), ids],
+                ["block", "place", "doc_id"])
 
-    return docs.mapInArrow(each, PLACES)
+    length = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return texts.select("doc_id", length).mapInArrow(each, PLACES)
 
 
 def target_grams(target: DataFrame) -> DataFrame:
     """(gram, block, docs) of the target's texts: counts of four bytes in place of documents."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, row, word in words_of(batch.column(0)):
+            for row, word in slices(batch.column(0)):
                 for gram in grams(row, word):
                     found, counts = np.unique(gram, return_counts=True)
                     bounds = np.arange(0, 4 * len(found) + 1, 4, dtype=np.int32)
@@ -237,10 +255,12 @@ def scored(docs: DataFrame, target: DataFrame, prior: float = PRIOR) -> DataFram
     parts = max(1, -(-n_all // TASK_WORDS))
     sums = summed(
         block_grams(texts).unionByName(target_grams(target)), max(1, vocabulary), n_target / max(1, n_all), prior, parts)
-    lost = F.raise_error(F.lit("the documents came in another order the second time"))
-    joined = places(texts).join(sums, ["block", "place"], "left")
-    words = F.when(F.col("n_words") != F.coalesce("n", F.lit(0)), lost.cast("long")).otherwise(F.col("n_words"))
-    mean = {c: F.col(c) / F.col("n_words") for c in ("target", "background")}
+    lost = F.raise_error(F.lit("the documents came in another order the second time")).cast("long")
+    # Sums whose documents aren't there have no name.
+    named = places(texts).withColumn("named", F.lit(True))
+    joined = named.join(sums, ["block", "place"], "full")
+    words = F.when(F.col("named"), F.coalesce("n", F.lit(0))).otherwise(lost)
+    mean = {c: F.col(c) / F.col("n") for c in ("target", "background")}
     return joined.select(
         "doc_id", words.alias("n_words"), mean["target"].alias("target_loss"),
         mean["background"].alias("background_loss"), (mean["target"] - mean["background"]).alias("difference"))
