@@ -20,9 +20,7 @@ PRIOR = 0.5
 SCALE = 4.0
 # A prediction is ambiguous if its share of the decoded weight is less.
 CLEAR = 0.6
-# Languages up to which all different classifiers are used; beyond, a random code of this
-# many bits for each bit of a language's number.
-EXHAUSTIVE = 6
+# Bits of a codeword for each bit of a language's number.
 BITS = 10
 UNKNOWN = "und"
 # Rows whose histograms are held at once.
@@ -89,18 +87,19 @@ class Model:
 def codewords(languages: int) -> np.ndarray:
     """A codeword of 1 and -1 for each language; every bit has both values.
 
-    All ways to part few languages in two; for more, the best of some random codes by its
-    least distance.
+    A bit for each way to part the languages in two, as far as there are no more ways than
+    bits; otherwise the best of some random codes by its least distance.
     """
     if languages < 2:
         return np.ones((languages, 1))
-    if languages <= EXHAUSTIVE:
+    bits = BITS * int(np.ceil(np.log2(languages)))
+    if 2 ** (languages - 1) - 1 <= bits:
         columns = np.arange(1, 2 ** (languages - 1))
         return np.stack([np.where(columns >> k & 1, 1.0, -1.0) for k in range(languages)])
     random = np.random.default_rng(languages)
     best, distance = np.zeros((0, 0)), -1
     for _ in range(200):
-        code = random.choice((-1.0, 1.0), (languages, BITS * int(np.ceil(np.log2(languages)))))
+        code = random.choice((-1.0, 1.0), (languages, bits))
         code = code[:, np.abs(code.sum(axis=0)) < languages]
         apart = (code.shape[1] - code @ code.T) / 2
         least = apart[~np.eye(languages, dtype=bool)].min()
