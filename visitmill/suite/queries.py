@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 from visitmill.operators import clean, keyvalue, metrics, region, sessions
 from visitmill.operators.channel import platform_table
 from visitmill.operators.hours import (
-    LOG_NINE_JOINT, SESSION_NINE_JOINT, with_hour,
+    LOG_NINE_JOINT, SESSION_NINE_JOINT, source_hours, with_hour,
 )
 from visitmill.plans import jobs
 from visitmill.plans.members import facts_with_known_members
 from visitmill.schema import INTENDED, REFERENCE, SOURCE_SCHEMA
-from visitmill.sinks.staging import shared_folder
+from visitmill.sinks.staging import shared_folder, stage
 from visitmill.sinks.tables import create_table, insert_partitions, load_text_table, replace_day
 from visitmill.sources.logs import read_json, read_lines
 from visitmill.sources.rules import read_channel_rules, read_ip_rules
@@ -99,11 +99,15 @@ def _log_hours(semantics: str) -> Query:
 
 
 def _with_hours(spark: SparkSession, folder: str, semantics: str) -> tuple[DataFrame, DataFrame | None]:
-    """Clean rows and, where the reading needs them, the hours that they are in, from a table."""
+    """Clean rows and, where the reading needs them, the hours that they are in; cleaned once.
+
+    The session job has the hours from the partitions of its table.
+    """
+    logs = source(spark, folder, semantics)
     if semantics == INTENDED:
-        return source(spark, folder), None
-    name = _source_table(spark, folder, semantics)
-    return read_history(spark, name), partition_hours(spark, name)
+        return logs, None
+    logs = stage(logs)
+    return logs, source_hours(logs)
 
 
 def _new_table(spark: SparkSession, name: str | None = None) -> str:
@@ -112,10 +116,10 @@ def _new_table(spark: SparkSession, name: str | None = None) -> str:
     return name
 
 
-def _source_table(spark: SparkSession, folder: str, semantics: str = INTENDED) -> str:
+def _source_table(spark: SparkSession, folder: str) -> str:
     """Clean logs in a partitioned table of their own in the shared folder."""
     name = _new_table(spark)
-    insert_partitions(source(spark, folder, semantics), name)
+    insert_partitions(source(spark, folder), name)
     return name
 
 
