@@ -38,7 +38,7 @@ _HISTORY = np.uint64(0x2545F4914F6CDD1D)
 # The block number of the target's n-grams, which no block of documents has.
 TARGET = 0
 
-GRAMS = "gram long, block long, docs binary"
+GRAMS = "part int, block long, grams binary, counts binary, docs binary"
 PLACES = "block long, place int, doc_id long"
 SUMS = "block long, place int, target double, background double, n long"
 
@@ -112,19 +112,46 @@ def _blocks(
         yield number(), held
 
 
-def _sent(gram: np.ndarray, place: np.ndarray) -> tuple[pa.Array, pa.BinaryArray]:
-    """Distinct n-grams, and for each the places of the words that have it, two bytes each."""
-    order = np.argsort(gram, kind="stable")
-    gram = gram[order]
-    first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))[:len(gram)])
-    bounds = (2 * np.append(first, len(gram))).astype(np.int32)
-    held = place[order].astype("<u2")
-    return pa.array(gram[first].view(np.int64)), pa.BinaryArray.from_buffers(
-        pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(held)])
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Values with their first bytes together, then their second bytes and so on.
+
+    The first bytes of sorted hashes and of small counts are alike, so the shuffle packs them.
+    """
+    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _values(planes: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind)[:, 0]
+
+
+def part_of(gram: np.ndarray, parts: int) -> np.ndarray:
+    """The task that sums an n-gram, in the order of the hashes."""
+    return ((gram >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
-def block_grams(texts: DataFrame) -> DataFrame:
-    """(gram, block, docs): the n-grams of each block of texts, with the places that have them."""
+def _sent(gram: np.ndarray, counts: np.ndarray, docs: np.ndarray, block: int, parts: int) -> pa.RecordBatch:
+    """Distinct n-grams in order, dealt by the task that sums them: a row for each task.
+
+    `docs` are the places of the words that have the n-grams, one n-gram's after another, or
+    none where only counts are sent.
+    """
+    part = part_of(gram, parts)
+    firsts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))[:len(part)])
+    lasts = np.append(firsts[1:], len(gram))[:len(firsts)].astype(np.int64)
+    ends = np.append(0, np.cumsum(counts))
+    rows: list[tuple] = []
+    for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True):
+        held = docs[ends[a]:ends[b]] if len(docs) else docs
+        rows.append((int(part[a]), block, _planes(gram[a:b], ">u8"), _planes(counts[a:b], ">u4"), held.tobytes()))
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    columns = zip(*rows, strict=True) if rows else [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "block", "grams", "counts", "docs"])
+
+
+def block_grams(texts: DataFrame, parts: int) -> DataFrame:
+    """The n-grams of each block of documents, with the places of the documents that have them."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
 
@@ -137,12 +164,13 @@ def block_grams(texts: DataFrame) -> DataFrame:
             row, word = words_of(held["data"][offsets[0]:offsets[-1]], offsets - offsets[0])
             return row + np.int32(docs), word
 
-        for number, parts in _blocks(batches, offsets_of, take):
-            row, word = (np.concatenate(c) for c in zip(*parts, strict=True))
+        for number, pieces in _blocks(batches, offsets_of, take):
+            row, word = (np.concatenate(c) for c in zip(*pieces, strict=True))
             for gram in grams(row, word):
-                found, places = _sent(gram, row)
-                yield pa.RecordBatch.from_arrays(
-                    [found, pa.array(np.full(len(found), number)), places], ["gram", "block", "docs"])
+                order = np.argsort(gram, kind="stable")
+                gram = gram[order]
+                first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))[:len(gram)])
+                yield _sent(gram[first], np.diff(first, append=len(gram)), row[order].astype("<u2"), number, parts)
 
     return texts.select("doc_id", "text").mapInArrow(each, GRAMS)
 
@@ -166,19 +194,16 @@ def places(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", length).mapInArrow(each, PLACES)
 
 
-def target_grams(target: DataFrame) -> DataFrame:
-    """(gram, block, docs) of the target's texts: counts of four bytes in place of documents."""
+def target_grams(target: DataFrame, parts: int) -> DataFrame:
+    """The n-grams of the target's texts with their counts alone."""
+    none = np.zeros(0, "<u2")
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, word in slices(batch.column(0)):
                 for gram in grams(row, word):
                     found, counts = np.unique(gram, return_counts=True)
-                    bounds = np.arange(0, 4 * len(found) + 1, 4, dtype=np.int32)
-                    held = pa.BinaryArray.from_buffers(
-                        pa.binary(), len(found), [None, pa.py_buffer(bounds), pa.py_buffer(counts.astype("<u4"))])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.view(np.int64)), pa.array(np.full(len(found), TARGET)), held],
-                        ["gram", "block", "docs"])
+                    yield _sent(found, counts, none, TARGET, parts)
 
     return target.select(F.col("text").cast("string")).mapInArrow(each, GRAMS)
 
@@ -186,51 +211,53 @@ def target_grams(target: DataFrame) -> DataFrame:
 def summed(sent: DataFrame, vocabulary: int, scale: float, prior: float, parts: int) -> DataFrame:
     """(block, place, target, background, n): the terms of the losses of documents, summed.
 
-    All rows of an n-gram meet in one task, at most one of each block and each slice of the
-    target; a task holds the n-grams of about TASK_WORDS words. `n` counts the words.
+    All n-grams of one hash meet in one task, at most once from each block and each slice of
+    the target; a task holds the n-grams of about TASK_WORDS words. `n` counts the words.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, schema=pa.schema(
-            [("gram", pa.int64()), ("block", pa.int64()), ("docs", pa.large_binary())])
-        ) if (batches := [b.set_column(2, "docs", b.column(2).cast(pa.large_binary())) for b in batches]) else None
-        if table is None or not table.num_rows:
+        blocks, gram, counts, docs = [], [], [], []
+        for batch in batches:
+            for block, g, c, d in zip(*(batch.column(k) for k in (1, 2, 3, 4)), strict=True):
+                blocks.append(block.as_py())
+                gram.append(_values(g.as_py(), ">u8").astype(np.uint64))
+                counts.append(_values(c.as_py(), ">u4").astype(np.int64))
+                docs.append(np.frombuffer(d.as_py(), "<u2"))
+        if not blocks:
             return
-        gram, block = table["gram"].to_numpy(), table["block"].to_numpy()
-        docs = table["docs"].combine_chunks()
-        bounds = np.frombuffer(docs.buffers()[1], np.int64)[docs.offset:docs.offset + len(docs) + 1]
-        data = np.frombuffer(docs.buffers()[2], np.uint8)
-        order = np.argsort(gram, kind="stable")
-        group = np.empty(len(gram), dtype=np.int64)
-        group[order] = np.cumsum(np.concatenate(([0], gram[order][1:] != gram[order][:-1])))
-        size = np.diff(bounds)
-        mine = block == TARGET
-        groups = int(group.max()) + 1
-        counts = data[bounds[:-1][mine, None] + np.arange(4)].copy().view("<u4")[:, 0] if mine.any() else size[mine]
-        in_target = np.bincount(group[mine], weights=counts, minlength=groups)
-        in_all = np.bincount(group[~mine], weights=size[~mine] // 2, minlength=groups)
+        sizes = [len(g) for g in gram]
+        whole = np.concatenate(gram)
+        n = np.concatenate(counts)
+        order = np.argsort(whole, kind="stable")
+        fresh = np.concatenate(([False], whole[order][1:] != whole[order][:-1]))
+        group = np.empty(len(whole), dtype=np.int64)
+        group[order] = np.cumsum(fresh)
+        groups = int(group[order[-1]]) + 1
+        mine = np.repeat(np.array(blocks) == TARGET, sizes)
+        in_target = np.bincount(group[mine], weights=n[mine], minlength=groups)
+        in_all = np.bincount(group[~mine], weights=n[~mine], minlength=groups)
         history = np.zeros(groups, dtype=bool)
-        history[group] = gram & 1 == 1
-        terms = []
-        for n in (in_target, in_all * scale):
-            terms.append(np.where(history, np.log(n + prior * vocabulary), -np.log(n + prior)))
-        # Each place of a document gets its n-gram's terms.
-        held = np.flatnonzero(~mine)
-        sizes = size[held] // 2
-        ends = np.cumsum(sizes)
-        at = np.repeat(bounds[:-1][held] - 2 * (ends - sizes), sizes) + 2 * np.arange(ends[-1] if len(ends) else 0)
-        place = data[at].astype(np.int64) | data[at + 1].astype(np.int64) << 8
-        numbers, code = np.unique(block[held], return_inverse=True)
-        whose, own = np.unique(np.repeat(code, sizes) << 16 | place, return_inverse=True)
-        of = np.repeat(group[held], sizes)
-        sums = [np.bincount(own, weights=t[of], minlength=len(whose)) for t in terms]
-        n = np.bincount(own, weights=~history[of], minlength=len(whose))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers[whose >> 16] if len(whose) else np.zeros(0, np.int64)),
-             pa.array((whose & 0xFFFF).astype(np.int32)), *map(pa.array, sums), pa.array(n.astype(np.int64))],
-            ["block", "place", "target", "background", "n"])
+        history[group] = whole & np.uint64(1) == 1
+        terms = [np.where(history, np.log(total + prior * vocabulary), -np.log(total + prior))
+                 for total in (in_target, in_all * scale)]
+        # Each place of a document gets its n-gram's terms, block by block.
+        ends = np.cumsum(sizes).tolist()
+        of_block: dict[int, list[int]] = {}
+        for k, block in enumerate(blocks):
+            if block != TARGET:
+                of_block.setdefault(block, []).append(k)
+        for block, rows in of_block.items():
+            place = np.concatenate([docs[k] for k in rows])
+            of = np.concatenate([np.repeat(group[ends[k] - sizes[k]:ends[k]], counts[k]) for k in rows])
+            sums = [np.bincount(place, weights=t[of]) for t in terms]
+            words = np.bincount(place, weights=~history[of]).astype(np.int64)
+            held = np.flatnonzero(np.bincount(place))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(held), block)), pa.array(held.astype(np.int32)),
+                 *(pa.array(c[held]) for c in (*sums, words))],
+                ["block", "place", "target", "background", "n"])
 
     return (
-        sent.repartition(parts, "gram").mapInArrow(each, SUMS)
+        sent.repartitionById(parts, F.col("part")).mapInArrow(each, SUMS)
         .groupBy("block", "place").agg(*[F.sum(c).alias(c) for c in ("target", "background", "n")]))
 
 
@@ -254,7 +281,8 @@ def scored(docs: DataFrame, target: DataFrame, prior: float = PRIOR) -> DataFram
     n_target = word_counts(target).agg(total).first()[0]
     parts = max(1, -(-n_all // TASK_WORDS))
     sums = summed(
-        block_grams(texts).unionByName(target_grams(target)), max(1, vocabulary), n_target / max(1, n_all), prior, parts)
+        block_grams(texts, parts).unionByName(target_grams(target, parts)), max(1, vocabulary),
+        n_target / max(1, n_all), prior, parts)
     lost = F.raise_error(F.lit("the documents came in another order the second time")).cast("long")
     # Sums whose documents aren't there have no name.
     named = places(texts).withColumn("named", F.lit(True))
