@@ -16,6 +16,8 @@ ROW_OVERHEAD_BYTES = 64
 # Items that the sketch of frequent keys follows at least, and per shuffle partition.
 SKETCH_ITEMS = 10_000
 SKETCH_ITEMS_PER_SHARE = 16
+# What the sketch can follow at most; it can name a tenth of that.
+MOST_SKETCH_ITEMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -50,10 +52,11 @@ def staged_with_hot_keys(left: DataFrame, key: str) -> tuple[DataFrame, list]:
     more or less than needed: the joined rows are the same.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tracked = max(SKETCH_ITEMS, SKETCH_ITEMS_PER_SHARE * tasks)
+    tracked = min(MOST_SKETCH_ITEMS, max(SKETCH_ITEMS, SKETCH_ITEMS_PER_SHARE * tasks))
+    named = min(tasks, MOST_SKETCH_ITEMS // 10)
     seen = Observation()
     staged = stage(left.observe(
-        seen, F.expr(f"approx_top_k(`{key}`, {tasks}, {tracked})").alias("top"),
+        seen, F.expr(f"approx_top_k(`{key}`, {named}, {tracked})").alias("top"),
         F.count(F.lit(1)).alias("rows")))
     rows = seen.get["rows"]
     return staged, [item["item"] for item in seen.get["top"] or []
