@@ -51,7 +51,7 @@ def check(found, want):
     for (i, n, mine, other, difference), (j, m, t, b) in zip(got, sorted(want, key=lambda r: repr((*r[:2],))), strict=True):
         assert (i, n) == (j, m)
         if n:
-            assert (mine, other, difference) == pytest.approx((t, b, t - b), abs=1e-9)
+            assert (mine, other, difference) == pytest.approx((t, b, t - b), abs=2e-5)
         else:
             assert mine is other is difference is None
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmill.llm.words import ALPHANUMERIC, STEP, mixed, row_slices, text_bytes, word_hashes, word_spans
+from visitmill.sinks.staging import stage
 
 # Count that every pair of words has besides its own.
 PRIOR = 0.05
@@ -30,7 +31,7 @@ BLOCK_DOCS = 1 << 16
 # Words whose n-grams are summed by one task, about.
 TASK_WORDS = 1 << 21
 # Buckets of ids by which most documents are told from those with a label; they are broadcast.
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 
 #: Stands before the first word of a text.
 BEGIN = np.uint64(0x5851F42D4C957F2D)
@@ -40,6 +41,7 @@ TARGET = 0
 
 GRAMS = "part int, block long, grams binary, counts binary, docs binary"
 PLACES = "block long, place int, doc_id long"
+PACKED = "block long, places binary, target binary, background binary, n binary"
 SUMS = "block long, place int, target double, background double, n long"
 
 
@@ -205,14 +207,17 @@ def target_grams(target: DataFrame, parts: int) -> DataFrame:
                     found, counts = np.unique(gram, return_counts=True)
                     yield _sent(found, counts, none, TARGET, parts)
 
-    return target.select(F.col("text").cast("string")).mapInArrow(each, GRAMS)
+    return target.mapInArrow(each, GRAMS)
 
 
 def summed(sent: DataFrame, vocabulary: int, scale: float, prior: float, parts: int) -> DataFrame:
     """(block, place, target, background, n): the terms of the losses of documents, summed.
 
     All n-grams of one hash meet in one task, at most once from each block and each slice of
-    the target; a task holds the n-grams of about TASK_WORDS words. `n` counts the words.
+    the target; a task holds the n-grams of about TASK_WORDS words. It sends each block one
+    row, with a sum (in single precision) for each document that has some of its n-grams: a
+    document gets as many sums as tasks hold n-grams of it, so at most as many as it has
+    words. `n` counts the words.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, gram, counts, docs = [], [], [], []
@@ -249,16 +254,37 @@ def summed(sent: DataFrame, vocabulary: int, scale: float, prior: float, parts:
             place = np.concatenate([docs[k] for k in rows])
             of = np.concatenate([np.repeat(group[ends[k] - sizes[k]:ends[k]], counts[k]) for k in rows])
             sums = [np.bincount(place, weights=t[of]) for t in terms]
-            words = np.bincount(place, weights=~history[of]).astype(np.int64)
+            words = np.bincount(place, weights=~history[of])
             held = np.flatnonzero(np.bincount(place))
+            packed = [_planes(c[held], kind) for c, kind in zip((*sums, words), (">f4", ">f4", ">u4"), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(held), block)), pa.array(held.astype(np.int32)),
-                 *(pa.array(c[held]) for c in (*sums, words))],
+                [pa.array([block]), *(pa.array([c], pa.binary()) for c in (_planes(held, ">u2"), *packed))],
+                ["block", "places", "target", "background", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros((0, 3))
+
+        def done() -> pa.RecordBatch:
+            held = np.flatnonzero(total[:, 2])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(held), now)), pa.array(held.astype(np.int32)), pa.array(total[held, 0]),
+                 pa.array(total[held, 1]), pa.array(total[held, 2].astype(np.int64))],
                 ["block", "place", "target", "background", "n"])
 
-    return (
-        sent.repartitionById(parts, F.col("part")).mapInArrow(each, SUMS)
-        .groupBy("block", "place").agg(*[F.sum(c).alias(c) for c in ("target", "background", "n")]))
+        for batch in batches:
+            for block, places, *packed in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if block != now:
+                    if now is not None:
+                        yield done()
+                    now, total = block, np.zeros((BLOCK_DOCS, 3))
+                place = _values(places, ">u2").astype(np.int64)
+                for k, kind in enumerate((">f4", ">f4", ">u4")):
+                    total[place, k] += _values(packed[k], kind)
+        if now is not None:
+            yield done()
+
+    sums = sent.repartitionById(parts, F.col("part")).mapInArrow(each, PACKED)
+    return sums.repartition("block").sortWithinPartitions("block").mapInArrow(add, SUMS)
 
 
 def scored(docs: DataFrame, target: DataFrame, prior: float = PRIOR) -> DataFrame:
@@ -276,6 +302,8 @@ def scored(docs: DataFrame, target: DataFrame, prior: float = PRIOR) -> DataFram
     as files do; if they don't, the query stops.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Read twice, and it may come from a join.
+    target = stage(target.select(F.col("text").cast("string").alias("text")))
     total = F.coalesce(F.sum("n"), F.lit(0))
     vocabulary, n_all = word_counts(texts).agg(F.count(F.lit(1)), total).first()
     n_target = word_counts(target).agg(total).first()[0]
