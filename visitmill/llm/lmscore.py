@@ -119,7 +119,7 @@ def _planes(values: np.ndarray, kind: str) -> bytes:
 
     The first bytes of sorted hashes and of small counts are alike, so the shuffle packs them.
     """
-    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
 
 
 def _values(planes: bytes, kind: str) -> np.ndarray:
@@ -145,7 +145,7 @@ def _sent(gram: np.ndarray, counts: np.ndarray, docs: np.ndarray, block: int, pa
     rows: list[tuple] = []
     for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True):
         held = docs[ends[a]:ends[b]] if len(docs) else docs
-        rows.append((int(part[a]), block, _planes(gram[a:b], ">u8"), _planes(counts[a:b], ">u4"), held.tobytes()))
+        rows.append((int(part[a]), block, _planes(gram[a:b], ">u8"), _planes(counts[a:b], ">u4"), _planes(held, ">u2")))
     kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     columns = zip(*rows, strict=True) if rows else [()] * 5
     return pa.RecordBatch.from_arrays(
@@ -226,7 +226,7 @@ def summed(sent: DataFrame, vocabulary: int, scale: float, prior: float, parts:
                 blocks.append(block.as_py())
                 gram.append(_values(g.as_py(), ">u8").astype(np.uint64))
                 counts.append(_values(c.as_py(), ">u4").astype(np.int64))
-                docs.append(np.frombuffer(d.as_py(), "<u2"))
+                docs.append(_values(d.as_py(), ">u2"))
         if not blocks:
             return
         sizes = [len(g) for g in gram]
