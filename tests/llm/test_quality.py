@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from llm_help import documents, prose
 
@@ -107,6 +107,51 @@ def test_scores_equal_a_plain_walk(spark):
     assert all(forest.path[k] >= levels[k] and levels[k] <= forest.depth for k in leaves)
 
 
+def test_every_labelled_row_counts(spark):
+    """Weights, ends and the threshold from all labelled rows, however many and however dealt."""
+    rows, bad = corpus(300)
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i in range(300)], "doc_id long, quality int")
+    points = quality._points(docs, labels)
+    got = points.collect()
+    want = {i: plain_features(t) for i, t in rows if plain(t)[0] >= 50 and 2 * plain(t)[4] <= plain(t)[0]}
+    assert len(got) == len(want) and sum(r["good"] for r in got) == len(set(want) - bad)
+    grown = [r for r in got if not r["held"]]
+    forest = quality.grow(points.where("not held"), sum(r["good"] for r in grown), sum(not r["good"] for r in grown))
+    # Every point is in every tree: each split lies between the ends of the points that reach it,
+    # and leaves hold the weight of theirs.
+    share = {kind: sum(r["good"] == kind for r in grown) for kind in (True, False)}
+    weights = {True: 256 * 0.95 / share[True], False: 256 * 0.05 / share[False]}
+    for root in forest.roots[::30]:
+        met, level = {int(root): grown}, 0
+        while met:
+            below = {}
+            for node, here in met.items():
+                if forest.below[node] == node:
+                    adds = np.interp(sum(weights[r["good"]] for r in here), range(257), [quality.mean_path(n) for n in range(257)])
+                    assert here and abs(forest.path[node] - level - adds) < 1e-9
+                    continue
+                k, at = f"f{forest.feature[node]}", forest.split[node]
+                assert min(r[k] for r in here) < at <= max(r[k] for r in here)
+                below[int(forest.below[node])] = [r for r in here if r[k] < at]
+                below[int(forest.above[node])] = [r for r in here if r[k] >= at]
+            met, level = below, level + 1
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from([0.1, 0.1 + 1e-9, 0.4, 0.41, 0.5, 0.7, 1.0]), st.booleans()), min_size=1, max_size=60))
+def test_threshold_is_the_best_of_all_scores(spark, scored):
+    scored = [*scored, (0.3, True), (0.6, False)]
+    good, bad = ([s for s, g in scored if g == kind] for kind in (True, False))
+
+    def gain(at):
+        kept = sum(s <= at for s in good) / len(good)
+        return kept + (1 - sum(s <= at for s in bad) / len(bad)) if kept >= 0.98 else -1
+    want = max(sorted({s for s, _ in scored}), key=gain)
+    frame = spark.createDataFrame(scored, "score double, good boolean")
+    assert quality.best_threshold(frame, len(good), len(bad)) == want
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(4, 1, 0), (4, 0, 1), (None, 1, 0), (7, None, 0)],
                                    "doc_id long, quality int, toxic int")

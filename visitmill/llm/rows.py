@@ -66,6 +66,12 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return near.join(ids, near["doc_id"] == ids[gone], "left_anti").unionByName(far)
 
 
+def near_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id falls into the bucket of some of `ids` (doc_id): those of
+    all these ids, and a few others. No row moves."""
+    return _dealt(docs, [F.col("doc_id").cast("long")], ids, ["doc_id"])[0]
+
+
 def _dealt(
     left: DataFrame, key: list[Column], right: DataFrame, right_key: list[str]
 ) -> tuple[DataFrame, DataFrame]:
