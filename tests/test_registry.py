@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from visitmill.suite import derived
+from visitmill.suite import derived, queries
 from visitmill.suite.oracle import oracles
 from visitmill.suite.queries import registered
 
@@ -42,6 +42,14 @@ def test_query_equals_oracle(spark, db, name):
     assert got == want and got
 
 
+def test_lines_of_clean_twice_are_made_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "_write_files", lambda lines, folder: written.append(lines))
+    monkeypatch.setattr(queries.jobs, "clean_job", lambda *_, **__: None)
+    queries._clean_twice(spark, SMALL)
+    assert len(written) == 4 and not any("events.parquet" in f for lines in written for f in lines.inputFiles())
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["UV", "day"]
 

@@ -173,7 +173,8 @@ def _clean_twice(spark: SparkSession, folder: str) -> DataFrame:
     At first a third of the lines is doubled and another third isn't there.
     """
     at = f"{shared_folder(spark)}/visitmill/{uuid.uuid4().hex}"
-    lines = derived.raw_lines(spark, folder).selectExpr("value", "pmod(xxhash64(value), 3) as part")
+    # Four sets of files are written from the lines, which are made once.
+    lines = stage(derived.raw_lines(spark, folder).selectExpr("value", "pmod(xxhash64(value), 3) as part"))
     for part in (0, 1):
         copies = "explode(array(value, value)) as value" if part else "value"
         _write_files(lines.where(f"part = {part}").selectExpr(copies), f"{at}/raw/{part}")
